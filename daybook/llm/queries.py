@@ -65,4 +65,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_line_dedup, op2_warc, op3_bpe, op4_simhash, op5_imatch, op6_sharding, op7_language_id, op8_html_extraction, op9_decontamination, op10_substring_dedup)
 }
 
-ORACLES: dict[str, str] = {}
+# SQL twins, for what SQL can say
+
+_DIGITS = "sha1(p)"
+_GROUP = "('0x' || substr(d, 5 * i + 1, 5))::INTEGER"
+_BASE32 = f"""array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({_GROUP} >> s) & 31) + 1, 1)), '')), '')"""
+_WARC = f"""WITH h AS (SELECT page_id, octet_length(p) AS payload_bytes, {_BASE32} AS payload_digest FROM (SELECT page_id, p, {_DIGITS} AS d FROM (SELECT page_id, encode(coalesce(html, '')) AS p FROM pages))),
+f AS (SELECT payload_digest, min(page_id) AS first FROM h GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM h JOIN f USING (payload_digest)"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_DECONTAMINATION = f"""WITH b AS (SELECT item_id, w FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b)),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+lens AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS t FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
+hit AS (SELECT doc_id, item_id, i, dw.n FROM dw JOIN win ON dw.t = win.t AND dw.n = win.n),
+words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+_LINE_DEDUP = r"""WITH l AS (SELECT doc_id, i, list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS w FROM
+  (SELECT doc_id, unnest(range(len(a))) AS i, unnest(a) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents))),
+o AS (SELECT doc_id, i, w FROM l WHERE len(w) > 0),
+s AS (SELECT row_number() OVER () AS k, w, len(w) AS n, first FROM (SELECT w, min({'d': doc_id, 'i': i}) AS first FROM o GROUP BY 1)),
+t AS (SELECT k, n, unnest(w) AS x FROM s), r AS (SELECT x, count(*) AS c FROM t GROUP BY 1),
+p AS (SELECT k, n, x FROM (SELECT t.k, t.n, t.x, row_number() OVER (PARTITION BY t.k ORDER BY r.c, t.x) AS pos FROM t JOIN r USING (x)) WHERE pos <= n - CAST(ceil(n * 4 / 5.0) AS INTEGER) + 1),
+c AS (SELECT DISTINCT a.k AS ka, b.k AS kb FROM p a JOIN p b ON a.x = b.x AND a.k < b.k AND a.n * 5 >= b.n * 4 AND b.n * 5 >= a.n * 4),
+m AS (SELECT ka, kb FROM c JOIN s a ON a.k = ka JOIN s b ON b.k = kb WHERE len(list_intersect(a.w, b.w)) * 9 >= (a.n + b.n) * 4),
+e AS (SELECT ka AS k, kb AS other FROM m UNION ALL SELECT kb, ka FROM m),
+g AS (SELECT e.k, count(*) AS links, min(z.first) AS near FROM e JOIN s z ON z.k = e.other GROUP BY 1),
+f AS (SELECT s.w, coalesce(links, 0) AS links, least(first, coalesce(near, first)) AS keep FROM s LEFT JOIN g USING (k)),
+q AS (SELECT doc_id, count(*) AS n_lines, sum(links)::BIGINT AS n_links, list_sort(list_filter(list(CASE WHEN {'d': doc_id, 'i': i} > keep THEN i END), lambda x: x IS NOT NULL)) AS gone FROM o JOIN f USING (w) GROUP BY 1)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_links, 0) AS n_links, coalesce(len(gone), 0) AS n_removed, coalesce(array_to_string(gone, ','), '') AS removed_lines FROM documents d LEFT JOIN q USING (doc_id)"""
+
+ORACLES: dict[str, str] = {"op1_line_dedup": _LINE_DEDUP, "op2_warc": _WARC, "op9_decontamination": _DECONTAMINATION}
