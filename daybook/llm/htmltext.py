@@ -46,6 +46,8 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+#: A word's score is held between these, so that an advert inside an article does not outweigh what follows it.
+LEAST_WORD, MOST_WORD = -0.3, 3.0
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -144,7 +146,7 @@ class Weights:
 
     def word(self, block: Block) -> float:
         odds = self.bias + sum(self.features.get(f, 0.0) for f in block_features(block))
-        return max(-3.0, min(3.0, odds))
+        return max(LEAST_WORD, min(MOST_WORD, odds))
 
     def tag(self, name: str) -> float:
         return self.tags.get(name, -0.5)
