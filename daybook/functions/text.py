@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 WIDE_SPACE = r"[\s ﻿\p{Z}]+"
 
@@ -54,7 +55,7 @@ def decode_once(c: Column) -> Column:
         digits = F.regexp_extract(t, "^&#([0-9]+);$", 1)
         hexes = F.regexp_extract(t, "^&#[xX]([0-9a-fA-F]+);$", 1)
         point = F.when(hexes != "", F.conv(hexes, 16, 10)).when(digits != "", digits).cast("decimal(20,0)")
-        decoded = F.decode(F.unhex(F.lpad(F.hex(point.cast("long")), 8, "0")), "UTF-32BE")
+        decoded = F.decode(F.unhex(F.lpad(F.hex(point.cast("long")), 8, "0")), "UTF-32")
         named = F.create_map(*[F.lit(x) for kv in NAMED.items() for x in kv])
         return F.coalesce(F.try_element_at(named, name), F.when(point.isNotNull() & (point <= 0x10FFFF), decoded), t)
 
@@ -80,7 +81,7 @@ def make_uid(source: Column, native_id: Column, title: Column, start: Column, ve
     return F.concat(slug(source), F.lit(":"), F.coalesce(F.when(native_id != "", native_id), digest), F.lit(suffix))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _transliterate(s: pd.Series) -> pd.Series:
     other = str.maketrans({"æ": "ae", "Æ": "ae", "ø": "o", "Ø": "o", "ß": "ss"})
 

@@ -214,7 +214,6 @@ def _facet(name: str, expression, sql: str) -> None:
 
 
 _has = lambda k: sql_has("hay", R.TERMS[k])
-_none = F.array().cast("array<string>")
 _facet("cost_tier", lambda h: R.cost_tier(h, F.lit("unknown")), f"CASE WHEN {_has('donation')} THEN 'donation' WHEN regexp_matches(hay, '\\$\\s?\\d') THEN 'paid' WHEN {_has('free')} THEN 'free' ELSE 'unknown' END")
 _facet("registration", R.registration, f"CASE WHEN {_has('drop-in')} THEN 'drop-in' WHEN {_has('required')} THEN 'required' WHEN {_has('open')} THEN 'open' ELSE 'unknown' END")
 _facet("setting", lambda h: R.setting(h, F.lit("Bayfront")), f"CASE WHEN {_has('virtual')} THEN 'virtual' WHEN {_has('outdoor')} THEN 'outdoor' ELSE 'unknown' END")
@@ -227,7 +226,6 @@ _facet("home_away", lambda h: R.home_away(h, F.lit(True)), f"CASE WHEN {_has('ho
 _facet("classify_vocab", R.type_by_title, sql_first("hay", R.TITLE_TERMS))
 _facet("classify_venue", lambda h: R.type_by_venue(F.substring(h, 1, 60)), "CASE " + " ".join(f"WHEN contains(v, {quoted(k)}) THEN {quoted(t)}" for k, t in R.VENUE_NAMES.items()) + f" ELSE {sql_first('v', R.VENUE_TERMS)} END")
 ORACLES["classify_venue"] = ORACLES["classify_venue"].replace(f"FROM {BY_TEXT}", f"FROM (SELECT id, lower(substr(hay, 1, 60)) AS v FROM {BY_TEXT})")
-del _none
 
 
 CATEGORIES = [(0, "music"), (1, "art &amp; culture|concerts"), (2, "Athletics"), (3, "Food & Drink"), (4, ""), (5, "x|Government|classes")]
