@@ -30,6 +30,7 @@ all columns of ``docs`` stay, whatever their names.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,19 +40,23 @@ from daybook.llm.common import ASCII_SPACE, cut_lineage
 COUNTER_BITS = 18
 COUNTERS = 1 << COUNTER_BITS
 HASH_MASK = (1 << 56) - 1
-SIGN = -(1 << 63)
+OTHER_SPACE = "\t\x0b\x0c\r"
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, line_no, words``: the distinct words of every line that has some."""
+    """``doc_id, line_no, words``: hashes of the distinct words of every line that has some."""
     split = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    words = F.array_distinct(F.filter(F.split(F.lower("line"), ASCII_SPACE), lambda w: w != ""))
+    # a single space is split at without a regular expression; few lines hold other white space
+    others = reduce(lambda x, y: x | y, [F.contains("line", F.lit(ch)) for ch in OTHER_SPACE])
+    spaced = F.when(others, F.regexp_replace("line", ASCII_SPACE, " ")).otherwise(F.col("line"))
+    hashed = F.transform(F.split(F.lower(spaced), " "), lambda w: F.xxhash64(w))
+    words = F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit("")))
     return split.select("doc_id", "line_no", words.alias("words")).filter(F.size("words") > 0)
 
 
 def rarity_codes(table: DataFrame) -> bytes:
     """For each counter a code from 0 (counted once at most) to 127, ordered by count."""
-    hashed = table.select(F.explode("words").alias("w")).select(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).alias("slot"))
+    hashed = table.select(F.explode("words").alias("w")).select(F.col("w").bitwiseAND(F.lit(COUNTERS - 1)).alias("slot"))
     codes = bytearray(COUNTERS)
     for slot, n in hashed.groupBy("slot").count().toLocalIterator():
         codes[slot] = min(127, math.ceil(4 * math.log2(n)))
@@ -62,8 +67,7 @@ def word_keys(words: Column, codes: bytes) -> Column:
     """Sorted keys, rare words first: the code in the upper 7 bits (below the sign), the hash below."""
     lookup = F.lit(bytearray(codes))
 
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
+    def key(h: Column) -> Column:
         code = F.ascii(F.substr(lookup, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
         return F.shiftleft(code.cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit(HASH_MASK)))
 
@@ -86,7 +90,8 @@ def position() -> Column:
 
 def candidates(firsts: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct pairs ``a, b`` that pass all filters, from rows ``h, size, parity, prefix``."""
-    held = firsts.select("h", "size", "parity", F.posexplode("prefix").alias("at", "word")).filter(F.shiftright("word", 56) > 0)
+    # dealt out once: both sides of the join read the same shuffle
+    held = firsts.select("h", "size", "parity", F.posexplode("prefix").alias("at", "word")).filter(F.shiftright("word", 56) > 0).repartition("word")
     x = held.select("word", *[F.col(c).alias(f"{c}_a") for c in ("h", "size", "parity", "at")])
     y = held.select("word", *[F.col(c).alias(f"{c}_b") for c in ("h", "size", "parity", "at")])
     both = F.col("size_a") + F.col("size_b")
@@ -116,7 +121,7 @@ def matches(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> tupl
     found = cut_lineage(full.select("doc_id", "line_no", "h", "size", parity_map(F.col("keys")).alias("parity"), prefix.alias("prefix")))
     sets = cut_lineage(found.groupBy("h").agg(F.min(position()).alias("first"), F.count("*").alias("n")))
     firsts = found.join(sets.select("h", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l")), "h").filter(F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("l") == F.col("line_no")))
-    pairs = cut_lineage(candidates(firsts.select("h", "size", "parity", "prefix").dropDuplicates(["h"]), num, den))
+    pairs = cut_lineage(candidates(firsts.select("h", "size", "parity", "prefix"), num, den))
     involved = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     wanted = involved.join(sets, "h").select("h", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"))
     near = among(full.select("doc_id", "line_no", "h", "keys"), involved)
