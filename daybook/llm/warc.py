@@ -51,10 +51,14 @@ SCHEMA = StructType([
 
 def base32_sha1(payload: Column) -> Column:
     """Bare upper-case base32 of the SHA-1: 40 hex digits are 8 groups of 20 bits, each 4 letters."""
-    digits = F.sha1(payload)
     letter = lambda v, shift: F.substr(F.lit(ALPHABET), F.shiftright(v, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1))
-    group = lambda i: F.conv(F.substr(digits, i * 5 + 1, F.lit(5)), 16, 10).cast("int")
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.concat(*[letter(group(i), s) for s in (15, 10, 5, 0)])), "")
+
+    def encoded(digits: Column) -> Column:
+        groups = [F.conv(F.substr(digits, F.lit(5 * i + 1), F.lit(5)), 16, 10).cast("int") for i in range(8)]
+        return F.array_join(F.transform(F.array(*groups), lambda v: F.concat(*[letter(v, s) for s in (15, 10, 5, 0)])), "")
+
+    # the one-element array holds the digest, so that it is computed once
+    return F.get(F.transform(F.array(F.sha1(payload)), encoded), 0)
 
 
 def page_urn(page_id: Column) -> Column:
