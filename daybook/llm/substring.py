@@ -107,7 +107,6 @@ def passages(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", te
     """
     table = cut_lineage(chunks(docs, id_col, text_col))
     per_doc = repeats(table).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "first_doc_id"))).alias("parts"))
-    new_run = F.struct(F.col("p.start").alias("start_byte"), F.col("p.end").alias("end_byte"), F.lit(1).alias("n_chunks"), F.col("p.first_doc_id").alias("first_doc_id"))
     runs = F.expr(
         """aggregate(parts, CAST(array() AS array<struct<start_byte:int,end_byte:int,n_chunks:int,first_doc_id:bigint>>), (acc, p) ->
              CASE WHEN size(acc) > 0 AND acc[size(acc) - 1].end_byte = p.start
@@ -115,7 +114,6 @@ def passages(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", te
                        'n_chunks', acc[size(acc) - 1].n_chunks + 1, 'first_doc_id', acc[size(acc) - 1].first_doc_id)))
                   ELSE concat(acc, array(named_struct('start_byte', p.start, 'end_byte', p.end, 'n_chunks', 1, 'first_doc_id', p.first_doc_id))) END)"""
     )
-    del new_run
     flat = per_doc.select("doc_id", F.inline(runs))
     return flat.withColumn("n_bytes", F.col("end_byte") - F.col("start_byte")).filter(F.col("n_bytes") >= min_run).select("doc_id", "start_byte", "end_byte", "n_bytes", "n_chunks", "first_doc_id")
 
