@@ -20,7 +20,8 @@ exact result. Words are compared by 56-bit hashes.
 
 Lines with equal sets are joined once, by their first occurrence. A line that a
 third of all documents hold is one row of the join; its occurrences meet one row
-of results.
+of results. ``links`` counts every pair of different sets that match, and so
+takes a row for each; ``repeats``, for cutting lines out, does not.
 
 Defined results: null and empty texts have no lines; blank lines never match and
 stay; rows with one doc_id share their line positions; a null doc_id is last;
@@ -30,9 +31,10 @@ all columns of ``docs`` stay, whatever their names.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.common import ASCII_SPACE, cut_lineage
@@ -40,23 +42,33 @@ from daybook.llm.common import ASCII_SPACE, cut_lineage
 COUNTER_BITS = 18
 COUNTERS = 1 << COUNTER_BITS
 HASH_MASK = (1 << 56) - 1
+LEADERS = 8
 OTHER_SPACE = "\t\x0b\x0c\r"
 
 
-def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, line_no, words``: hashes of the distinct words of every line that has some."""
-    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    # a single space is split at without a regular expression; few lines hold other white space
-    others = reduce(lambda x, y: x | y, [F.contains("line", F.lit(ch)) for ch in OTHER_SPACE])
-    spaced = F.when(others, F.regexp_replace("line", ASCII_SPACE, " ")).otherwise(F.col("line"))
-    hashed = F.transform(F.split(F.lower(spaced), " "), lambda w: F.xxhash64(w))
-    words = F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit("")))
-    return split.select("doc_id", "line_no", words.alias("words")).filter(F.size("words") > 0)
+def plain_spaces(text: Column) -> Column:
+    """``text`` with other white space than newlines as single spaces; few texts hold any, and only those meet a regular expression."""
+    others = reduce(lambda x, y: x | y, [F.contains(text, F.lit(ch)) for ch in OTHER_SPACE])
+    return F.when(others, F.regexp_replace(text, f"[{OTHER_SPACE}]", " ")).otherwise(text)
 
 
-def rarity_codes(table: DataFrame) -> bytes:
-    """For each counter a code from 0 (counted once at most) to 127, ordered by count."""
-    hashed = table.select(F.explode("words").alias("w")).select(F.col("w").bitwiseAND(F.lit(COUNTERS - 1)).alias("slot"))
+def spots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, line_no, line`` of every line with words, in lower case."""
+    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.lower(plain_spaces(F.col(text_col))), "\n")).alias("line_no", "line"))
+    # said of the line, not of its words: a filter on the words would find them twice
+    return split.filter(F.btrim("line") != "")
+
+
+def line_words(line: Column) -> Column:
+    """Hashes of the distinct words of a line from ``spots``."""
+    hashed = F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit("")))
+
+
+def rarity_codes(docs: DataFrame, text_col: str = "text") -> bytes:
+    """For each counter a code from 0 (counted once at most) to 127, ordered by count of word occurrences."""
+    words = F.split(F.replace(F.lower(plain_spaces(F.col(text_col))), F.lit("\n"), F.lit(" ")), " ")
+    hashed = docs.select(F.explode(words).alias("w")).select(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).alias("slot"))
     codes = bytearray(COUNTERS)
     for slot, n in hashed.groupBy("slot").count().toLocalIterator():
         codes[slot] = min(127, math.ceil(4 * math.log2(n)))
@@ -74,9 +86,9 @@ def word_keys(words: Column, codes: bytes) -> Column:
     return F.sort_array(F.transform(words, key))
 
 
-def records(docs: DataFrame, codes: bytes, **columns: str) -> DataFrame:
-    """``doc_id, line_no, h, size, keys`` of every line with words; h stands for the set."""
-    keyed = lines(docs, **columns).select("doc_id", "line_no", word_keys(F.col("words"), codes).alias("keys"))
+def records(spotted: DataFrame, codes: bytes) -> DataFrame:
+    """``doc_id, line_no, h, size, keys`` of rows of ``spots``; h stands for the set."""
+    keyed = spotted.select("doc_id", "line_no", word_keys(line_words(F.col("line")), codes).alias("keys"))
     return keyed.select("doc_id", "line_no", F.xxhash64("keys").alias("h"), F.size("keys").alias("size"), "keys")
 
 
@@ -88,61 +100,117 @@ def position() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
 
 
-def candidates(firsts: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs ``a, b`` that pass all filters, from rows ``h, size, parity, prefix``."""
-    # dealt out once: both sides of the join read the same shuffle
-    held = firsts.select("h", "size", "parity", F.posexplode("prefix").alias("at", "word")).filter(F.shiftright("word", 56) > 0).repartition("word")
-    x = held.select("word", *[F.col(c).alias(f"{c}_a") for c in ("h", "size", "parity", "at")])
-    y = held.select("word", *[F.col(c).alias(f"{c}_b") for c in ("h", "size", "parity", "at")])
+def postings(firsts: DataFrame) -> DataFrame:
+    """A row per set and word of its prefix that is counted twice or more, dealt out by word."""
+    at_words = firsts.select("h", "size", "parity", "first", F.posexplode("prefix").alias("at", "word"))
+    return at_words.filter(F.shiftright("word", 56) > 0).repartition("word")
+
+
+def candidates(left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs ``a, b, earlier`` of a set in ``left`` and one not before it in ``right`` that pass all filters."""
+    x = left.select("word", *[F.col(c).alias(f"{c}_a") for c in ("h", "size", "parity", "first", "at")])
+    y = right.select("word", *[F.col(c).alias(f"{c}_b") for c in ("h", "size", "parity", "first", "at")])
     both = F.col("size_a") + F.col("size_b")
-    ordered = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("h_a") < F.col("h_b")))
-    length = F.col("size_a") * den >= F.col("size_b") * num
-    left = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
-    positional = left * (num + den) >= both * num
+    length = (F.col("size_a") * den >= F.col("size_b") * num) & (F.col("size_b") * den >= F.col("size_a") * num)
+    rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    positional = rest * (num + den) >= both * num
     parity = (both - F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b")))) * (num + den) >= both * (2 * num)
-    return x.join(y, "word").filter(ordered & length & positional & parity).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
+    earlier = F.col("first_a") < F.col("first_b")
+    # rows that repeat a doc_id share their positions
+    ordered = earlier | ((F.col("first_a") == F.col("first_b")) & (F.col("h_a") < F.col("h_b")))
+    return x.join(y, "word").filter(length & positional & parity & ordered).select(F.col("h_a").alias("a"), F.col("h_b").alias("b"), earlier.alias("earlier")).distinct()
 
 
-def among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows whose ``h`` may be in ``wanted``, by a bit map of fixed size (2^23 bits)."""
-    spot = lambda h: F.pmod(h, F.lit(1 << 23)) + 1
-    bits = wanted.select(spot(F.col("h")).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
-    at = F.bitmap_bit_position(spot(F.col("h")))
+def among(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """The rows whose ``columns`` may be in ``wanted``, by a bit map of fixed size (2^23 bits)."""
+    spot = F.pmod(F.xxhash64(*columns), F.lit(1 << 23)) + 1
+    bits = wanted.select(spot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
+    at = F.bitmap_bit_position(spot)
     byte = F.conv(F.hex(F.substr("bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    marked = rows.join(F.broadcast(bits), F.bitmap_bucket_number(spot(F.col("h"))) == F.col("bucket"))
+    marked = rows.join(F.broadcast(bits), F.bitmap_bucket_number(spot) == F.col("bucket"))
     return marked.filter(F.pmod(F.floor(byte / F.pow(F.lit(2.0), at.bitwiseAND(F.lit(7)).cast("double"))), F.lit(2)) == 1).drop("bucket", "bits")
 
 
-def matches(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Occurrences ``doc_id, line_no, h``; sets ``h, first``; links ``a, b`` between sets."""
-    codes = rarity_codes(lines(docs, **columns))
-    full = records(docs, codes, **columns)
+@dataclass(frozen=True)
+class Prepared:
+    """Occurrences ``doc_id, line_no, h``; ``sets`` (``h, first, n``); their prefixes; and what finds whole sets again."""
+
+    occurrences: DataFrame
+    sets: DataFrame
+    firsts: DataFrame
+    spotted: DataFrame
+    codes: bytes
+    num: int
+    den: int
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs ``a, b, earlier`` those that match on their whole sets."""
+        num, den = self.num, self.den
+        involved = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+        wanted = cut_lineage(involved.join(self.sets, "h").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "h"))
+        near = records(among(self.spotted, wanted, "doc_id", "line_no"), self.codes).select("h", "doc_id", "line_no", "keys")
+        places = wanted.select("h", F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
+        whole = near.join(places, "h").filter(F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("l") == F.col("line_no"))).select("h", "keys").dropDuplicates(["h"])
+        x, y = whole.select(F.col("h").alias("a"), F.col("keys").alias("keys_a")), whole.select(F.col("h").alias("b"), F.col("keys").alias("keys_b"))
+        shared = F.size(F.array_intersect("keys_a", "keys_b"))
+        return cut_lineage(pairs.join(x, "a").join(y, "b").filter(shared * (num + den) >= (F.size("keys_a") + F.size("keys_b")) * num).select("a", "b", "earlier"))
+
+
+def prepare(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> Prepared:
+    codes = rarity_codes(docs, columns.get("text_col", "text"))
+    spotted = spots(docs, **columns)
+    full = records(spotted, codes)
     prefix = F.slice("keys", F.lit(1), F.col("size") - F.ceil(F.col("size") * num / den).cast("int") + 1)
     found = cut_lineage(full.select("doc_id", "line_no", "h", "size", parity_map(F.col("keys")).alias("parity"), prefix.alias("prefix")))
     sets = cut_lineage(found.groupBy("h").agg(F.min(position()).alias("first"), F.count("*").alias("n")))
-    firsts = found.join(sets.select("h", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l")), "h").filter(F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("l") == F.col("line_no")))
-    pairs = cut_lineage(candidates(firsts.select("h", "size", "parity", "prefix"), num, den))
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    wanted = involved.join(sets, "h").select("h", F.col("first.doc_id").alias("d"), F.col("first.line_no").alias("l"))
-    near = among(full.select("doc_id", "line_no", "h", "keys"), involved)
-    whole = near.join(wanted, "h").filter(F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("l") == F.col("line_no"))).select("h", "keys").dropDuplicates(["h"])
-    x, y = whole.select(F.col("h").alias("a"), F.col("keys").alias("keys_a")), whole.select(F.col("h").alias("b"), F.col("keys").alias("keys_b"))
-    shared = F.size(F.array_intersect("keys_a", "keys_b"))
-    links = pairs.join(x, "a").join(y, "b").filter(shared * (num + den) >= (F.size("keys_a") + F.size("keys_b")) * num).select("a", "b")
-    return found.select("doc_id", "line_no", "h"), sets, cut_lineage(links)
+    firsts = found.join(sets.select("h", "first"), "h").filter(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no")))
+    return Prepared(found.select("doc_id", "line_no", "h"), sets, firsts.select("h", "size", "parity", "prefix", "first"), spotted, codes, num, den)
+
+
+def links(prepared: Prepared) -> DataFrame:
+    """All pairs ``a, b`` of different sets that match; ``earlier`` if a's first line is before b's."""
+    held = postings(prepared.firsts)
+    return prepared.verified(cut_lineage(candidates(held, held, prepared.num, prepared.den)))
+
+
+def repeats(prepared: Prepared) -> DataFrame:
+    """``h`` of every set that an earlier set matches, without all the pairs of a group of near-equal lines.
+
+    The first ``LEADERS`` sets of each word meet all its sets. Most of a large
+    group match one of those and are settled; only the rest meet every earlier
+    set, so that none is missed.
+    """
+    held = postings(prepared.firsts)
+    rank = F.row_number().over(Window.partitionBy("word").orderBy("first"))
+    leaders = held.withColumn("rank", rank).filter(F.col("rank") <= LEADERS).drop("rank")
+    by_leader = prepared.verified(cut_lineage(candidates(leaders, held, prepared.num, prepared.den))).filter("earlier").select(F.col("b").alias("h")).distinct()
+    rest = postings(prepared.firsts.join(by_leader, "h", "left_anti"))
+    by_any = prepared.verified(cut_lineage(candidates(held, rest, prepared.num, prepared.den))).filter("earlier").select(F.col("b").alias("h")).distinct()
+    return by_leader.union(by_any)
 
 
 def decisions(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> DataFrame:
     """Per document with words: ``doc_id, n_lines, n_links, removed`` (line numbers, ascending)."""
-    occurrences, sets, links = matches(docs, num, den, **columns)
-    ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = ends.join(sets.select(F.col("h").alias("b"), F.col("first").alias("near_first")), "b").groupBy(F.col("a").alias("h")).agg(F.min("near_first").alias("near_first"), F.count("*").alias("n_links"))
-    fate = sets.join(near, "h", "left").filter("n > 1 OR n_links > 0").select("h", F.least(F.col("first"), F.coalesce("near_first", "first")).alias("keep"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    seen = occurrences.join(fate, "h", "left")
-    gone = F.coalesce(position() > F.col("keep"), F.lit(False))
-    return seen.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), F.coalesce(F.sum("n_links"), F.lit(0)).alias("n_links"), F.array_sort(F.collect_list(F.when(gone, F.col("line_no")))).alias("removed"),
-    )
+    prepared = prepare(docs, num, den, **columns)
+    found = links(prepared)
+    ends = found.select(F.col("a").alias("h"), F.lit(False).alias("later")).union(found.select("b", "earlier"))
+    near = ends.groupBy("h").agg(F.max("later").alias("later"), F.count("*").alias("n_links"))
+    fate = prepared.sets.join(near, "h", "left").filter("n > 1 OR n_links > 0").select("h", "first", F.coalesce("later", F.lit(False)).alias("later"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    seen = prepared.occurrences.join(fate, "h", "left")
+    return seen.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.coalesce(F.sum("n_links"), F.lit(0)).alias("n_links"), _removed().alias("removed"))
+
+
+def _removed() -> Column:
+    gone = F.coalesce(F.col("later") | (position() > F.col("first")), F.lit(False))
+    return F.array_sort(F.collect_list(F.when(gone, F.col("line_no"))))
+
+
+def removals(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> DataFrame:
+    """The ``doc_id, removed`` of ``decisions``, without its count of links."""
+    prepared = prepare(docs, num, den, **columns)
+    later = repeats(prepared).select("h", F.lit(True).alias("later"))
+    fate = prepared.sets.join(later, "h", "left").filter("n > 1 OR later").select("h", "first", F.coalesce("later", F.lit(False)).alias("later"))
+    return prepared.occurrences.join(fate, "h").groupBy("doc_id").agg(_removed().alias("removed"))
 
 
 def report(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
@@ -159,7 +227,7 @@ def report(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
 
 def without_repeats(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the removed lines cut out of the text column; all rows and columns stay."""
-    found = decisions(docs, num, den, id_col=id_col, text_col=text_col).filter(F.size("removed") > 0)
+    found = removals(docs, num, den, id_col=id_col, text_col=text_col).filter(F.size("removed") > 0)
     cut = found.select(F.col("doc_id").alias("__cut_doc"), F.col("removed").alias("__cut_lines"))
     joined = docs.join(cut, docs[id_col].cast("long").eqNullSafe(F.col("__cut_doc")), "left")
     kept = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda _, i: ~F.array_contains("__cut_lines", i)), "\n")

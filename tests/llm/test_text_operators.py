@@ -120,6 +120,13 @@ def test_line_dedup_equals_brute_force(spark):
     assert kept == {d: t if d not in gone else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]) for d, t in enumerate(texts)}
 
 
+def test_lines_at_one_position_of_repeated_ids_are_linked_and_stay(spark):
+    given = spark.createDataFrame([(1, "a b c d e f g h i j"), (1, "a b c d e f g h i k"), (2, "a b c d e f g h i j")], "doc_id long, text string")
+    rows = sorted((r.doc_id, r.n_links, r.removed_lines) for r in linedup.report(given).collect())
+    assert rows == [(1, 2, ""), (1, 2, ""), (2, 1, "0")]
+    assert sorted(r.text for r in linedup.without_repeats(given).collect()) == ["", "a b c d e f g h i j", "a b c d e f g h i k"]
+
+
 def test_line_dedup_of_an_empty_table(spark):
     assert linedup.report(docs(spark, [])).count() == 0
 
@@ -306,3 +313,19 @@ def test_pipeline_stages_keep_columns(spark):
         out = stage(spark, table, "/root/testdata/sf0.001")
         assert out.columns == table.columns and out.dtypes == table.dtypes, name
     assert stage(spark, table.limit(0), "/root/testdata/sf0.001").count() == 0
+
+
+def test_line_removals_agree_with_links_in_a_large_group_of_near_lines(spark):
+    base = [f"word{i}" for i in range(30)]
+    texts = []
+    for i in range(60):  # more near lines of one kind than leaders, each with its own odd words
+        words = list(base)
+        for j in range(1 + i % 4):
+            words[(7 * i + 5 * j) % 30] = f"odd{i}x{j}"
+        texts.append(" ".join(words) + "\nalone" + str(i) + " line of its own")
+    given = docs(spark, texts)
+    with_links = {r.doc_id: r.removed for r in linedup.decisions(given).collect() if r.removed}
+    assert {r.doc_id: r.removed for r in linedup.removals(given).collect() if r.removed} == with_links
+    sets = [set(t.split("\n")[0].split()) for t in texts]
+    met = {j for j in range(60) if any(len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4 for i in range(j))}
+    assert {d for d, lines in with_links.items() if 0 in lines} == {r.doc_id for k, r in enumerate(given.orderBy("doc_id").collect()) if k in met}
