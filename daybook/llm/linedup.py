@@ -100,25 +100,23 @@ def position() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
 
 
-def postings(firsts: DataFrame) -> DataFrame:
-    """A row per set and word of its prefix that is counted twice or more, dealt out by word."""
-    at_words = firsts.select("h", "size", "parity", "first", F.posexplode("prefix").alias("at", "word"))
-    return at_words.filter(F.shiftright("word", 56) > 0).repartition("word")
+def postings(sets: DataFrame) -> DataFrame:
+    """A row per set and word of its prefix that is counted twice or more."""
+    place = F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("place")
+    at_words = sets.select("h", "size", "parity", place, F.posexplode("prefix").alias("at", "word"))
+    return at_words.filter(F.shiftright("word", 56) > 0)
 
 
-def candidates(left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs ``a, b, earlier`` of a set in ``left`` and one not before it in ``right`` that pass all filters."""
-    x = left.select("word", *[F.col(c).alias(f"{c}_a") for c in ("h", "size", "parity", "first", "at")])
-    y = right.select("word", *[F.col(c).alias(f"{c}_b") for c in ("h", "size", "parity", "first", "at")])
+def candidates(left: DataFrame, right: DataFrame, num: int, den: int, ordered: Column) -> DataFrame:
+    """Distinct pairs ``a, b`` of sets in ``left`` and ``right`` that pass all filters and ``ordered``."""
+    x = left.select("word", *[F.col(c).alias(f"{c}_a") for c in ("h", "size", "parity", "place", "at")])
+    y = right.select("word", *[F.col(c).alias(f"{c}_b") for c in ("h", "size", "parity", "place", "at")])
     both = F.col("size_a") + F.col("size_b")
     length = (F.col("size_a") * den >= F.col("size_b") * num) & (F.col("size_b") * den >= F.col("size_a") * num)
     rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
     positional = rest * (num + den) >= both * num
     parity = (both - F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b")))) * (num + den) >= both * (2 * num)
-    earlier = F.col("first_a") < F.col("first_b")
-    # rows that repeat a doc_id share their positions
-    ordered = earlier | ((F.col("first_a") == F.col("first_b")) & (F.col("h_a") < F.col("h_b")))
-    return x.join(y, "word").filter(length & positional & parity & ordered).select(F.col("h_a").alias("a"), F.col("h_b").alias("b"), earlier.alias("earlier")).distinct()
+    return x.join(y, "word").filter(length & positional & parity & ordered).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
 
 
 def among(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
@@ -133,27 +131,27 @@ def among(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Prepared:
-    """Occurrences ``doc_id, line_no, h``; ``sets`` (``h, first, n``); their prefixes; and what finds whole sets again."""
+    """Occurrences ``doc_id, line_no, h``; ``sets`` (``h, first, size, parity, prefix, n``); and what finds whole sets again."""
 
     occurrences: DataFrame
     sets: DataFrame
-    firsts: DataFrame
     spotted: DataFrame
     codes: bytes
     num: int
     den: int
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs ``a, b, earlier`` those that match on their whole sets."""
+        """Of the pairs ``a, b`` those that match on their whole sets, with their first positions."""
         num, den = self.num, self.den
         involved = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-        wanted = cut_lineage(involved.join(self.sets, "h").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "h"))
+        wanted = cut_lineage(involved.join(self.sets.select("h", "first"), "h").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "h", "first"))
         near = records(among(self.spotted, wanted, "doc_id", "line_no"), self.codes).select("h", "doc_id", "line_no", "keys")
-        places = wanted.select("h", F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
-        whole = near.join(places, "h").filter(F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("l") == F.col("line_no"))).select("h", "keys").dropDuplicates(["h"])
-        x, y = whole.select(F.col("h").alias("a"), F.col("keys").alias("keys_a")), whole.select(F.col("h").alias("b"), F.col("keys").alias("keys_b"))
+        places = wanted.select("h", "first")
+        whole = near.join(places, "h").filter(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no"))).select("h", "first", "keys").dropDuplicates(["h"])
+        x, y = [whole.select(F.col("h").alias(c), F.col("first").alias(f"first_{c}"), F.col("keys").alias(f"keys_{c}")) for c in "ab"]
         shared = F.size(F.array_intersect("keys_a", "keys_b"))
-        return cut_lineage(pairs.join(x, "a").join(y, "b").filter(shared * (num + den) >= (F.size("keys_a") + F.size("keys_b")) * num).select("a", "b", "earlier"))
+        both = pairs.join(x, "a").join(y, "b").filter(shared * (num + den) >= (F.size("keys_a") + F.size("keys_b")) * num)
+        return cut_lineage(both.select("a", "b", (F.col("first_b") < F.col("first_a")).alias("a_later"), (F.col("first_a") < F.col("first_b")).alias("b_later")))
 
 
 def prepare(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> Prepared:
@@ -162,30 +160,37 @@ def prepare(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> Prep
     full = records(spotted, codes)
     prefix = F.slice("keys", F.lit(1), F.col("size") - F.ceil(F.col("size") * num / den).cast("int") + 1)
     found = cut_lineage(full.select("doc_id", "line_no", "h", "size", parity_map(F.col("keys")).alias("parity"), prefix.alias("prefix")))
-    sets = cut_lineage(found.groupBy("h").agg(F.min(position()).alias("first"), F.count("*").alias("n")))
-    firsts = found.join(sets.select("h", "first"), "h").filter(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no")))
-    return Prepared(found.select("doc_id", "line_no", "h"), sets, firsts.select("h", "size", "parity", "prefix", "first"), spotted, codes, num, den)
+    # size, parity and prefix follow from h: they ride along with the first position
+    least = found.groupBy("h").agg(F.min(F.struct(position().alias("first"), "size", "parity", "prefix")).alias("x"), F.count("*").alias("n"))
+    return Prepared(found.select("doc_id", "line_no", "h"), cut_lineage(least.select("h", "x.*", "n")), spotted, codes, num, den)
 
 
 def links(prepared: Prepared) -> DataFrame:
-    """All pairs ``a, b`` of different sets that match; ``earlier`` if a's first line is before b's."""
-    held = postings(prepared.firsts)
-    return prepared.verified(cut_lineage(candidates(held, held, prepared.num, prepared.den)))
+    """All pairs ``a, b`` of different sets that match; ``a_later, b_later``: whose first line is the later."""
+    held = postings(prepared.sets).repartition("word")
+    return prepared.verified(cut_lineage(candidates(held, held, prepared.num, prepared.den, F.col("h_a") < F.col("h_b"))))
 
 
 def repeats(prepared: Prepared) -> DataFrame:
     """``h`` of every set that an earlier set matches, without all the pairs of a group of near-equal lines.
 
     The first ``LEADERS`` sets of each word meet all its sets. Most of a large
-    group match one of those and are settled; only the rest meet every earlier
-    set, so that none is missed.
+    group match one of those and are settled; of the rest, those with a word of
+    more sets meet every earlier set of such words, so that none is missed.
     """
-    held = postings(prepared.firsts)
-    rank = F.row_number().over(Window.partitionBy("word").orderBy("first"))
+    def later(left: DataFrame, right: DataFrame) -> DataFrame:
+        ordered = (F.col("place_a") <= F.col("place_b")) & (F.col("h_a") != F.col("h_b"))
+        found = prepared.verified(cut_lineage(candidates(left, right, prepared.num, prepared.den, ordered)))
+        return found.filter("b_later").select(F.col("b").alias("h")).distinct()
+
+    every = postings(prepared.sets)
+    held = every.repartition("word")
+    rank = F.row_number().over(Window.partitionBy("word").orderBy("place", "h"))
     leaders = held.withColumn("rank", rank).filter(F.col("rank") <= LEADERS).drop("rank")
-    by_leader = prepared.verified(cut_lineage(candidates(leaders, held, prepared.num, prepared.den))).filter("earlier").select(F.col("b").alias("h")).distinct()
-    rest = postings(prepared.firsts.join(by_leader, "h", "left_anti"))
-    by_any = prepared.verified(cut_lineage(candidates(held, rest, prepared.num, prepared.den))).filter("earlier").select(F.col("b").alias("h")).distinct()
+    by_leader = later(leaders, held)
+    busy = cut_lineage(every.groupBy("word").count().filter(F.col("count") > LEADERS).select("word"))
+    crowded = among(every, busy, "word")
+    by_any = later(crowded, crowded.join(by_leader, "h", "left_anti"))
     return by_leader.union(by_any)
 
 
@@ -193,7 +198,7 @@ def decisions(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> Da
     """Per document with words: ``doc_id, n_lines, n_links, removed`` (line numbers, ascending)."""
     prepared = prepare(docs, num, den, **columns)
     found = links(prepared)
-    ends = found.select(F.col("a").alias("h"), F.lit(False).alias("later")).union(found.select("b", "earlier"))
+    ends = found.select(F.col("a").alias("h"), F.col("a_later").alias("later")).union(found.select("b", "b_later"))
     near = ends.groupBy("h").agg(F.max("later").alias("later"), F.count("*").alias("n_links"))
     fate = prepared.sets.join(near, "h", "left").filter("n > 1 OR n_links > 0").select("h", "first", F.coalesce("later", F.lit(False)).alias("later"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     seen = prepared.occurrences.join(fate, "h", "left")
