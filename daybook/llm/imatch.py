@@ -34,7 +34,9 @@ from daybook.llm.common import cut_lineage
 
 LOW, HIGH = 0.001, 0.1
 DRAWS = 32
-RANGE_BYTES = 16 << 20
+WORDS = DRAWS // 4
+TOP_BITS = sum(1 << (15 * j + 14) for j in range(4))
+RANGE_BYTES = 8 << 20
 MAX_RANGES = 4096
 NO_ID = -(1 << 63)
 
@@ -44,41 +46,48 @@ def distinct_terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """``h, levels``: hash of each term in the band, and how many halvings keep it, 4 bits a draw."""
+    """``h, depth0 .. depth7``: hash of each term in the band, and how many halvings of each draw keep it."""
     n_docs = docs.count()
     terms = docs.select(F.explode(distinct_terms(F.coalesce("text", F.lit("")))).alias("term")).filter("term != ''")
     band = terms.select(F.xxhash64("term").alias("h")).groupBy("h").count().filter((F.col("count") >= low * n_docs) & (F.col("count") <= high * n_docs))
-    return band.select("h", *[_levels(F.col("h"), k).alias(f"levels{k}") for k in range(DRAWS // 16)])
+    return band.select("h", *[_depths(F.col("h"), w).alias(f"depth{w}") for w in range(WORDS)])
 
 
-def _levels(h: Column, word: int) -> Column:
-    """16 draws of a halving count from 0 to 15, packed in a long."""
+def _depths(h: Column, word: int) -> Column:
+    """Four draws of a halving count from 0 to 13, in fields of 15 bits: a count of n sets the lowest n + 1 of the field."""
     parts = []
-    for i in range(16):
-        bits = F.xxhash64(h, F.lit(word * 16 + i)).bitwiseAND(F.lit(0x7FFF))
-        # the number of leading zeros of 15 random bits
-        level = F.lit(15) - F.when(bits == 0, F.lit(0)).otherwise(F.floor(F.log2(bits.cast("double"))).cast("int") + 1)
-        parts.append(F.shiftleft(level.cast("long"), 4 * i))
+    for j in range(4):
+        bits = F.xxhash64(h, F.lit(4 * word + j)).bitwiseAND(F.lit(0x1FFF))
+        # the number of leading zeros of 13 random bits
+        level = F.lit(13) - F.when(bits == 0, F.lit(0)).otherwise(F.floor(F.log2(bits.cast("double"))).cast("int") + 1)
+        filled = F.call_function("shiftleft", F.lit(2).cast("long"), level.cast("int")) - 1
+        parts.append(F.shiftleft(filled, 15 * j))
     return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
-def _hashes(terms: Column) -> Column:
-    """The 32 hashes, in hex, of an array of structs ``h, levels0, levels1`` sorted by h; null if it is empty."""
-    hashes = []
-    for i in range(DRAWS):
-        level = _level_of(i)
-        deepest = F.array(F.array_max(F.transform(terms, level)))
-        # the one-element array holds the level, so that it is not found anew for every term
-        hashes.append(_digits(F.xxhash64(_kept(terms, deepest, level))))
-    return F.when(F.size(terms) > 0, F.concat(*hashes))
+def deepest_terms(in_band: DataFrame, *keys: str) -> DataFrame:
+    """``keys, h, draws`` of the terms that stand in the smallest held subset of a draw.
+
+    The depths of all terms of a text are joined by OR, field by field; a term is
+    among the deepest of a draw if its field equals the joined one. No list of a
+    text's terms is built; some tens of terms a text are left, however long it is.
+    """
+    text = Window.partitionBy(*keys)
+    held = in_band.withColumns({f"held{w}": F.bit_or(f"depth{w}").over(text) for w in range(WORDS)})
+    # a field's top bit, which no depth sets, stays after the subtraction only if the fields are equal
+    equal = [(F.lit(TOP_BITS) - F.col(f"depth{w}").bitwiseXOR(F.col(f"held{w}"))).bitwiseAND(F.lit(TOP_BITS)) for w in range(WORDS)]
+    draws = reduce(lambda a, b: a.bitwiseOR(b), [F.shiftrightunsigned(x, w) for w, x in enumerate(equal)])
+    return held.select(*keys, "h", draws.alias("draws")).filter("draws != 0")
 
 
-def _level_of(i: int):
-    return lambda x: F.shiftrightunsigned(x[f"levels{i // 16}"], 4 * (i % 16)).bitwiseAND(F.lit(15))
+def _hashes(terms: Column) -> Column:
+    """The 32 hashes, in hex, of an array of structs ``h, draws`` sorted by h; null if it is empty."""
+    hashes = [_digits(F.xxhash64(_kept(terms, 1 << (15 * (i % 4) + 14 - i // 4)))) for i in range(DRAWS)]
+    return F.when(F.size(terms) > 0, F.concat(*hashes))
 
 
-def _kept(terms: Column, deepest: Column, level) -> Column:
-    return F.transform(deepest, lambda d: F.transform(F.filter(terms, lambda x: level(x) == d), lambda x: x["h"]))
+def _kept(terms: Column, bit: int) -> Column:
+    return F.transform(F.filter(terms, lambda x: x["draws"].bitwiseAND(F.lit(bit).cast("long")) != 0), lambda x: x["h"])
 
 
 def _digits(h: Column) -> Column:
@@ -135,8 +144,8 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH, range_by
     held = rows.select("part", "place", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("text").alias("t")), F.struct(F.lit(1).alias("k"), F.col("edited").alias("t")))).alias("v"))
     words = held.select("part", "place", F.col("v.k").alias("k"), F.explode(distinct_terms(F.col("v.t"))).alias("term"))
     in_band = words.select("part", "place", "k", F.xxhash64("term").alias("h")).join(F.broadcast(terms), "h")
-    entry = F.struct("h", "levels0", "levels1")
-    lists = in_band.groupBy("part", "place").agg(*[F.array_sort(F.collect_list(F.when(F.col("k") == k, entry))).alias(f"terms{k}") for k in (0, 1)])
+    entry = F.struct("h", "draws")
+    lists = deepest_terms(in_band, "part", "place", "k").groupBy("part", "place").agg(*[F.array_sort(F.collect_list(F.when(F.col("k") == k, entry))).alias(f"terms{k}") for k in (0, 1)])
     prints = lists.select("part", "place", _hashes(F.col("terms0")).alias("print0"), _hashes(F.col("terms1")).alias("print1"))
     joined = base.join(prints, ["part", "place"], "left")
     named = joined.select("part", "place", "copy", "doc_id", "n_chars", "edited_sha256", F.coalesce("print0", "whole_text").alias("fingerprint"), F.coalesce("print1", "whole_edited").alias("edited_fingerprint"))
