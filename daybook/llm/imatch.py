@@ -99,13 +99,18 @@ def likeness(a: Column, b: Column) -> Column:
     return reduce(lambda x, y: x + y, same) / F.lit(float(DRAWS))
 
 
-def range_of(key: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds are at most ``key``, by binary search."""
-    if not bounds:
-        return F.lit(0)
-    sorted_bounds, n = F.array(*[F.lit(b) for b in bounds]), len(bounds)
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
-    return F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= n) & (F.get(sorted_bounds, F.least(at + s, F.lit(n)) - 1) <= key), at + s).otherwise(at))
+def with_range(rows: DataFrame, key: Column, bounds: list[int], name: str) -> DataFrame:
+    """``rows`` with the number of the sorted bounds that are at most ``key``, by binary search.
+
+    A step is a column, not a lambda's result: plans with lambdas are never taken
+    as equal, and the shuffle of the texts could not be used twice.
+    """
+    found, n = rows.withColumn(name, F.lit(0)), len(bounds)
+    listed = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    for step in reversed(range(n.bit_length())):
+        at = F.col(name) + (1 << step)
+        found = found.withColumn(name, F.when((at <= n) & (F.get(listed, F.least(at, F.lit(n)) - 1) <= key), at).otherwise(F.col(name)))
+    return found
 
 
 def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -118,12 +123,12 @@ def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     if n_ranges > 1:
         shares = [i / n_ranges for i in range(1, n_ranges)]
         bounds = sorted(set(rows.agg(F.percentile_approx(key, shares, max(10_000, 20 * n_ranges))).first()[0]))
-    placed = rows.withColumn("part", range_of(key, bounds))
-    # at most MAX_RANGES rows: the largest document of each range
+    placed = with_range(rows, key, bounds, "part")
+    # parts are not null, so that no filter on one use of the rows makes their shuffle another; at most MAX_RANGES rows: the largest document of each range
     tops = sorted(placed.groupBy("part").agg(F.max(key).alias("top")).collect())
     follows = [(top, tops[(i + 1) % len(tops)][0], i + 1 == len(tops)) for i, (_, top) in enumerate(tops)]
     borders = docs.sparkSession.createDataFrame(follows or [(0, 0, False)], "top long, below int, wraps boolean").limit(len(follows))
-    copies = rows.join(F.broadcast(borders), key == F.col("top")).select("doc_id", "text", F.col("below").alias("part"), F.lit(True).alias("copy"))
+    copies = rows.join(F.broadcast(borders), key == F.col("top")).select("doc_id", "text", F.coalesce("below", F.lit(0)).alias("part"), F.lit(True).alias("copy"))
     both = placed.select("doc_id", "text", "part", F.lit(False).alias("copy")).union(copies)
     order = Window.partitionBy("part").orderBy("copy", F.desc_nulls_last("doc_id"), "text")
     return both.withColumns({"place": F.row_number().over(order), "next_text": F.lead("text").over(order)})
