@@ -7,7 +7,7 @@ terms of a document, at most that mean divided by ``LOW`` terms are in the band,
 however large the corpus; only those are broadcast.
 
 Each of 32 randomisations deals the lexicon into nested subsets, every one a
-random half of the one before. A document's hash under a randomisation is taken
+random half of the one before, 13 times at most. A document's hash under a randomisation is taken
 over its sorted distinct terms in the smallest of those subsets that holds any
 of them, so that short and long documents both keep a term or two. The
 fingerprint is the 32 hashes in hex; the likeness of two fingerprints is the
