@@ -37,7 +37,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import ASCII_SPACE, cut_lineage
+from daybook.llm.common import ASCII_SPACE, cut_lineage, stored
 
 COUNTER_BITS = 18
 COUNTERS = 1 << COUNTER_BITS
@@ -159,10 +159,10 @@ def prepare(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> Prep
     spotted = spots(docs, **columns)
     full = records(spotted, codes)
     prefix = F.slice("keys", F.lit(1), F.col("size") - F.ceil(F.col("size") * num / den).cast("int") + 1)
-    found = cut_lineage(full.select("doc_id", "line_no", "h", "size", parity_map(F.col("keys")).alias("parity"), prefix.alias("prefix")))
+    found = stored(full.select("doc_id", "line_no", "h", "size", parity_map(F.col("keys")).alias("parity"), prefix.alias("prefix")))
     # size, parity and prefix follow from h: they ride along with the first position
     least = found.groupBy("h").agg(F.min(F.struct(position().alias("first"), "size", "parity", "prefix")).alias("x"), F.count("*").alias("n"))
-    return Prepared(found.select("doc_id", "line_no", "h"), cut_lineage(least.select("h", "x.*", "n")), spotted, codes, num, den)
+    return Prepared(found.select("doc_id", "line_no", "h"), stored(least.select("h", "x.*", "n")), spotted, codes, num, den)
 
 
 def links(prepared: Prepared) -> DataFrame:
