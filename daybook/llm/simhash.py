@@ -23,9 +23,11 @@ takes 1,024 bits from each shingle's hash, and 51 blocks of 20 bits. The share o
 differing bits tells the angle between two documents, so a Jaccard similarity of
 0.8 stands for 154 bits. Guaranteed to share a block are pairs that differ in 50
 bits at most; for others it is likely: 87 % at a similarity of 0.8, 97 % at 0.85,
-over 99 % at 0.9. Members of small buckets are paired; members of large ones are
-compared with two of them, the first and one drawn by a hash of the block. The
-Hamming distance of every pair is verified.
+over 99 % at 0.9. Members of small buckets are paired; members of large ones meet
+two of them, the first and one drawn by a hash of the block, and then every member
+that no chain of verified edges joins to them yet, in salted parts. The Hamming
+distance of every pair is verified. No candidate is left out: a pair that never
+meets is in one component already.
 
 Defined results: null or blank text has fingerprint zero and links like any
 other; fewer words than ``width`` form one shingle; equal texts have equal
@@ -53,6 +55,8 @@ WIDE_WORDS = 16
 WIDE_BLOCK_BITS = 20
 #: Buckets of more distinct fingerprints than this are split, not paired off.
 PAIRED_BUCKET = 32
+#: Members of a salted part of a large bucket of wide fingerprints.
+SALTED_PART = 1024
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -129,7 +133,10 @@ def wide_limit(similarity: float) -> int:
 
 
 def wide_edges(nodes: DataFrame, limit: int) -> DataFrame:
-    """Verified edges ``src, dst`` between rows ``doc, fp, blocks`` of distinct fingerprints."""
+    """Verified edges ``src, dst`` between rows ``doc, fp, blocks`` of distinct fingerprints.
+
+    Their components are those of all pairs that share a block and are within the limit.
+    """
     filed = nodes.select("doc", F.posexplode("blocks").alias("part", "key"))
     drawn = F.min(F.struct(F.xxhash64("doc", "part").alias("order"), "doc"))
     sizes = filed.groupBy("part", "key").agg(F.count("*").alias("size"), F.min("doc").alias("first"), drawn.alias("drawn")).filter("size > 1")
@@ -138,10 +145,35 @@ def wide_edges(nodes: DataFrame, limit: int) -> DataFrame:
     a, b = few.select("part", "key", F.col("doc").alias("src")), few.select("part", "key", F.col("doc").alias("dst"))
     pairs = a.join(b, ["part", "key"]).filter("src < dst").select("src", "dst")
     stars = many.select(F.explode(F.array("first", "drawn")).alias("x"), "doc").filter("x != doc").select(F.least("x", "doc").alias("src"), F.greatest("x", "doc").alias("dst"))
-    every = pairs.union(stars).distinct()
+    met = within(pairs.union(stars).distinct(), nodes, limit)
+    if many.isEmpty():
+        return met
+    met = cut_lineage(met)
+    return met.union(within(unmet(many, connected_components(met)), nodes, limit))
+
+
+def within(pairs: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
+    """The ``pairs`` whose fingerprints differ in at most ``limit`` bits."""
     x, y = nodes.select(F.col("doc").alias("src"), F.col("fp").alias("fp_a")), nodes.select(F.col("doc").alias("dst"), F.col("fp").alias("fp_b"))
     bits = reduce(lambda p, q: p + q, [distance(F.get("fp_a", i), F.get("fp_b", i)) for i in range(WIDE_WORDS)])
-    return every.join(x, "src").join(y, "dst").filter(bits <= limit).select("src", "dst")
+    return pairs.join(x, "src").join(y, "dst").filter(bits <= limit).select("src", "dst")
+
+
+def unmet(many: DataFrame, roots: DataFrame) -> DataFrame:
+    """All pairs ``src, dst`` of members of one bucket that are in different components.
+
+    Members outside a bucket's largest component meet all its members, in parts of
+    some ``SALTED_PART``; those inside it need not meet each other.
+    """
+    salts = F.ceil(F.col("size") / SALTED_PART).cast("int")
+    rooted = cut_lineage(many.join(roots, F.col("doc") == F.col("node"), "left").select("part", "key", "doc", salts.alias("salts"), F.coalesce("root", "doc").alias("root")))
+    counts = rooted.groupBy("part", "key", "root").agg(F.count("*").alias("n"))
+    mains = counts.groupBy("part", "key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots")).filter("roots > 1").drop("roots")
+    left = rooted.join(mains, ["part", "key"])
+    x = left.filter("root != main").select("part", "key", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("salts") - 1).cast("long"))).alias("salt"), F.col("doc").alias("a"), F.col("root").alias("root_a"))
+    y = left.select("part", "key", F.pmod(F.xxhash64("doc"), F.col("salts").cast("long")).alias("salt"), F.col("doc").alias("b"), F.col("root").alias("root_b"), "main")
+    apart = x.join(y, ["part", "key", "salt"]).filter((F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b"))))
+    return apart.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
 
 
 def copies(df: DataFrame, width: int = 5, min_similarity: float = 0.8, **columns: str) -> DataFrame:

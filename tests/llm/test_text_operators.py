@@ -94,6 +94,27 @@ def test_near_copies_leave_one_of_each_group(spark):
     assert odd == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def wide_node(doc, bits):
+    n = len(bits) // simhash.WIDE_BLOCK_BITS
+    blocks = bits[: n * simhash.WIDE_BLOCK_BITS].reshape(n, -1) @ (1 << np.arange(simhash.WIDE_BLOCK_BITS))
+    return doc, np.packbits(bits, bitorder="little").view("<i8").tolist(), blocks.tolist()
+
+
+@pytest.mark.parametrize("part", [1024, 7])
+def test_wide_pairs_meet_in_large_buckets(spark, monkeypatch, part):
+    monkeypatch.setattr(simhash, "SALTED_PART", part, raising=False)
+    rng = np.random.default_rng(5)
+    rows = rng.integers(0, 2, (80, 1024), dtype=np.uint8)
+    rows[:, :20] = rows[0, :20]
+    for i in (*range(20, 30), *range(41, 60)):  # chains of near copies that share the first block only
+        rows[i] = rows[i - 1]
+        rows[i, 20:1020].reshape(50, 20)[np.arange(50), rng.integers(0, 20, 50)] ^= 1
+    nodes = spark.createDataFrame([wide_node(i, r) for i, r in enumerate(rows)], "doc long, fp array<long>, blocks array<int>")
+    found = {r.node: r.root for r in graph.connected_components(simhash.wide_edges(nodes, 60)).collect()}
+    want = components(range(80), lambda a, b: (rows[a] != rows[b]).sum() <= 60)
+    assert {i: found.get(i, i) for i in range(80)} == want
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(50)]
     got = {r.node: r.root for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
