@@ -3,10 +3,16 @@
 Lexicon: terms whose share of documents lies in the band ``[LOW, HIGH]`` (equally,
 whose inverse document frequency lies between two values), counted over all
 documents. Since the shares of all terms add up to the mean number of distinct
-terms of a document, at most that mean divided by ``LOW`` terms are in the band,
-however large the corpus; only those are broadcast.
+terms of a document, at most that mean divided by ``LOW`` terms are in the band
+or above it, however large the corpus; only those are broadcast.
 
-Each of 32 randomisations deals the lexicon into nested subsets, every one a
+In a group of copies or near copies of over ``HIGH`` of all documents, most terms
+are above the band. A text of whose terms not below the band less than ``LEAST``
+are in it is hashed over those in up to ``COMMON`` of the documents too, and if
+these are as few, over the still more common ones; a text of terms below the band
+only is hashed over these.
+
+Each of 32 randomisations deals these terms into nested subsets, every one a
 random half of the one before, 13 times at most. A document's hash under a randomisation is taken
 over its sorted distinct terms in the smallest of those subsets that holds any
 of them, so that short and long documents both keep a term or two. The
@@ -17,7 +23,7 @@ Neighbours: documents are dealt into ranges of doc_id with one shuffle of the
 texts; a range also gets a copy of the document that follows its last one, so
 the next document is found within the range and no task sees all documents.
 
-Defined results: null text counts as empty; a text without terms in the band is
+Defined results: null text counts as empty; a text without any term is
 hashed as a whole, so equal texts have likeness 1 and others 0; repeated doc_ids
 follow each other by text; a null doc_id comes last; with one document the next
 is itself; an empty table gives no rows; other columns are not read.
@@ -33,6 +39,8 @@ from pyspark.sql import functions as F
 from daybook.llm.common import cut_lineage
 
 LOW, HIGH = 0.001, 0.1
+#: Texts with less than this share of terms in the band are hashed by more common terms too, at first by those in at most that share of the documents.
+LEAST, COMMON = 0.25, 0.5
 DRAWS = 32
 WORDS = DRAWS // 4
 TOP_BITS = sum(1 << (15 * j + 14) for j in range(4))
@@ -46,11 +54,22 @@ def distinct_terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """``h, depth0 .. depth7``: hash of each term in the band, and how many halvings of each draw keep it."""
+    """``h, tier, depth0 .. depth7``: hash of each term not below the band, 0 in it and 1 or 2 above it, and how many halvings of each draw keep it."""
     n_docs = docs.count()
     terms = docs.select(F.explode(distinct_terms(F.coalesce("text", F.lit("")))).alias("term")).filter("term != ''")
-    band = terms.select(F.xxhash64("term").alias("h")).groupBy("h").count().filter((F.col("count") >= low * n_docs) & (F.col("count") <= high * n_docs))
-    return band.select("h", *[_depths(F.col("h"), w).alias(f"depth{w}") for w in range(WORDS)])
+    held = terms.select(F.xxhash64("term").alias("h")).groupBy("h").count().filter(F.col("count") >= low * n_docs)
+    tier = F.when(F.col("count") <= high * n_docs, 0).when(F.col("count") <= COMMON * n_docs, 1).otherwise(2)
+    return held.select("h", tier.alias("tier"), *[_depths(F.col("h"), w).alias(f"depth{w}") for w in range(WORDS)])
+
+
+def telling_terms(words: DataFrame, terms: DataFrame, *keys: str) -> DataFrame:
+    """``keys, h, depth0 .. depth7`` of the terms that each text is hashed over; terms below the band, which ``terms`` lacks, are the last tier."""
+    text = Window.partitionBy(*keys)
+    tiers = words.join(F.broadcast(terms.select("h", "tier")), "h", "left").select(*keys, "h", F.coalesce("tier", F.lit(3)).alias("tier"))
+    counted = tiers.withColumns({f"n{t}": F.count_if(F.col("tier") <= t).over(text) for t in range(3)})
+    last = F.when(F.col("n2") == 0, 3).when(F.col("n0") >= LEAST * F.col("n2"), 0).when(F.col("n1") >= LEAST * F.col("n2"), 1).otherwise(2)
+    depths = [F.coalesce(f"depth{w}", _depths(F.col("h"), w)).alias(f"depth{w}") for w in range(WORDS)]
+    return counted.filter(F.col("tier") <= last).select(*keys, "h").join(F.broadcast(terms.drop("tier")), "h", "left").select(*keys, "h", *depths)
 
 
 def _depths(h: Column, word: int) -> Column:
@@ -65,7 +84,7 @@ def _depths(h: Column, word: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
-def deepest_terms(in_band: DataFrame, *keys: str) -> DataFrame:
+def deepest_terms(terms: DataFrame, *keys: str) -> DataFrame:
     """``keys, h, draws`` of the terms that stand in the smallest held subset of a draw.
 
     The depths of all terms of a text are joined by OR, field by field; a term is
@@ -73,7 +92,7 @@ def deepest_terms(in_band: DataFrame, *keys: str) -> DataFrame:
     text's terms is built; some tens of terms a text are left, however long it is.
     """
     text = Window.partitionBy(*keys)
-    held = in_band.withColumns({f"held{w}": F.bit_or(f"depth{w}").over(text) for w in range(WORDS)})
+    held = terms.withColumns({f"held{w}": F.bit_or(f"depth{w}").over(text) for w in range(WORDS)})
     # a field's top bit, which no depth sets, stays after the subtraction only if the fields are equal
     equal = [(F.lit(TOP_BITS) - F.col(f"depth{w}").bitwiseXOR(F.col(f"held{w}"))).bitwiseAND(F.lit(TOP_BITS)) for w in range(WORDS)]
     draws = reduce(lambda a, b: a.bitwiseOR(b), [F.shiftrightunsigned(x, w) for w, x in enumerate(equal)])
@@ -147,10 +166,10 @@ def fingerprints(docs: DataFrame, low: float = LOW, high: float = HIGH, range_by
         *[F.repeat(_digits(F.xxhash64(F.lower(c))), DRAWS).alias(f"whole_{c}") for c in ("text", "edited")],
     )
     held = rows.select("part", "place", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("text").alias("t")), F.struct(F.lit(1).alias("k"), F.col("edited").alias("t")))).alias("v"))
-    words = held.select("part", "place", F.col("v.k").alias("k"), F.explode(distinct_terms(F.col("v.t"))).alias("term"))
-    in_band = words.select("part", "place", "k", F.xxhash64("term").alias("h")).join(F.broadcast(terms), "h")
+    words = held.select("part", "place", F.col("v.k").alias("k"), F.explode(distinct_terms(F.col("v.t"))).alias("term")).filter("term != ''")
+    told_by = telling_terms(words.select("part", "place", "k", F.xxhash64("term").alias("h")), terms, "part", "place", "k")
     entry = F.struct("h", "draws")
-    lists = deepest_terms(in_band, "part", "place", "k").groupBy("part", "place").agg(*[F.array_sort(F.collect_list(F.when(F.col("k") == k, entry))).alias(f"terms{k}") for k in (0, 1)])
+    lists = deepest_terms(told_by, "part", "place", "k").groupBy("part", "place").agg(*[F.array_sort(F.collect_list(F.when(F.col("k") == k, entry))).alias(f"terms{k}") for k in (0, 1)])
     prints = lists.select("part", "place", _hashes(F.col("terms0")).alias("print0"), _hashes(F.col("terms1")).alias("print1"))
     joined = base.join(prints, ["part", "place"], "left")
     named = joined.select("part", "place", "copy", "doc_id", "n_chars", "edited_sha256", F.coalesce("print0", "whole_text").alias("fingerprint"), F.coalesce("print1", "whole_edited").alias("edited_fingerprint"))

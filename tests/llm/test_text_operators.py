@@ -194,6 +194,13 @@ def test_imatch_of_one_document_and_none(spark):
     assert one.near_next == 1.0
 
 
+def test_imatch_keeps_the_likeness_of_a_hot_group(spark):
+    base = invented(1, seed=12, words=80)[0].split()
+    hot = [" ".join(f"own{i}" if j == 2 * i else w for j, w in enumerate(base)) for i in range(30)]
+    rows = {r.doc_id: r for r in imatch.fingerprints(docs(spark, [*invented(60, seed=13, words=80), *hot])).collect()}
+    assert np.mean([rows[i].near_next for i in range(61, 90)]) > 0.5 and np.mean([rows[i].near_edited for i in range(61, 90)]) > 0.3  # half of the terms stay
+
+
 # sharding
 
 
