@@ -19,14 +19,15 @@ linear number of edges and loses no component. This needs ``max_bits`` = 2; for
 other limits buckets are split by further blocks and joined in salted parts.
 
 Wide fingerprints, for similarities far below that of two bits: ``without_copies``
-takes 1,024 bits from each shingle's hash, and 51 blocks of 20 bits. The share of
-differing bits tells the angle between two documents, so a Jaccard similarity of
-0.8 stands for 154 bits. Guaranteed to share a block are pairs that differ in 50
-bits at most; for others it is likely: 87 % at a similarity of 0.8, 97 % at 0.85,
-over 99 % at 0.9. Members of small buckets are paired; members of large ones meet
+takes 1,024 bits from each shingle's hash, and files a fingerprint under 102 blocks
+of 20 bits: 51 runs of bits, and 51 that take every 51st bit. The share of differing
+bits tells the angle between two documents, so a Jaccard similarity of 0.8 stands for
+155 bits on average. Pairs that share a block and differ by no more than some
+deviations above that are candidates, and the Jaccard similarity of their shingle
+sets is verified. Guaranteed to share a block are pairs that differ in 50 bits at
+most; README has the measured share of others. Members of small buckets are paired; members of large ones meet
 two of them, the first and one drawn by a hash of the block, and then every member
-that no chain of verified edges joins to them yet, in salted parts. The Hamming
-distance of every pair is verified. No candidate is left out: a pair that never
+that no chain of verified edges joins to them yet, in salted parts. No candidate is left out: a pair that never
 meets is in one component already.
 
 Defined results: null or blank text has fingerprint zero and links like any
@@ -38,6 +39,7 @@ fingerprints; a null doc_id is never the smallest of its group unless all are.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 from itertools import combinations
 
@@ -47,12 +49,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from daybook.llm.common import arrow_map, cut_lineage
+from daybook.llm.common import arrow_map, cut_lineage, stored
 from daybook.llm.graph import connected_components
 
 SEED = 42
 WIDE_WORDS = 16
 WIDE_BLOCK_BITS = 20
+#: Standard deviations above the mean distance that candidates may have; all of them are verified.
+DEVIATIONS = 8
 #: Buckets of more distinct fingerprints than this are split, not paired off.
 PAIRED_BUCKET = 32
 #: Members of a salted part of a large bucket of wide fingerprints.
@@ -112,30 +116,54 @@ def wide_majority(hashes: np.ndarray) -> np.ndarray:
     return (counts * 2 > len(hashes)).astype(np.uint8)
 
 
+def wide_blocks(bits: np.ndarray) -> np.ndarray:
+    """The bits in blocks, by runs and by strides: a block of one kind has at most one bit in common with one of the other."""
+    n = len(bits) // WIDE_BLOCK_BITS
+    used = bits[: n * WIDE_BLOCK_BITS]
+    return np.concatenate((used.reshape(n, -1), used.reshape(-1, n).T)) @ (1 << np.arange(WIDE_BLOCK_BITS))
+
+
 def wide_fingerprints(df: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns ``doc_id, fp`` (16 longs) and ``blocks`` (51 numbers of 20 bits)."""
+    """Columns ``doc_id, fp`` (16 longs) and ``blocks`` (102 numbers of 20 bits)."""
     schema = StructType([StructField("doc_id", LongType()), StructField("fp", ArrayType(LongType())), StructField("blocks", ArrayType(IntegerType()))])
-    n_blocks = 64 * WIDE_WORDS // WIDE_BLOCK_BITS
-    weights = 1 << np.arange(WIDE_BLOCK_BITS)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bits = [wide_majority(shingle_hashes(t.as_py(), width)) for t in batch.column(1)]
         fps = [np.packbits(b, bitorder="little").view("<i8").tolist() for b in bits]
-        blocks = [(b[: n_blocks * WIDE_BLOCK_BITS].reshape(n_blocks, -1) @ weights).tolist() for b in bits]
+        blocks = [wide_blocks(b).tolist() for b in bits]
         return pa.record_batch([batch.column(0), pa.array(fps, pa.list_(pa.int64())), pa.array(blocks, pa.list_(pa.int32()))], names=schema.names)
 
     return arrow_map(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, schema)
 
 
 def wide_limit(similarity: float) -> int:
-    """Differing bits of two documents whose shingle sets have this Jaccard similarity, on average."""
-    return int(64 * WIDE_WORDS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    """Differing bits that two documents whose shingle sets have this Jaccard similarity stay within: the mean and ``DEVIATIONS``."""
+    n, share = 64 * WIDE_WORDS, math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(n * share + DEVIATIONS * math.sqrt(n * share * (1 - share)))
+
+
+def alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ``pairs`` of doc_ids whose sets of shingles have this Jaccard similarity at least."""
+    pairs = cut_lineage(pairs)
+    wanted = pairs.select(F.col("src").alias("doc")).union(pairs.select("dst")).distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(wanted, "doc", "left_semi")
+    schema = StructType([StructField("doc", LongType()), StructField("shingles", ArrayType(LongType()))])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.unique(shingle_hashes(t.as_py(), width)).view("<i8") for t in batch.column(1)]
+        return pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=schema.names)
+
+    sets = stored(arrow_map(texts, run, schema))
+    x, y = (sets.select(F.col("doc").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("src", "dst"))
+    shared = F.size(F.array_intersect("of_src", "of_dst"))
+    enough = shared >= similarity * (F.size("of_src") + F.size("of_dst") - shared) - 1e-9
+    return pairs.join(x, "src").join(y, "dst").filter(enough).select("src", "dst").distinct()
 
 
-def wide_edges(nodes: DataFrame, limit: int) -> DataFrame:
+def wide_edges(nodes: DataFrame, limit: int, verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
     """Verified edges ``src, dst`` between rows ``doc, fp, blocks`` of distinct fingerprints.
 
-    Their components are those of all pairs that share a block and are within the limit.
+    Their components are those of all pairs that share a block and are within the limit and pass ``verify``.
     """
     filed = nodes.select("doc", F.posexplode("blocks").alias("part", "key"))
     drawn = F.min(F.struct(F.xxhash64("doc", "part").alias("order"), "doc"))
@@ -145,11 +173,11 @@ def wide_edges(nodes: DataFrame, limit: int) -> DataFrame:
     a, b = few.select("part", "key", F.col("doc").alias("src")), few.select("part", "key", F.col("doc").alias("dst"))
     pairs = a.join(b, ["part", "key"]).filter("src < dst").select("src", "dst")
     stars = many.select(F.explode(F.array("first", "drawn")).alias("x"), "doc").filter("x != doc").select(F.least("x", "doc").alias("src"), F.greatest("x", "doc").alias("dst"))
-    met = within(pairs.union(stars).distinct(), nodes, limit)
+    met = verify(within(pairs.union(stars).distinct(), nodes, limit))
     if many.isEmpty():
         return met
     met = cut_lineage(met)
-    return met.union(within(unmet(many, connected_components(met)), nodes, limit))
+    return met.union(verify(within(unmet(many, connected_components(met)), nodes, limit)))
 
 
 def within(pairs: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
@@ -180,7 +208,7 @@ def copies(df: DataFrame, width: int = 5, min_similarity: float = 0.8, **columns
     """``doc_id, root`` of the documents that are near copies of an earlier one, the root of their group."""
     fps = cut_lineage(wide_fingerprints(df, width, **columns).filter("doc_id IS NOT NULL"))
     nodes = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("blocks").alias("blocks")))
-    roots = connected_components(wide_edges(nodes, wide_limit(min_similarity)))
+    roots = connected_components(wide_edges(nodes, wide_limit(min_similarity), lambda pairs: alike(pairs, df, width, min_similarity, **columns)))
     placed = nodes.select("fp", "doc").join(roots, F.col("doc") == F.col("node"), "left").select("fp", F.coalesce("root", "doc").alias("root"))
     return fps.select("doc_id", "fp").join(placed, "fp").filter("doc_id != root").select("doc_id", "root").distinct()
 

@@ -115,6 +115,15 @@ def test_wide_pairs_meet_in_large_buckets(spark, monkeypatch, part):
     assert {i: found.get(i, i) for i in range(80)} == want
 
 
+def test_near_copies_at_the_similarity_asked_for_go_and_others_stay(spark):
+    words = lambda name, n: " ".join(f"{name}w{i}" for i in range(n))
+    # 200 shingles of one word each: 178 shared ones are a Jaccard similarity of 0.802, 176 one of 0.786
+    rows = [(2 * i + k, words(f"p{i}x", n) + " " + words(f"p{i}y{k}", 200 - n)) for i in range(60) for n in [178 if i < 40 else 176] for k in (0, 1)]
+    table = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], DOC)
+    gone = {r.doc_id for r in simhash.copies(table, width=1).collect()}
+    assert len(gone & set(range(1, 80, 2))) >= 37 and not gone & set(range(80, 120))
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(50)]
     got = {r.node: r.root for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
