@@ -224,7 +224,7 @@ _facet("notice", lambda h: R.notice(h, F.array(F.lit("academic calendar"))), _ha
 _facet("rescheduled", R.rescheduled, _has("rescheduled"))
 _facet("home_away", lambda h: R.home_away(h, F.lit(True)), f"CASE WHEN {_has('home')} THEN 'home' WHEN {_has('away')} THEN 'away' END")
 _facet("classify_vocab", R.type_by_title, sql_first("hay", R.TITLE_TERMS))
-_facet("classify_venue", lambda h: R.type_by_venue(F.substring(h, 1, 60)), "CASE " + " ".join(f"WHEN contains(v, {quoted(k)}) THEN {quoted(t)}" for k, t in R.VENUE_NAMES.items()) + f" ELSE {sql_first('v', R.VENUE_TERMS)} END")
+_facet("classify_venue", R.type_by_venue, "CASE " + " ".join(f"WHEN contains(v, {quoted(k)}) THEN {quoted(t)}" for k, t in R.VENUE_NAMES.items()) + f" ELSE {sql_first('v', R.VENUE_TERMS)} END")
 ORACLES["classify_venue"] = ORACLES["classify_venue"].replace(f"FROM {BY_TEXT}", f"FROM (SELECT id, lower(substr(hay, 1, 60)) AS v FROM {BY_TEXT})")
 
 

@@ -151,6 +151,13 @@ def test_matching_and_diff(spark):
     assert [tuple(r) for r in diff.changed_fields(a, b, ["t", "u"]).collect()] == [(1, "u", None, "n")]
 
 
+def test_venue_rules_read_whole_texts(spark, tmp_path):
+    name, kind = next(iter(R.VENUE_NAMES.items()))
+    spark.createDataFrame([(0, "x" * 80 + " " + name)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.id: r.facet for r in __spark_entry__.queries()["classify_venue"](spark, str(tmp_path)).collect()}
+    assert got[1000] == kind
+
+
 def test_registered_names():
     names, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(sql) <= set(names) and len(names) >= 60
