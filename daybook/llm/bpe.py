@@ -3,8 +3,8 @@
 Ranks come from a local file. Every match of the split pattern is encoded by
 itself and no special token is recognised. Long texts are first cut at safe
 boundaries: between a character that is not white space and a following space
-or line feed. No match of the pattern holds white space after another
-character, so such a place is always a boundary between two matches, and what
+or line feed. No match of ``public_tokenizers.PATTERN`` holds white space after another
+character (for another pattern, say so only if that holds for it too), so such a place is always a boundary between two matches, and what
 follows is matched without regard to what stands before it; the ids of the
 pieces, one after the other, are the ids of the whole text.
 
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +24,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from daybook.llm.common import arrow_map
+from daybook.llm.common import arrow_map, kept_by_worker
 
 #: Texts of more characters are cut, at the first safe boundary after so many.
 PIECE_CHARS = 1 << 16
 SAFE_BOUNDARY = re.compile(r"(?<=\S)(?=[ \n])")
 
 
-@lru_cache(maxsize=4)
 def load_encoding(rank_file: str, pattern: str):
     """The encoding of a rank file: one line ``base64-bytes rank`` per token."""
-    import tiktoken
 
-    with open(rank_file, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    def build():
+        import tiktoken
+
+        with open(rank_file, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return kept_by_worker(f"encoding {rank_file} {pattern}", build)
 
 
 def safe_pieces(text: str, piece_chars: int = PIECE_CHARS):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,10 @@ from pyspark.sql.types import StructType
 
 #: White space that separates words, as a Java regular expression class.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
+#: Rows that a Python worker turns into Python objects at once.
+SLICE_ROWS = 500
+
+T = TypeVar("T")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,17 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``.
-
-    Only where the session has none (as in tests) a temporary one is made and
-    set on the context.
-    """
+    """The folder that all executors share: ``spark.checkpoint.dir``, or what the context was told (as in tests)."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # one machine, one process: any folder of it is shared
         found = tempfile.mkdtemp(prefix="daybook-checkpoint-")
-        sc.setCheckpointDir(found)
-    elif sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(found)
     return found
 
@@ -53,15 +56,37 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete what ``stored`` has written; nothing may read the tables after that."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch of ``df``."""
+    """Apply ``fn`` to slices of at most ``SLICE_ROWS`` rows of the Arrow batches of ``df``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield fn(batch)
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                yield fn(batch.slice(start, SLICE_ROWS))
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
-def text_or_empty(name: str = "text"):
-    return F.coalesce(F.col(name), F.lit(""))
+_kept: dict[str, object] = {}
+
+
+def kept_by_worker(key: str, build: Callable[[], T]) -> T:
+    """What ``build`` makes, kept by the Python worker until it needs something else.
+
+    Workers outlive their tasks and serve one operator after another; each holds one model, automaton or
+    encoding at a time.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]

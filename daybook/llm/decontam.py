@@ -6,9 +6,10 @@ consecutive words of a benchmark item (the whole item if it has fewer), joined
 and bracketed by spaces; a document is scanned once and each occurrence marks
 its words, whose offsets in the original text are kept.
 
-The benchmark is held by every Python worker. It goes out in slices of at most
-``slice_windows`` windows, each scanned by its own automaton, so no worker ever
-holds more than one slice; a benchmark of any usual size is one slice.
+The automaton is held by every Python worker and its windows go out in a broadcast.
+A benchmark of more than ``slice_bytes`` of text is dealt into slices, each with an
+automaton of its own; the documents are read once a slice, only the rows that it
+hits are written, and neither driver nor worker holds more than one slice.
 
 Defined results: null or wordless texts have no words and no hits; items
 without words never occur; equal windows of several items count for each;
@@ -17,23 +18,23 @@ a repeated document row gets a row each; other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
+from collections.abc import Callable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from daybook.llm.common import arrow_map
+from daybook.llm.common import arrow_map, kept_by_worker, stored
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WINDOW = 10
-SLICE_WINDOWS = 1_000_000
-
-_built: dict[str, object] = {}
-
+#: Bytes of benchmark text whose windows are in one automaton; some 40 MB of a worker and as much of the driver a megabyte.
+SLICE_BYTES = 8 << 20
 
 def words_with_offsets(text: str | None) -> tuple[list[str], list[int], list[int]]:
     """Normalised words with their start and end in the original (lower-casing keeps every offset)."""
@@ -60,14 +61,6 @@ def build_automaton(windows: dict[tuple[str, ...], list[int]]):
     return automaton
 
 
-def _automaton(key: str, windows: dict[tuple[str, ...], list[int]]):
-    """The automaton of a slice; the worker keeps the last one it built."""
-    if key not in _built:
-        _built.clear()
-        _built[key] = build_automaton(windows)
-    return _built[key]
-
-
 def scan(words: list[str], automaton) -> tuple[list[tuple[int, int]], set[int]]:
     """Word spans covered by any occurrence, merged, and the items that occur."""
     if not words or not len(automaton):
@@ -97,52 +90,98 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def load_slices(benchmark: DataFrame, window: int, slice_windows: int) -> list[tuple[str, dict]]:
-    """The benchmark's windows in slices; items are read one partition at a time."""
-    slices: list[dict] = [{}]
-    for row in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        for w in item_windows(row[1], window):
-            if w not in slices[-1] and len(slices[-1]) >= slice_windows:
-                slices.append({})
-            slices[-1].setdefault(w, []).append(row[0])
-    return [(hashlib.sha256(repr(sorted(s.items())).encode()).hexdigest(), s) for s in slices]
+def slices(benchmark: DataFrame, window: int, slice_bytes: int) -> list[dict[tuple[str, ...], list[int]]]:
+    """The windows of the benchmark and their items; one dictionary at a time, each of items of some ``slice_bytes`` of text."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // slice_bytes))
+    for k in range(n):
+        windows: dict[tuple[str, ...], list[int]] = {}
+        part = rows if n == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        for item, text in part.toLocalIterator():
+            for w in item_windows(text, window):
+                windows.setdefault(w, []).append(item)
+        yield windows
+
+
+def scanner(docs: DataFrame, windows: dict[tuple[str, ...], list[int]]) -> Callable[[], object]:
+    """What gives a worker its automaton of the windows."""
+    key, shared = f"automaton {uuid.uuid4().hex}", docs.sparkSession.sparkContext.broadcast(windows)
+    return lambda: kept_by_worker(key, lambda: build_automaton(shared.value))
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_windows: int = SLICE_WINDOWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
+FOUND = StructType([
+    StructField("doc_id", LongType()), StructField("n_words", LongType()), StructField("n_hit", LongType()),
+    StructField("item_ids", ArrayType(LongType())), StructField("hit_spans", ArrayType(SPAN)), StructField("contaminated", BooleanType()),
+])
+FOUND_ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.bool_()]
+
+
+def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_bytes: int = SLICE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, n_words, n_hit, item_ids, hit_spans, contaminated``.
 
     ``hit_spans`` are character spans ``start, end`` of the original text.
     """
-    span = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
-    schema = StructType([
-        StructField("doc_id", LongType()), StructField("n_words", LongType()), StructField("n_hit", LongType()),
-        StructField("item_ids", ArrayType(LongType())), StructField("hit_spans", ArrayType(span)), StructField("contaminated", BooleanType()),
-    ])
-    arrow_types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.bool_()]
-    shared = docs.sparkSession.sparkContext.broadcast(load_slices(benchmark, window, slice_windows))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    keyed, hits, before = rows.withColumn("of", F.xxhash64("text")), None, None
+    for windows in slices(benchmark, window, slice_bytes):
+        if before is not None:
+            part = stored(_hits(keyed, before))
+            hits = part if hits is None else hits.union(part)
+        before = scanner(docs, windows)
+    if hits is None:
+        automaton = before
+        return arrow_map(rows, lambda batch: _found(batch, automaton()), FOUND)
+    # what a slice hits is small; a document's hits meet by its id and its text
+    hits = hits.union(_hits(keyed, before))
+    merged = hits.groupBy("doc_id", "of").agg(F.flatten(F.collect_set("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    joined = keyed.alias("x").join(merged.alias("y"), F.expr("x.doc_id <=> y.doc_id AND x.of = y.of"), "left").select("x.doc_id", "x.text", "y.spans", "y.items")
+    return arrow_map(joined, _merged, FOUND)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        spans: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
-        items: list[set[int]] = [set() for _ in range(batch.num_rows)]
-        offsets, counts = [], []
-        slices = shared.value
-        for k, (key, windows) in enumerate(slices):
-            automaton = _automaton(key, windows)
-            for i in range(batch.num_rows):
-                words, starts, ends = words_with_offsets(batch.column(1)[i].as_py())
-                if k == 0:
-                    counts.append(len(words))
-                found, which = scan(words, automaton)
-                if found:
-                    spans[i] = merge_spans(spans[i] + found)
-                    items[i] |= which
-                if k == len(slices) - 1:
-                    offsets.append([{"start": starts[a], "end": ends[b - 1]} for a, b in spans[i]])
-        hit = [sum(b - a for a, b in s) for s in spans]
-        columns = [batch.column(0), counts, hit, [sorted(x, key=lambda v: (v is None, v)) for x in items], offsets, [h > 0 for h in hit]]
-        return pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, arrow_types, strict=True)], names=schema.names)
-
-    return arrow_map(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, schema)
+
+def _row(starts: list[int], ends: list[int], spans: list[tuple[int, int]], items: list) -> tuple:
+    hit = sum(b - a for a, b in spans)
+    return len(starts), hit, items, [{"start": starts[a], "end": ends[b - 1]} for a, b in spans], hit > 0
+
+
+def _batch(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+    return pa.record_batch([ids, *[pa.array(c, t) for c, t in zip(columns, FOUND_ARROW[1:], strict=True)]], names=FOUND.names)
+
+
+def _found(batch: pa.RecordBatch, automaton) -> pa.RecordBatch:
+    rows = []
+    for text in batch.column(1):
+        words, starts, ends = words_with_offsets(text.as_py())
+        spans, items = scan(words, automaton)
+        rows.append(_row(starts, ends, spans, sorted(items, key=lambda v: (v is None, v))))
+    return _batch(batch.column(0), rows)
+
+
+PAIR = StructType([StructField("a", IntegerType()), StructField("b", IntegerType())])
+WORD_SPANS = StructType([StructField("doc_id", LongType()), StructField("of", LongType()), StructField("spans", ArrayType(PAIR)), StructField("items", ArrayType(LongType()))])
+
+
+def _hits(keyed: DataFrame, automaton: Callable[[], object]) -> DataFrame:
+    return arrow_map(keyed, lambda batch: _word_spans(batch, automaton()), WORD_SPANS)
+
+
+def _word_spans(batch: pa.RecordBatch, automaton) -> pa.RecordBatch:
+    """The rows that one slice hits, with spans of words."""
+    found = [scan(words_with_offsets(text.as_py())[0], automaton) for text in batch.column(1)]
+    hit = pa.array([bool(spans) for spans, _ in found], pa.bool_())
+    spans = pa.array([[{"a": a, "b": b} for a, b in spans] for spans, _ in found], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
+    items = pa.array([list(items) for _, items in found], pa.list_(pa.int64()))
+    return pa.record_batch([batch.column(0), batch.column(2), spans, items], names=WORD_SPANS.names).filter(hit)
+
+
+def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
+    rows = []
+    for text, spans, items in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+        _, starts, ends = words_with_offsets(text.as_py())
+        rows.append(_row(starts, ends, merge_spans([(s["a"], s["b"]) for s in spans or []]), items or []))
+    return _batch(batch.column(0), rows)
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -151,17 +190,20 @@ def digests(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(as_text, 256).alias("items_sha256"), "contaminated")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_windows: int = SLICE_WINDOWS, text_col: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_bytes: int = SLICE_BYTES, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs; all columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_slices(benchmark, window, slice_windows))
+    found = None
+    for windows in slices(benchmark, window, slice_bytes):
+        if found is not None:
+            docs = stored(found)
+        found = _without(docs, scanner(docs, windows), text_col)
+    return found
+
+
+def _without(docs: DataFrame, automaton: Callable[[], object], text_col: str) -> DataFrame:
+    at = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = [True] * batch.num_rows
-        texts = batch.column(batch.schema.get_field_index(text_col))
-        for key, windows in shared.value:
-            automaton = _automaton(key, windows)
-            for i in range(batch.num_rows):
-                keep[i] = keep[i] and not scan(words_with_offsets(texts[i].as_py())[0], automaton)[0]
-        return batch.filter(pa.array(keep, pa.bool_()))
+        return batch.filter(pa.array([not scan(words_with_offsets(t.as_py())[0], automaton())[0] for t in batch.column(at)], pa.bool_()))
 
     return arrow_map(docs, run, docs.schema)

@@ -7,10 +7,10 @@ language is labelled piece by piece. Forward-backward gives each word's
 marginals; a document's language is the one with the largest mean marginal, and
 that mean is its score.
 
-Training reads at most ``ROWS_PER_LABEL`` rows a language (chosen by a hash of
-doc_id, so that every labelled row has the same chance) and of each a window of
-``TRAIN_WORDS`` words: that bound is a parameter and does not grow with the
-corpus. Every third training sequence is spliced from two languages, so that
+Training reads at most ``ROWS_PER_LABEL`` rows of every language (the first by a
+hash of doc_id, so that every labelled doc_id has the same chance) and of each a
+window of ``TRAIN_WORDS`` words: that bound is a parameter and does not grow with
+the corpus. Every label is learned, however many there are. Every third training sequence is spliced from two languages, so that
 switches are seen. Only ``text`` is an input of a prediction. Prediction reads
 whole texts; chains are windows of ``CHAIN_WORDS`` words, all of which count.
 
@@ -22,28 +22,30 @@ a null doc_id is not learned from and not held out; other columns are not read.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from daybook.llm.common import arrow_map
+from daybook.llm.common import arrow_map, kept_by_worker
 
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
 ROWS_PER_LABEL = 400
-MAX_LABELS = 64
 TRAIN_WORDS = 120
 CHAIN_WORDS = 128
+#: Steps of the scale on which rows are drawn.
+PLACES = 1 << 40
 FEATURE_BITS = 17
 FEATURES = 1 << FEATURE_BITS
 LEXICON_WORDS = 200
-#: Words whose emissions a worker keeps.
-CACHED_WORDS = 200_000
+#: Words whose emissions a worker keeps, words whose chains are settled at once, and new words that are featurised at once.
+CACHED_WORDS, SETTLED_WORDS, FEATURISED_WORDS = 50_000, 20_000, 5_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -119,8 +121,12 @@ class Model:
     def emissions(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros((0, len(self.labels)), dtype=np.float32)
-        features, owners = feature_table(words, self.lexicon)
-        return sum_by(owners, self.weights[features], len(words)).astype(np.float32)
+        out = np.empty((len(words), len(self.labels)), dtype=np.float32)
+        for a in range(0, len(words), FEATURISED_WORDS):
+            part = words[a : a + FEATURISED_WORDS]
+            features, owners = feature_table(part, self.lexicon)
+            out[a : a + len(part)] = sum_by(owners, self.weights[features], len(part))
+        return out
 
 
 def learn_lexicon(texts: list[list[str]], labels: list[int], n_labels: int, size: int) -> dict[str, list[int]]:
@@ -230,7 +236,7 @@ class Predictor:
             np.add.at(out, owner[part], post.sum(axis=1))
         return out
 
-    def predict(self, texts: list[str | None], words_at_once: int = 100_000) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None], words_at_once: int = SETTLED_WORDS) -> tuple[list[str], list[float]]:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not self.model.labels:
             return langs, scores
@@ -257,18 +263,21 @@ class Predictor:
 
 
 def training_rows(docs: DataFrame, rows_per_label: int = ROWS_PER_LABEL, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> list[tuple[str, str]]:
-    """A bounded sample ``label, window of the text`` of the labelled rows that are not held out."""
+    """``label, window of the text`` of at most ``rows_per_label`` rows of each label, of those not held out."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(text_col).alias("text"))
-    rows = rows.filter(~is_held_out(F.col("id")) & F.col("id").isNotNull() & F.col("label").isNotNull())
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LABELS).collect()
+    rows = rows.filter(~is_held_out(F.col("id")) & F.col("id").isNotNull() & F.col("label").isNotNull() & (F.btrim("text") != ""))
+    place = F.pmod(F.xxhash64("id"), F.lit(PLACES))
+    counts = rows.groupBy("label").agg(F.count("*").alias("count"), F.min(place).alias("least")).collect()
     if not counts:
         return []
-    chance = F.coalesce(*[F.when(F.col("label") == c["label"], F.lit(min(1.0, rows_per_label / c["count"]))) for c in counts], F.lit(0.0))
-    drawn = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < chance * (1 << 30)).filter("text IS NOT NULL")
+    # some more than are wanted, by chance, and one at least; of these the first by the same hash
+    bounds = [(c["label"], max(c["least"], min(PLACES, int(PLACES * 4 * rows_per_label / c["count"])))) for c in counts]
+    drawn = rows.withColumn("place", place).join(F.broadcast(docs.sparkSession.createDataFrame(bounds, "label string, bound long")), "label").filter("place <= bound")
     parts = F.split("text", r"\s+")
     first = F.pmod(F.xxhash64(F.col("id"), F.lit(1)), F.greatest(F.size("parts") - TRAIN_WORDS, F.lit(0)) + 1) + 1
-    windows = drawn.select("label", "id", parts.alias("parts")).select("label", "id", F.array_join(F.slice("parts", first.cast("int"), F.lit(TRAIN_WORDS)), " ").alias("window"))
-    return [(r["label"], r["window"]) for r in sorted(windows.collect(), key=lambda r: (r["label"], r["id"], r["window"]))]
+    windows = drawn.select("label", "id", "place", parts.alias("parts")).select("label", "id", "place", F.array_join(F.slice("parts", first.cast("int"), F.lit(TRAIN_WORDS)), " ").alias("window"))
+    ranked = windows.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("place", "id", "window"))).filter(F.col("rank") <= rows_per_label)
+    return [(r["label"], r["window"]) for r in sorted(ranked.collect(), key=lambda r: (r["label"], r["id"], r["window"]))]
 
 
 def is_held_out(doc_id):
@@ -283,25 +292,20 @@ def fit(docs: DataFrame, rows_per_label: int = ROWS_PER_LABEL, **columns: str) -
     return train([w for _, w in sample], [y for y, _ in sample])
 
 
-_predictors: dict[int, Predictor] = {}
-
-
-def _predictor(model: Model) -> Predictor:
-    """The worker's predictor; a worker keeps one."""
-    if id(model) not in _predictors:
-        _predictors.clear()
-        _predictors[id(model)] = Predictor(model)
-    return _predictors[id(model)]
+def _predictor(docs: DataFrame, model: Model) -> Callable[[], Predictor]:
+    """What gives a worker its predictor of the model."""
+    key, shared = f"language model {uuid.uuid4().hex}", docs.sparkSession.sparkContext.broadcast(model)
+    return lambda: kept_by_worker(key, lambda: Predictor(shared.value))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Per document: ``doc_id, lang_pred, score`` and the columns in ``keep``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
     schema = StructType([rows.schema["doc_id"], *rows.schema.fields[2:], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    predictor = _predictor(docs, model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, scores = _predictor(shared.value).predict(batch.column(1).to_pylist())
+        langs, scores = predictor().predict(batch.column(1).to_pylist())
         return pa.record_batch([batch.column(0), *batch.columns[2:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     return arrow_map(rows, run, schema)
@@ -309,10 +313,10 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def accepted(docs: DataFrame, model: Model, min_score: float = 0.4, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is known with a score of ``min_score`` at least; all columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    predictor = _predictor(docs, model)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, scores = _predictor(shared.value).predict(batch.column(batch.schema.get_field_index(text_col)).to_pylist())
+        langs, scores = predictor().predict(batch.column(batch.schema.get_field_index(text_col)).to_pylist())
         return batch.filter(pa.array([y != UNKNOWN and s >= min_score for y, s in zip(langs, scores, strict=True)], pa.bool_()))
 
     return arrow_map(docs, run, docs.schema)

@@ -292,8 +292,8 @@ def test_decontamination_equals_brute_force(spark):
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     clean = invented(10, seed=10)
     texts = [*ODD, *clean, clean[0] + " " + items[0].upper() + "! " + clean[1], "x, short ITEM here.", items[1][:40], " ".join(items[2].split()[3:14])]
-    for size in (1_000_000, 5):
-        rows = {r.doc_id: r for r in decontam.find(docs(spark, texts), benchmark, slice_windows=size).collect()}
+    for size in (1_000_000, 200):
+        rows = {r.doc_id: r for r in decontam.find(docs(spark, texts), benchmark, slice_bytes=size).collect()}
         for d, t in enumerate(texts):
             words = decontam.words_with_offsets(t)[0]
             hit, which = set(), []
@@ -304,8 +304,9 @@ def test_decontamination_equals_brute_force(spark):
                     which.append(k)
                 hit |= {i + j for i, n in spots for j in range(n)}
             assert (rows[d].n_words, rows[d].n_hit, rows[d].item_ids) == (len(words), len(hit), which)
-    kept = {r.doc_id for r in decontam.clean(docs(spark, texts), benchmark).collect()}
-    assert kept == {d for d in rows if rows[d].n_hit == 0}
+    for size in (1_000_000, 200):
+        kept = {r.doc_id for r in decontam.clean(docs(spark, texts), benchmark, slice_bytes=size).collect()}
+        assert kept == {d for d in rows if rows[d].n_hit == 0}
 
 
 # substrings
