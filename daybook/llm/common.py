@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 #: White space that separates words, as a Java regular expression class.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows that a Python worker turns into Python objects at once.
 SLICE_ROWS = 500
 
@@ -50,10 +51,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """As ``cut_lineage``, but as Parquet: smaller on disk, and read by column."""
-    path = new_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """As ``cut_lineage``, but as Parquet: smaller on disk, and read by column. Shuffle files of the query go at its end."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, "table")
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_stored(*tables: DataFrame) -> None:

@@ -20,8 +20,18 @@ exact result. Words are compared by 56-bit hashes.
 
 Lines with equal sets are joined once, by their first occurrence. A line that a
 third of all documents hold is one row of the join; its occurrences meet one row
-of results. ``links`` counts every pair of different sets that match, and so
-takes a row for each; ``repeats``, for cutting lines out, does not.
+of results. Links are counted between different sets.
+
+Groups of near-equal sets, whose pairs grow with the square, are counted without a
+row for each pair: where two sets of a group differ from its middle in so few words
+that they must match, their links are counted by that number of words. Only
+the other pairs are joined and verified, so every link counts and none counts twice.
+What is left is a row for each pair of one group that does not match for certain but
+passes all filters.
+
+Sets are told apart by 64-bit hashes: among n different sets some n^2 / 2^65 pairs
+are taken for equal. The rarity counters fill up in a corpus of more than 2^18 words;
+frequent words still come last then, and only the order among rare ones is by chance.
 
 Defined results: null and empty texts have no lines; blank lines never match and
 stay; rows with one doc_id share their line positions; a null doc_id is last;
@@ -37,12 +47,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import ASCII_SPACE, cut_lineage, stored
+from daybook.llm.common import drop_stored, stored
 
 COUNTER_BITS = 18
 COUNTERS = 1 << COUNTER_BITS
 HASH_MASK = (1 << 56) - 1
-LEADERS = 8
+JOIN_MASK = (1 << 40) - 1
+#: Near-equal sets from which on a group counts its certain links together.
+CROWD = 16
 OTHER_SPACE = "\t\x0b\x0c\r"
 
 
@@ -52,9 +64,9 @@ def plain_spaces(text: Column) -> Column:
     return F.when(others, F.regexp_replace(text, f"[{OTHER_SPACE}]", " ")).otherwise(text)
 
 
-def spots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, line_no, line`` of every line with words, in lower case."""
-    split = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.lower(plain_spaces(F.col(text_col))), "\n")).alias("line_no", "line"))
+def spots(docs: DataFrame) -> DataFrame:
+    """``doc_id, line_no, line`` of every line with words of rows ``doc_id, text``, in lower case."""
+    split = docs.select("doc_id", F.posexplode(F.split(F.lower(plain_spaces(F.col("text"))), "\n")).alias("line_no", "line"))
     # said of the line, not of its words: a filter on the words would find them twice
     return split.filter(F.btrim("line") != "")
 
@@ -65,9 +77,9 @@ def line_words(line: Column) -> Column:
     return F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit("")))
 
 
-def rarity_codes(docs: DataFrame, text_col: str = "text") -> bytes:
+def rarity_codes(docs: DataFrame) -> bytes:
     """For each counter a code from 0 (counted once at most) to 127, ordered by count of word occurrences."""
-    words = F.split(F.replace(F.lower(plain_spaces(F.col(text_col))), F.lit("\n"), F.lit(" ")), " ")
+    words = F.split(F.replace(F.lower(plain_spaces(F.col("text"))), F.lit("\n"), F.lit(" ")), " ")
     hashed = docs.select(F.explode(words).alias("w")).select(F.xxhash64("w").bitwiseAND(F.lit(COUNTERS - 1)).alias("slot"))
     codes = bytearray(COUNTERS)
     for slot, n in hashed.groupBy("slot").count().toLocalIterator():
@@ -101,27 +113,27 @@ def position() -> Column:
 
 
 def postings(sets: DataFrame) -> DataFrame:
-    """A row per set and word of its prefix that is counted twice or more."""
-    place = F.coalesce("first.doc_id", F.lit((1 << 63) - 1)).alias("place")
-    at_words = sets.select("h", "size", "parity", place, F.posexplode("prefix").alias("at", "word"))
-    return at_words.filter(F.shiftright("word", 56) > 0)
+    """A row per set and word of its prefix that is counted twice or more; words are told by fewer bits here."""
+    at_words = sets.select("h", "size", "parity", "c", "v", F.posexplode("prefix").alias("at", "word"))
+    return at_words.filter(F.shiftright("word", 56) > 0).withColumn("word", F.col("word").bitwiseAND(F.lit(JOIN_MASK)))
 
 
-def candidates(left: DataFrame, right: DataFrame, num: int, den: int, ordered: Column) -> DataFrame:
-    """Distinct pairs ``a, b`` of sets in ``left`` and ``right`` that pass all filters and ``ordered``."""
-    x = left.select("word", *[F.col(c).alias(f"{c}_a") for c in ("h", "size", "parity", "place", "at")])
-    y = right.select("word", *[F.col(c).alias(f"{c}_b") for c in ("h", "size", "parity", "place", "at")])
+def candidates(held: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs ``a < b`` of sets that pass all filters and whose match is not certain by their group."""
+    x, y = (held.select("word", *[F.col(k).alias(f"{k}_{side}") for k in ("h", "size", "parity", "at", "c", "v")]) for side in "ab")
     both = F.col("size_a") + F.col("size_b")
     length = (F.col("size_a") * den >= F.col("size_b") * num) & (F.col("size_b") * den >= F.col("size_a") * num)
     rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
     positional = rest * (num + den) >= both * num
-    parity = (both - F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b")))) * (num + den) >= both * (2 * num)
-    return x.join(y, "word").filter(length & positional & parity & ordered).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
+    parity = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) * (num + den) <= both * (den - num)
+    open_ = (F.col("c_a") == 0) | (F.col("c_a") != F.col("c_b")) | (F.col("v_a") + F.col("v_b") > 0)
+    return x.join(y, "word").filter((F.col("h_a") < F.col("h_b")) & length & parity & positional & open_).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
 
 
-def among(rows: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
-    """The rows whose ``columns`` may be in ``wanted``, by a bit map of fixed size (2^23 bits)."""
-    spot = F.pmod(F.xxhash64(*columns), F.lit(1 << 23)) + 1
+def among(rows: DataFrame, wanted: DataFrame, n_wanted: int, *columns: str) -> DataFrame:
+    """The rows whose ``columns`` may be in ``wanted``, by a broadcast bit map of 16 bits for each, 2 MB at most."""
+    n_bits = 1 << max(15, min(24, (16 * n_wanted).bit_length()))
+    spot = F.pmod(F.xxhash64(*columns), F.lit(n_bits)) + 1
     bits = wanted.select(spot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("bits"))
     at = F.bitmap_bit_position(spot)
     byte = F.conv(F.hex(F.substr("bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
@@ -135,87 +147,120 @@ class Prepared:
 
     occurrences: DataFrame
     sets: DataFrame
-    spotted: DataFrame
+    docs: DataFrame
     codes: bytes
     num: int
     den: int
 
+    def whole(self, wanted: DataFrame) -> DataFrame:
+        """``h, first, keys`` of the sets in ``wanted`` (column ``h``), read again from their first lines."""
+        places = stored(wanted.select("h").distinct().join(self.sets.select("h", "first"), "h").select("h", "first", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")))
+        n = places.count()
+        lines = among(spots(among(self.docs, places, n, "doc_id")), places, n, "doc_id", "line_no")
+        near = records(lines, self.codes).select("h", "doc_id", "line_no", "keys")
+        at_first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no"))
+        return stored(near.join(places.select("h", "first"), "h").filter(at_first).select("h", "first", "keys").dropDuplicates(["h"]))
+
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs ``a, b`` those that match on their whole sets, with their first positions."""
+        """Of the pairs ``a, b`` those that match on their whole sets; ``a_later, b_later``: whose first line is the later."""
         num, den = self.num, self.den
-        involved = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-        wanted = cut_lineage(involved.join(self.sets.select("h", "first"), "h").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "h", "first"))
-        near = records(among(self.spotted, wanted, "doc_id", "line_no"), self.codes).select("h", "doc_id", "line_no", "keys")
-        places = wanted.select("h", "first")
-        whole = near.join(places, "h").filter(F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.line_no") == F.col("line_no"))).select("h", "first", "keys").dropDuplicates(["h"])
+        whole = self.whole(pairs.select(F.explode(F.array("a", "b")).alias("h")))
         x, y = [whole.select(F.col("h").alias(c), F.col("first").alias(f"first_{c}"), F.col("keys").alias(f"keys_{c}")) for c in "ab"]
         shared = F.size(F.array_intersect("keys_a", "keys_b"))
         both = pairs.join(x, "a").join(y, "b").filter(shared * (num + den) >= (F.size("keys_a") + F.size("keys_b")) * num)
-        return cut_lineage(both.select("a", "b", (F.col("first_b") < F.col("first_a")).alias("a_later"), (F.col("first_a") < F.col("first_b")).alias("b_later")))
+        return stored(both.select("a", "b", (F.col("first_b") < F.col("first_a")).alias("a_later"), (F.col("first_a") < F.col("first_b")).alias("b_later")))
 
 
-def prepare(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> Prepared:
-    codes = rarity_codes(docs, columns.get("text_col", "text"))
-    spotted = spots(docs, **columns)
-    full = records(spotted, codes)
+def prepare(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> Prepared:
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    codes = rarity_codes(rows)
+    full = records(spots(rows), codes)
     prefix = F.slice("keys", F.lit(1), F.col("size") - F.ceil(F.col("size") * num / den).cast("int") + 1)
     found = stored(full.select("doc_id", "line_no", "h", "size", parity_map(F.col("keys")).alias("parity"), prefix.alias("prefix")))
     # size, parity and prefix follow from h: they ride along with the first position
     least = found.groupBy("h").agg(F.min(F.struct(position().alias("first"), "size", "parity", "prefix")).alias("x"), F.count("*").alias("n"))
-    return Prepared(found.select("doc_id", "line_no", "h"), stored(least.select("h", "x.*", "n")), spotted, codes, num, den)
+    sets = stored(least.select("h", "x.*", "n"))
+    occurrences = stored(found.select("doc_id", "line_no", "h"))
+    drop_stored(found)
+    return Prepared(occurrences, sets, rows, codes, num, den)
 
 
-def links(prepared: Prepared) -> DataFrame:
-    """All pairs ``a, b`` of different sets that match; ``a_later, b_later``: whose first line is the later."""
-    held = postings(prepared.sets).repartition("word")
-    return prepared.verified(cut_lineage(candidates(held, held, prepared.num, prepared.den, F.col("h_a") < F.col("h_b"))))
+def anchors(prefix: Column) -> Column:
+    """For each of three orders at random, the first of a prefix's words that are counted often."""
+    often = F.filter(prefix, lambda w: F.shiftright(w, 56) >= math.ceil(4 * math.log2(CROWD)))
+    return F.array_distinct(F.array(*[F.array_min(F.transform(often, lambda w, k=k: F.xxhash64(w, F.lit(k)))) for k in range(3)]))
 
 
-def repeats(prepared: Prepared) -> DataFrame:
-    """``h`` of every set that an earlier set matches, without all the pairs of a group of near-equal lines.
+def groups(prepared: Prepared) -> DataFrame:
+    """``h, first, size, c, v``: sets in groups of ``CROWD`` or more near-equal ones, each told by a set ``c`` in its middle.
 
-    The first ``LEADERS`` sets of each word meet all its sets. Most of a large
-    group match one of those and are settled; of the rest, those with a word of
-    more sets meet every earlier set of such words, so that none is missed.
+    v is ``(num + den) * d - (den - num) * size``, d the number of words that only one of the set and ``c`` has:
+    as two sets of a group differ in the sum of their d at most, they match for certain if their v add up to 0 or less.
+
+    How sets come to their group is by estimates on parity maps and changes no result: sets with an
+    anchor in common vote on each bit; the one nearest to the majority is the anchor's middle, and a set takes that of
+    its middles which most sets are near to.
     """
-    def later(left: DataFrame, right: DataFrame) -> DataFrame:
-        ordered = (F.col("place_a") <= F.col("place_b")) & (F.col("h_a") != F.col("h_b"))
-        found = prepared.verified(cut_lineage(candidates(left, right, prepared.num, prepared.den, ordered)))
-        return found.filter("b_later").select(F.col("b").alias("h")).distinct()
-
-    every = postings(prepared.sets)
-    held = every.repartition("word")
-    rank = F.row_number().over(Window.partitionBy("word").orderBy("place", "h"))
-    leaders = held.withColumn("rank", rank).filter(F.col("rank") <= LEADERS).drop("rank")
-    by_leader = later(leaders, held)
-    busy = cut_lineage(every.groupBy("word").count().filter(F.col("count") > LEADERS).select("word"))
-    crowded = among(every, busy, "word")
-    by_any = later(crowded, crowded.join(by_leader, "h", "left_anti"))
-    return by_leader.union(by_any)
+    sets, num, den = prepared.sets, prepared.num, prepared.den
+    tagged = sets.select("h", "size", "parity", F.explode(anchors(F.col("prefix"))).alias("anchor")).filter("anchor IS NOT NULL")
+    crowded = tagged.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") >= CROWD).select("anchor")
+    tagged = stored(tagged.join(crowded, "anchor"))
+    bit = lambda i: F.lit(1 << i if i < 63 else -(1 << 63))
+    votes = tagged.groupBy("anchor").agg(*[F.sum(F.when(F.col("parity").bitwiseAND(bit(i)) != 0, 1).otherwise(-1)).alias(f"b{i}") for i in range(64)])
+    majority = votes.select("anchor", reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.col(f"b{i}") > 0, bit(i)).otherwise(F.lit(0)) for i in range(64)]).alias("majority"))
+    apart = F.bit_count(F.col("parity").bitwiseXOR(F.col("majority")))
+    near = stored(tagged.join(majority, "anchor").select("anchor", "h", "size", "parity", apart.alias("apart")).filter(F.col("apart") * (num + den) <= 2 * (den - num) * F.col("size")))
+    middles = near.groupBy("anchor").agg(F.min(F.struct("apart", "h", "size", "parity")).alias("m"), F.count("*").alias("weight")).filter(F.col("weight") >= CROWD)
+    middles = middles.select("anchor", "weight", F.col("m.h").alias("c"), F.col("m.size").alias("c_size"), F.col("m.parity").alias("c_parity"))
+    likely = F.bit_count(F.col("parity").bitwiseXOR(F.col("c_parity"))) * (num + den) <= (den - num) * (F.col("size") + F.col("c_size"))
+    chosen = stored(near.join(middles, "anchor").filter(likely).groupBy("h").agg(F.max(F.struct("weight", "c")).alias("x")).select("h", "x.c"))
+    # a middle may itself be nearer to a larger group: its sets follow it
+    follow = chosen.select(F.col("h").alias("c"), F.col("c").alias("to"))
+    led = chosen.join(follow, "c", "left").select("h", F.coalesce("to", "c").alias("c"))
+    large = led.groupBy("c").agg(F.count("*").alias("n")).filter(F.col("n") >= CROWD).select("c")
+    members = stored(led.join(large, "c"))
+    whole = prepared.whole(members.select("h").union(members.select("c")))
+    middle = whole.select(F.col("h").alias("c"), F.col("keys").alias("c_keys"))
+    met = members.join(whole, "h").join(middle, "c")
+    d = F.size("keys") + F.size("c_keys") - 2 * F.size(F.array_intersect("keys", "c_keys"))
+    out = stored(met.select("h", "first", "c", ((num + den) * d - (den - num) * F.size("keys")).alias("v")))
+    drop_stored(tagged, near, chosen, members, whole)
+    return out
+
+
+def certain(grouped: DataFrame) -> DataFrame:
+    """``h, n_links, later`` of sets in groups, by the links that are certain: counted by ``c, v``, without a row for each."""
+    points = grouped.groupBy("c", "v").agg(F.count("*").alias("m"), F.min("first").alias("earliest"))
+    rows = points.select("c", F.inline(F.array(
+        F.struct(F.col("v").alias("x"), F.lit(0).alias("asks"), "v", "m", "earliest"),
+        F.struct((-F.col("v")).alias("x"), F.lit(1).alias("asks"), "v", F.lit(0).cast("long").alias("m"), F.lit(None).cast(grouped.schema["first"].dataType).alias("earliest")),
+    )))
+    upto = Window.partitionBy("c").orderBy("x", "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = rows.withColumns({"n_near": F.sum("m").over(upto), "leader": F.min("earliest").over(upto)}).filter("asks = 1").select("c", "v", "n_near", "leader")
+    own = F.when(F.col("v") <= 0, 1).otherwise(0)
+    return grouped.join(reached, ["c", "v"]).select("h", (F.col("n_near") - own).alias("n_links"), F.coalesce(F.col("leader") < F.col("first"), F.lit(False)).alias("later"))
+
+
+def fates(prepared: Prepared) -> DataFrame:
+    """``h, n_links, later`` of every set that matches another: with how many, and whether one of them is earlier."""
+    grouped = groups(prepared)
+    placed = prepared.sets.join(grouped.select("h", "c", "v"), "h", "left").select("h", "size", "parity", "prefix", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("v", F.lit(0)).alias("v"))
+    pairs = stored(candidates(postings(placed), prepared.num, prepared.den))
+    found = prepared.verified(pairs)
+    drop_stored(pairs)
+    one = F.lit(1).cast("long").alias("n_links")
+    ends = found.select(F.col("a").alias("h"), one, F.col("a_later").alias("later")).union(found.select("b", one, "b_later"))
+    return ends.union(certain(grouped)).groupBy("h").agg(F.sum("n_links").alias("n_links"), F.max("later").alias("later")).filter("n_links > 0")
 
 
 def decisions(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> DataFrame:
     """Per document with words: ``doc_id, n_lines, n_links, removed`` (line numbers, ascending)."""
     prepared = prepare(docs, num, den, **columns)
-    found = links(prepared)
-    ends = found.select(F.col("a").alias("h"), F.col("a_later").alias("later")).union(found.select("b", "b_later"))
-    near = ends.groupBy("h").agg(F.max("later").alias("later"), F.count("*").alias("n_links"))
-    fate = prepared.sets.join(near, "h", "left").filter("n > 1 OR n_links > 0").select("h", "first", F.coalesce("later", F.lit(False)).alias("later"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    fate = prepared.sets.select("h", "first", "n").join(fates(prepared), "h", "left").filter("n > 1 OR n_links > 0").select("h", "first", F.coalesce("later", F.lit(False)).alias("later"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     seen = prepared.occurrences.join(fate, "h", "left")
-    return seen.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.coalesce(F.sum("n_links"), F.lit(0)).alias("n_links"), _removed().alias("removed"))
-
-
-def _removed() -> Column:
     gone = F.coalesce(F.col("later") | (position() > F.col("first")), F.lit(False))
-    return F.array_sort(F.collect_list(F.when(gone, F.col("line_no"))))
-
-
-def removals(docs: DataFrame, num: int = 4, den: int = 5, **columns: str) -> DataFrame:
-    """The ``doc_id, removed`` of ``decisions``, without its count of links."""
-    prepared = prepare(docs, num, den, **columns)
-    later = repeats(prepared).select("h", F.lit(True).alias("later"))
-    fate = prepared.sets.join(later, "h", "left").filter("n > 1 OR later").select("h", "first", F.coalesce("later", F.lit(False)).alias("later"))
-    return prepared.occurrences.join(fate, "h").groupBy("doc_id").agg(_removed().alias("removed"))
+    removed = F.array_sort(F.collect_list(F.when(gone, F.col("line_no"))))
+    return seen.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.coalesce(F.sum("n_links"), F.lit(0)).alias("n_links"), removed.alias("removed"))
 
 
 def report(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
@@ -232,9 +277,11 @@ def report(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
 
 def without_repeats(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the removed lines cut out of the text column; all rows and columns stay."""
-    found = removals(docs, num, den, id_col=id_col, text_col=text_col).filter(F.size("removed") > 0)
-    cut = found.select(F.col("doc_id").alias("__cut_doc"), F.col("removed").alias("__cut_lines"))
-    joined = docs.join(cut, docs[id_col].cast("long").eqNullSafe(F.col("__cut_doc")), "left")
-    kept = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda _, i: ~F.array_contains("__cut_lines", i)), "\n")
-    text = F.when(F.col("__cut_lines").isNull(), docs[text_col]).otherwise(kept).alias(text_col)
-    return joined.select(*[text if c == text_col else docs[c] for c in docs.columns])
+    found = decisions(docs, num, den, id_col=id_col, text_col=text_col).filter(F.size("removed") > 0)
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"given_{i}") for i, c in enumerate(names)])
+    key, text = f"given_{names.index(id_col)}", F.col(f"given_{names.index(text_col)}")
+    joined = plain.join(found.select(F.col("doc_id").alias("cut_doc"), "removed"), F.col(key).cast("long").eqNullSafe(F.col("cut_doc")), "left")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("removed", i)), "\n")
+    cut = F.when(F.col("removed").isNull(), text).otherwise(kept)
+    return joined.select(*[(cut if c == text_col else F.col(f"given_{i}")).alias(c) for i, c in enumerate(names)])

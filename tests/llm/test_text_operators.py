@@ -353,17 +353,29 @@ def test_pipeline_stages_keep_columns(spark):
     assert stage(spark, table.limit(0), "/root/testdata/sf0.001").count() == 0
 
 
-def test_line_removals_agree_with_links_in_a_large_group_of_near_lines(spark):
-    base = [f"word{i}" for i in range(30)]
+@pytest.mark.parametrize("crowd", [16, 4])
+def test_links_in_groups_of_near_equal_lines_equal_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(linedup, "CROWD", crowd)
+    rng = random.Random(8)
+    base = [[f"b{k}word{i}" for i in range(30)] for k in range(3)]
+    base[2] = base[1][:26] + [f"other{i}" for i in range(4)]  # two groups that are near each other
     texts = []
-    for i in range(60):  # more near lines of one kind than leaders, each with its own odd words
-        words = list(base)
-        for j in range(1 + i % 4):
-            words[(7 * i + 5 * j) % 30] = f"odd{i}x{j}"
-        texts.append(" ".join(words) + "\nalone" + str(i) + " line of its own")
-    given = docs(spark, texts)
-    with_links = {r.doc_id: r.removed for r in linedup.decisions(given).collect() if r.removed}
-    assert {r.doc_id: r.removed for r in linedup.removals(given).collect() if r.removed} == with_links
-    sets = [set(t.split("\n")[0].split()) for t in texts]
-    met = {j for j in range(60) if any(len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4 for i in range(j))}
-    assert {d for d, lines in with_links.items() if 0 in lines} == {r.doc_id for k, r in enumerate(given.orderBy("doc_id").collect()) if k in met}
+    for i in range(150):
+        words = list(base[i % 3])
+        for j in range(rng.choice([0, 1, 1, 2, 2, 3, 5])):
+            words[rng.randrange(30)] = rng.choice([f"odd{i}x{j}", f"shared{rng.randrange(5)}"])
+        texts.append(" ".join(words) + f"\nalone{i} line of its own")
+    found = {r.doc_id: (r.n_links, r.removed) for r in linedup.decisions(docs(spark, texts)).collect()}
+    lines = [[frozenset(x.split()) for x in t.split("\n")] for t in texts]
+    alike = lambda x, y: len(x & y) * 5 >= len(x | y) * 4
+    different = {s for x in lines for s in x}
+    links = {s: sum(alike(s, t) for t in different if t != s) for s in different}
+    flat = [(d, k, s) for d, x in enumerate(lines) for k, s in enumerate(x)]
+    gone = {(d, k) for n, (d, k, s) in enumerate(flat) if any(alike(s, t) for _, _, t in flat[:n])}
+    assert found == {d: (sum(links[s] for s in x), [k for k in range(2) if (d, k) in gone]) for d, x in enumerate(lines)}
+
+
+def test_line_dedup_keeps_columns_whatever_their_names(spark):
+    given = docs(spark, ["a b c\nd e f", "a b c"]).withColumnsRenamed({"lang": "removed", "source": "cut_doc", "n_chars": "given_0"})
+    out = linedup.without_repeats(given)
+    assert out.columns == given.columns and sorted(r.text for r in out.collect()) == ["", "a b c\nd e f"]
