@@ -108,26 +108,33 @@ def parity_map(keys: Column) -> Column:
     return F.aggregate(keys, F.lit(0).cast("long"), lambda a, k: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
 
 
+def finer_parity_map(keys: Column) -> Column:
+    """Four parity maps, each of the words with two more bits alike."""
+    return F.array(*[parity_map(F.filter(keys, lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(3)) == j)) for j in range(4)])
+
+
 def position() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
 
 
 def postings(sets: DataFrame) -> DataFrame:
     """A row per set and word of its prefix that is counted twice or more; words are told by fewer bits here."""
-    at_words = sets.select("h", "size", "parity", "c", "v", F.posexplode("prefix").alias("at", "word"))
+    at_words = sets.select("h", "size", "parity", "c", "v", "finer", F.posexplode("prefix").alias("at", "word"))
     return at_words.filter(F.shiftright("word", 56) > 0).withColumn("word", F.col("word").bitwiseAND(F.lit(JOIN_MASK)))
 
 
 def candidates(held: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct pairs ``a < b`` of sets that pass all filters and whose match is not certain by their group."""
-    x, y = (held.select("word", *[F.col(k).alias(f"{k}_{side}") for k in ("h", "size", "parity", "at", "c", "v")]) for side in "ab")
+    x, y = (held.select("word", *[F.col(k).alias(f"{k}_{side}") for k in ("h", "size", "parity", "at", "c", "v", "finer")]) for side in "ab")
     both = F.col("size_a") + F.col("size_b")
     length = (F.col("size_a") * den >= F.col("size_b") * num) & (F.col("size_b") * den >= F.col("size_a") * num)
     rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
     positional = rest * (num + den) >= both * num
-    parity = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) * (num + den) <= both * (den - num)
+    few = lambda bits: bits * (num + den) <= both * (den - num)
+    parity = few(F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))))
+    finer = few(reduce(lambda p, q: p + q, [F.bit_count(F.get("finer_a", i).bitwiseXOR(F.get("finer_b", i))) for i in range(4)]))
     open_ = (F.col("c_a") == 0) | (F.col("c_a") != F.col("c_b")) | (F.col("v_a") + F.col("v_b") > 0)
-    return x.join(y, "word").filter((F.col("h_a") < F.col("h_b")) & length & parity & positional & open_).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
+    return x.join(y, "word").filter((F.col("h_a") < F.col("h_b")) & length & parity & positional & open_ & F.coalesce(finer, F.lit(True))).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
 
 
 def among(rows: DataFrame, wanted: DataFrame, n_wanted: int, *columns: str) -> DataFrame:
@@ -188,18 +195,22 @@ def prepare(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id",
 def anchors(prefix: Column) -> Column:
     """For each of three orders at random, the first of a prefix's words that are counted often."""
     often = F.filter(prefix, lambda w: F.shiftright(w, 56) >= math.ceil(4 * math.log2(CROWD)))
-    return F.array_distinct(F.array(*[F.array_min(F.transform(often, lambda w, k=k: F.xxhash64(w, F.lit(k)))) for k in range(3)]))
+
+    def first(k: int) -> Column:
+        return F.array_min(F.transform(often, lambda w: F.xxhash64(w, F.lit(k))))
+
+    return F.array_distinct(F.array(*map(first, range(3))))
 
 
 def groups(prepared: Prepared) -> DataFrame:
-    """``h, first, size, c, v``: sets in groups of ``CROWD`` or more near-equal ones, each told by a set ``c`` in its middle.
+    """``h, first, c, finer, v``: sets in groups of ``CROWD`` or more near-equal ones; c stands for the words that most sets of the group hold.
 
-    v is ``(num + den) * d - (den - num) * size``, d the number of words that only one of the set and ``c`` has:
+    v is ``(num + den) * d - (den - num) * size``, d the number of words that only one of the set and those words has:
     as two sets of a group differ in the sum of their d at most, they match for certain if their v add up to 0 or less.
 
     How sets come to their group is by estimates on parity maps and changes no result: sets with an
     anchor in common vote on each bit; the one nearest to the majority is the anchor's middle, and a set takes that of
-    its middles which most sets are near to.
+    its middles which most sets are near to. Groups with the same common words are one.
     """
     sets, num, den = prepared.sets, prepared.num, prepared.den
     tagged = sets.select("h", "size", "parity", F.explode(anchors(F.col("prefix"))).alias("anchor")).filter("anchor IS NOT NULL")
@@ -217,14 +228,15 @@ def groups(prepared: Prepared) -> DataFrame:
     # a middle may itself be nearer to a larger group: its sets follow it
     follow = chosen.select(F.col("h").alias("c"), F.col("c").alias("to"))
     led = chosen.join(follow, "c", "left").select("h", F.coalesce("to", "c").alias("c"))
-    large = led.groupBy("c").agg(F.count("*").alias("n")).filter(F.col("n") >= CROWD).select("c")
-    members = stored(led.join(large, "c"))
-    whole = prepared.whole(members.select("h").union(members.select("c")))
-    middle = whole.select(F.col("h").alias("c"), F.col("keys").alias("c_keys"))
-    met = members.join(whole, "h").join(middle, "c")
-    d = F.size("keys") + F.size("c_keys") - 2 * F.size(F.array_intersect("keys", "c_keys"))
-    out = stored(met.select("h", "first", "c", ((num + den) * d - (den - num) * F.size("keys")).alias("v")))
-    drop_stored(tagged, near, chosen, members, whole)
+    large = led.groupBy("c").agg(F.count("*").alias("n")).filter(F.col("n") >= CROWD)
+    members = stored(led.join(large, "c").select("h", "c", "n"))
+    whole = prepared.whole(members)
+    met = stored(members.join(whole, "h"))
+    common = met.select("c", "n", F.explode("keys").alias("word")).groupBy("c", "n", "word").count().filter(2 * F.col("count") > F.col("n"))
+    middle = common.groupBy("c").agg(F.array_sort(F.collect_list("word")).alias("words"))
+    d = F.size("keys") + F.size("words") - 2 * F.size(F.array_intersect("keys", "words"))
+    out = stored(met.join(middle, "c").select("h", "first", F.xxhash64("words").alias("c"), finer_parity_map(F.col("keys")).alias("finer"), ((num + den) * d - (den - num) * F.size("keys")).alias("v")))
+    drop_stored(tagged, near, chosen, members, whole, met)
     return out
 
 
@@ -244,7 +256,7 @@ def certain(grouped: DataFrame) -> DataFrame:
 def fates(prepared: Prepared) -> DataFrame:
     """``h, n_links, later`` of every set that matches another: with how many, and whether one of them is earlier."""
     grouped = groups(prepared)
-    placed = prepared.sets.join(grouped.select("h", "c", "v"), "h", "left").select("h", "size", "parity", "prefix", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("v", F.lit(0)).alias("v"))
+    placed = prepared.sets.join(grouped.select("h", "c", "v", "finer"), "h", "left").select("h", "size", "parity", "prefix", "finer", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("v", F.lit(0)).alias("v"))
     pairs = stored(candidates(postings(placed), prepared.num, prepared.den))
     found = prepared.verified(pairs)
     drop_stored(pairs)
