@@ -96,3 +96,9 @@ def kept_by_worker(key: str, build: Callable[[], T]) -> T:
         _kept.clear()
         _kept[key] = build()
     return _kept[key]
+
+
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns ``given_0``, ``given_1`` and so on, which clash with no other, and the name of each given one."""
+    names = {c: f"given_{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names

@@ -13,7 +13,7 @@ whose 64-bit parity maps differ in too many places (each differing bit is a
 word that only one has) are dropped, and the Jaccard similarity of the rest is
 verified on the whole sets.
 
-Rarity is the count, over all lines, of one of 2^18 counters to which words are
+Rarity is the count, over all lines, of one of 2^16 counters to which words are
 hashed, on a scale of 127 steps, then the word's hash: the counters are a table
 of fixed size whatever the corpus, and any order that all lines share gives the
 exact result. Words are compared by 56-bit hashes.
@@ -30,7 +30,7 @@ What is left is a row for each pair of one group that does not match for certain
 passes all filters.
 
 Sets are told apart by 64-bit hashes: among n different sets some n^2 / 2^65 pairs
-are taken for equal. The rarity counters fill up in a corpus of more than 2^18 words;
+are taken for equal. The rarity counters fill up in a corpus of more than 2^16 words;
 frequent words still come last then, and only the order among rare ones is by chance.
 
 Defined results: null and empty texts have no lines; blank lines never match and
@@ -47,14 +47,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import drop_stored, stored
+from daybook.llm.common import drop_stored, plain_names, stored
 
-COUNTER_BITS = 18
+COUNTER_BITS = 16
 COUNTERS = 1 << COUNTER_BITS
 HASH_MASK = (1 << 56) - 1
 JOIN_MASK = (1 << 40) - 1
 #: Near-equal sets from which on a group counts its certain links together.
 CROWD = 16
+#: Words from which on a set has a finer parity map: a map of 64 bits says little of more.
+LONG_SET = 80
 OTHER_SPACE = "\t\x0b\x0c\r"
 
 
@@ -150,7 +152,7 @@ def among(rows: DataFrame, wanted: DataFrame, n_wanted: int, *columns: str) -> D
 
 @dataclass(frozen=True)
 class Prepared:
-    """Occurrences ``doc_id, line_no, h``; ``sets`` (``h, first, size, parity, prefix, n``); and what finds whole sets again."""
+    """Occurrences ``doc_id, line_no, h``; ``sets`` (``h, first, size, parity, finer, prefix, n``); and what finds whole sets again."""
 
     occurrences: DataFrame
     sets: DataFrame
@@ -183,9 +185,10 @@ def prepare(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id",
     codes = rarity_codes(rows)
     full = records(spots(rows), codes)
     prefix = F.slice("keys", F.lit(1), F.col("size") - F.ceil(F.col("size") * num / den).cast("int") + 1)
-    found = stored(full.select("doc_id", "line_no", "h", "size", parity_map(F.col("keys")).alias("parity"), prefix.alias("prefix")))
-    # size, parity and prefix follow from h: they ride along with the first position
-    least = found.groupBy("h").agg(F.min(F.struct(position().alias("first"), "size", "parity", "prefix")).alias("x"), F.count("*").alias("n"))
+    finer = F.when(F.col("size") >= LONG_SET, finer_parity_map(F.col("keys")))
+    found = stored(full.select("doc_id", "line_no", "h", "size", parity_map(F.col("keys")).alias("parity"), finer.alias("finer"), prefix.alias("prefix")))
+    # size, maps and prefix follow from h: they ride along with the first position
+    least = found.groupBy("h").agg(F.min(F.struct(position().alias("first"), "size", "parity", "finer", "prefix")).alias("x"), F.count("*").alias("n"))
     sets = stored(least.select("h", "x.*", "n"))
     occurrences = stored(found.select("doc_id", "line_no", "h"))
     drop_stored(found)
@@ -256,7 +259,8 @@ def certain(grouped: DataFrame) -> DataFrame:
 def fates(prepared: Prepared) -> DataFrame:
     """``h, n_links, later`` of every set that matches another: with how many, and whether one of them is earlier."""
     grouped = groups(prepared)
-    placed = prepared.sets.join(grouped.select("h", "c", "v", "finer"), "h", "left").select("h", "size", "parity", "prefix", "finer", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("v", F.lit(0)).alias("v"))
+    in_group = grouped.select("h", "c", "v", F.col("finer").alias("of_member"))
+    placed = prepared.sets.join(in_group, "h", "left").select("h", "size", "parity", "prefix", F.coalesce("of_member", "finer").alias("finer"), F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("v", F.lit(0)).alias("v"))
     pairs = stored(candidates(postings(placed), prepared.num, prepared.den))
     found = prepared.verified(pairs)
     drop_stored(pairs)
@@ -290,10 +294,9 @@ def report(docs: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
 def without_repeats(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the removed lines cut out of the text column; all rows and columns stay."""
     found = decisions(docs, num, den, id_col=id_col, text_col=text_col).filter(F.size("removed") > 0)
-    names = docs.columns
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"given_{i}") for i, c in enumerate(names)])
-    key, text = f"given_{names.index(id_col)}", F.col(f"given_{names.index(text_col)}")
-    joined = plain.join(found.select(F.col("doc_id").alias("cut_doc"), "removed"), F.col(key).cast("long").eqNullSafe(F.col("cut_doc")), "left")
+    plain, names = plain_names(docs)
+    text = F.col(names[text_col])
+    joined = plain.join(found.select(F.col("doc_id").alias("cut_doc"), "removed"), F.col(names[id_col]).cast("long").eqNullSafe(F.col("cut_doc")), "left")
     kept = F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("removed", i)), "\n")
     cut = F.when(F.col("removed").isNull(), text).otherwise(kept)
-    return joined.select(*[(cut if c == text_col else F.col(f"given_{i}")).alias(c) for i, c in enumerate(names)])
+    return joined.select(*[(cut if c == text_col else F.col(x)).alias(c) for c, x in names.items()])

@@ -3,33 +3,35 @@
 Rows are numbered and dealt by a hash of the number into source blocks. The number of
 rows that each source block sends to each target block is drawn from the
 multivariate hypergeometric law, so the matrix is distributed as that of a
-uniform permutation with the given target sizes. Each source block permutes its
-rows, sends the first so many to the first target block, and so on; each target
-block permutes what it has received. A shard is a run of target blocks, so its
+uniform permutation with the given target sizes. Each source block orders its
+rows by a random key, sends the first so many to the first target block, and so on; each target
+block orders what it has received by another key. A shard is a run of target blocks, so its
 size is exact (counts of any two shards are at most one apart), and the slot of
 a row, its place in the shard, is the block's offset plus its place in the block.
 
-Only block counts reach the driver: at most ``MAX_BLOCKS`` of them. Each block
-is rebuilt alike on any executor: its generator is seeded by the block's number,
-and rows are put in an order of their own before they are permuted.
+Only block counts and the matrix reach the driver: at most ``MAX_BLOCKS`` blocks, however many rows; blocks
+of a larger table are larger, and are ordered by Spark's sort, which spills. The random keys are hashes of a row's
+number, so every executor makes the same order again; the numbers lie in the shared folder.
 
 Defined results: null text has no bytes; an empty table gives no rows; repeated
-rows take a slot each; with fewer rows than shards some shards are empty; other
-columns take no part unless asked for in ``keep``.
+rows take a slot each; with fewer rows than shards some shards are empty; all
+columns stay, whatever their names (``shuffle_into_shards`` adds ``shard`` and ``slot`` behind them).
 """
 
 from __future__ import annotations
 
+from math import lgamma, log, sqrt
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from daybook.llm.common import cut_lineage
+from daybook.llm.common import plain_names, stored
 
-BLOCK_ROWS = 1 << 16
+#: Rows of a block, as long as there are fewer than ``MAX_BLOCKS`` blocks.
+BLOCK_ROWS = 1 << 14
 MAX_BLOCKS = 2048
+#: Numpy's sampler takes counts below 10^9.
 LIBRARY_RANGE = 900_000_000
 
 
@@ -70,64 +72,68 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int
         return n
     if max(good, bad) < LIBRARY_RANGE:
         return int(rng.hypergeometric(good, bad, n))
-    # the library stops here: draw row by row, in runs of random numbers
-    got, total = 0, good + bad
-    for start in range(0, n, 1 << 16):
-        for u in rng.random(min(1 << 16, n - start)):
-            if u * total < good - got:
-                got += 1
-            total -= 1
-    return got
+    return hypergeometric_by_ratio(rng, good, bad, n)
+
+
+def hypergeometric_by_ratio(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """The same law for large counts, by the ratio of uniforms: points under the root of the law around its mode, drawn until one is accepted."""
+    total = good + bad
+    mode = (n + 1) * (good + 1) // (total + 2)
+    low, high = max(0, n - bad), min(n, good)
+
+    def height(k: int) -> float:
+        return -(lgamma(k + 1) + lgamma(good - k + 1) + lgamma(n - k + 1) + lgamma(bad - n + k + 1))
+
+    top, mean = height(mode), n * good / total + 0.5
+    spread = sqrt(n * good / total * (bad / total) * ((total - n) / max(1, total - 1)) + 0.5)
+    # fixed values of the ratio of uniforms: sqrt(8 / e) and 3 - 2 sqrt(3 / e)
+    width = 1.7155277699214135 * spread + 0.8989161620588988
+    while True:
+        u, v = rng.random(), rng.random()
+        k = int(np.floor(mean + width * (v - 0.5) / u)) if u > 0 else low - 1
+        if low <= k <= high and 2 * log(u) <= height(k) - top:
+            return k
 
 
 def shuffle_into_shards(df: DataFrame, n_shards: int, seed: int = 17, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``df`` with columns ``shard`` and ``slot``. Rows should be narrow: they move twice."""
-    spark, names = df.sparkSession, df.columns
+    spark = df.sparkSession
+    plain, names = plain_names(df)
     # the numbers hold still: the rows they number lie in the shared folder
-    numbered = cut_lineage(df.withColumn("row_number_", F.monotonically_increasing_id()))
-    coarse_block = F.pmod(F.xxhash64("row_number_", F.lit(seed)), F.lit(MAX_BLOCKS))
-    counts = dict(numbered.groupBy(coarse_block.alias("coarse")).count().collect())
+    numbered = stored(plain.withColumn("number", F.monotonically_increasing_id()))
+    coarse = F.pmod(F.xxhash64("number", F.lit(seed)), F.lit(MAX_BLOCKS))
+    counts = dict(numbered.groupBy(coarse.alias("block")).count().collect())
     n_rows = sum(counts.values())
-    if not n_rows:
-        return df.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
     n_blocks = 1
-    while n_blocks < MAX_BLOCKS and n_rows / n_blocks > block_rows:
+    while n_blocks < MAX_BLOCKS and n_rows > n_blocks * block_rows:
         n_blocks *= 2
     sources = [0] * n_blocks
-    for coarse, n in counts.items():
-        sources[coarse % n_blocks] += n
-    sizes, targets, shard_of, offset = shard_sizes(n_rows, n_shards), [], [], []
-    for s, size in enumerate(sizes):
-        at = 0
+    for block, n in counts.items():
+        sources[block % n_blocks] += n
+    targets, places = [], []
+    for shard, size in enumerate(shard_sizes(n_rows, n_shards)):
+        offset = 0
         for part in split_evenly(size, max(1, n_blocks // n_shards)):
+            places.append((len(targets), shard, offset))
             targets.append(part)
-            shard_of.append(s)
-            offset.append(at)
-            at += part
-    matrix = spark.sparkContext.broadcast(communication_matrix(sources, targets, seed))
-    place = spark.sparkContext.broadcast((np.array(shard_of), np.array(offset)))
-    sent_schema = StructType([*df.schema.fields, StructField("target", IntegerType())])
-    slot_schema = StructType([*df.schema.fields, StructField("shard", IntegerType()), StructField("slot", LongType())])
-
-    def ordered(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.sort_values(names, na_position="last", kind="stable", ignore_index=True)
-
-    def send(rows: pd.DataFrame) -> pd.DataFrame:
-        k = int(rows["source"].iloc[0])
-        rows = ordered(rows.drop(columns="source"))
-        rows = rows.iloc[np.random.default_rng([seed, 1, k]).permutation(len(rows))]
-        return rows.assign(target=np.repeat(np.arange(len(targets), dtype=np.int32), matrix.value[k]))
-
-    def receive(rows: pd.DataFrame) -> pd.DataFrame:
-        k = int(rows["target"].iloc[0])
-        rows = ordered(rows.drop(columns="target"))
-        rows = rows.iloc[np.random.default_rng([seed, 2, k]).permutation(len(rows))]
-        shards, offsets = place.value
-        return rows.assign(shard=np.int32(shards[k]), slot=np.arange(len(rows), dtype=np.int64) + int(offsets[k]))
-
-    dealt = numbered.drop("row_number_").withColumn("source", F.lit(0)) if n_blocks == 1 else numbered.select(*df.columns, (coarse_block % n_blocks).cast("int").alias("source"))
-    sent = dealt.groupBy("source").applyInPandas(send, sent_schema)
-    return sent.groupBy("target").applyInPandas(receive, slot_schema)
+            offset += part
+    ends = np.cumsum(communication_matrix(sources, targets, seed), axis=1)
+    sent = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(ends)], "block long, ends array<bigint>")
+    received = spark.createDataFrame(places, "target int, shard int, offset long")
+    key = lambda turn: F.xxhash64("number", F.lit(seed), F.lit(turn))
+    order = lambda block, turn: F.row_number().over(Window.partitionBy(block).orderBy(key(turn), "number")) - 1
+    dealt = numbered.withColumn("block", coarse % n_blocks).withColumn("place", order("block", 1)).join(F.broadcast(sent), "block")
+    dealt = _searched(dealt, len(targets)).withColumn("place", order("target", 2)).join(F.broadcast(received), "target")
+    return dealt.select(*[F.col(x).alias(c) for c, x in names.items()], "shard", (F.col("offset") + F.col("place")).cast("long").alias("slot"))
+
+
+def _searched(dealt: DataFrame, n: int) -> DataFrame:
+    """``target``: how many of the n sorted ``ends`` are at most ``place``, by binary search."""
+    found = dealt.withColumn("target", F.lit(0))
+    for step in reversed(range(n.bit_length())):
+        on = F.col("target") + (1 << step)
+        found = found.withColumn("target", F.when((on <= n) & (F.get("ends", F.least(on, F.lit(n)) - 1) <= F.col("place")), on).otherwise(F.col("target")))
+    return found.drop("ends")
 
 
 def shard_documents(docs: DataFrame, n_shards: int, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

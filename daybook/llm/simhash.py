@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from daybook.llm.common import arrow_map, cut_lineage, stored
+from daybook.llm.common import arrow_map, cut_lineage, plain_names, stored
 from daybook.llm.graph import connected_components
 
 SEED = 42
@@ -215,8 +215,9 @@ def copies(df: DataFrame, width: int = 5, min_similarity: float = 0.8, **columns
 
 def without_copies(docs: DataFrame, width: int = 5, min_similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near copies: the smallest doc_id of each group stays; rows without doc_id stay."""
-    gone = copies(docs, width, min_similarity, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.hint("shuffle_hash"), docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+    gone = copies(docs, width, min_similarity, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("gone"))
+    plain, names = plain_names(docs)
+    return plain.join(gone.hint("shuffle_hash"), F.col(names[id_col]).cast("long") == F.col("gone"), "left_anti").toDF(*names)
 
 
 def block_masks(n_blocks: int) -> list[int]:

@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from daybook.llm.common import cut_lineage
+from daybook.llm.common import plain_names, stored
 
 MIN_BYTES = 24
 MAX_BYTES = 256
@@ -105,24 +105,25 @@ def passages(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", te
 
     ``first_doc_id`` holds the first occurrence of the run's first chunk.
     """
-    table = cut_lineage(chunks(docs, id_col, text_col))
-    per_doc = repeats(table).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "first_doc_id"))).alias("parts"))
-    runs = F.expr(
-        """aggregate(parts, CAST(array() AS array<struct<start_byte:int,end_byte:int,n_chunks:int,first_doc_id:bigint>>), (acc, p) ->
-             CASE WHEN size(acc) > 0 AND acc[size(acc) - 1].end_byte = p.start
-                  THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('start_byte', acc[size(acc) - 1].start_byte, 'end_byte', p.end,
-                       'n_chunks', acc[size(acc) - 1].n_chunks + 1, 'first_doc_id', acc[size(acc) - 1].first_doc_id)))
-                  ELSE concat(acc, array(named_struct('start_byte', p.start, 'end_byte', p.end, 'n_chunks', 1, 'first_doc_id', p.first_doc_id))) END)"""
-    )
-    flat = per_doc.select("doc_id", F.inline(runs))
+    later = repeats(stored(chunks(docs, id_col, text_col)))
+    order = Window.partitionBy("doc_id").orderBy("start", "end", "first_doc_id")
+    begins = F.when(F.lag("end").over(order) == F.col("start"), 0).otherwise(1)
+    runs = later.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # sorted by document and run already: the first chunk of a run is told by its start
+    flat = runs.groupBy("doc_id", "run").agg(
+        F.min("start").alias("start_byte"), F.max("end").alias("end_byte"), F.count("*").cast("int").alias("n_chunks"), F.max(F.when(F.col("begins") == 1, F.col("first_doc_id"))).alias("first_doc_id")
+    )
     return flat.withColumn("n_bytes", F.col("end_byte") - F.col("start_byte")).filter(F.col("n_bytes") >= min_run).select("doc_id", "start_byte", "end_byte", "n_bytes", "n_chunks", "first_doc_id")
 
 
 def without_repeats(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated runs cut out of the text column; all rows and columns stay."""
-    cuts = passages(docs, min_run, id_col, text_col).groupBy(F.col("doc_id").alias("cut_doc")).agg(F.array_sort(F.collect_list(F.struct("start_byte", "end_byte"))).alias("cuts_found"))
-    joined = docs.join(cuts, F.col(id_col).cast("long").eqNullSafe(F.col("cut_doc")), "left")
-    raw = F.encode(F.col(text_col), "UTF-8")
-    edges = F.concat(F.array(F.lit(0)), F.expr("flatten(transform(cuts_found, c -> array(c.start_byte, c.end_byte)))"), F.array(F.octet_length(raw)))
+    cuts = passages(docs, min_run, id_col, text_col).groupBy(F.col("doc_id").alias("cut_doc")).agg(F.array_sort(F.collect_list(F.struct("start_byte", "end_byte"))).alias("cuts"))
+    plain, names = plain_names(docs)
+    joined = plain.join(cuts, F.col(names[id_col]).cast("long").eqNullSafe(F.col("cut_doc")), "left")
+    text = F.col(names[text_col])
+    raw = F.encode(text, "UTF-8")
+    edges = F.concat(F.array(F.lit(0)), F.flatten(F.transform("cuts", lambda c: F.array(c["start_byte"], c["end_byte"]))), F.array(F.octet_length(raw)))
     kept = F.transform(F.sequence(F.lit(0), (F.size(edges) / 2 - 1).cast("int")), lambda i: F.decode(F.substr(raw, F.get(edges, i * 2) + 1, F.get(edges, i * 2 + 1) - F.get(edges, i * 2)), "UTF-8"))
-    return joined.withColumn(text_col, F.when(F.col("cuts_found").isNull(), F.col(text_col)).otherwise(F.array_join(kept, ""))).select(*[joined[c] if c != text_col else F.col(text_col) for c in docs.columns])
+    cut = F.when(F.col("cuts").isNull(), text).otherwise(F.array_join(kept, ""))
+    return joined.select(*[(cut if c == text_col else F.col(x)).alias(c) for c, x in names.items()])
