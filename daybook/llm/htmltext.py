@@ -5,10 +5,11 @@ blocks that labelled pages show to be unlike an article, and below zero in
 containers that they show to be boilerplate; a tag scores negative, by its name.
 The weights come from the labelled pages of ``htmllabels``. One linear scan finds
 the contiguous region with the largest sum; the blocks inside it whose words
-score positive are the text.
+score positive are the text, and those of the ``article`` or ``main`` element that holds most of it.
 
 Character references are decoded, white space inside a block becomes one space,
-blocks are trimmed and joined by a line feed in page order. Nothing is capped.
+blocks are trimmed and joined by two line feeds in page order. Nothing is capped, and a page
+takes time in proportion to its length, however its tags are nested or its quotes left open.
 
 Defined results: null or empty html, and pages on which no region has a positive
 sum, give an empty text; markup that is cut off mid-tag is ignored; elements
@@ -20,8 +21,11 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
+from collections.abc import Container, Iterator
 from functools import lru_cache
 from math import log
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +41,11 @@ INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "
 DROPPED = {"button", "canvas", "head", "iframe", "math", "noscript", "object", "option", "script", "select", "style", "svg", "template", "textarea", "title", "video", "audio"}
 RAW = ("script", "style", "textarea", "title", "iframe", "noscript", "template", "svg")
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
-    r"|(?P<text>[^<]+|<)",
-    re.DOTALL | re.IGNORECASE,
-)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^'\">]*+)>")
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+UNQUOTED = re.compile(r"[^'\">]*")
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
+SKIPPED = (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">"))
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 #: A word's score is held between these, so that an advert inside an article does not outweigh what follows it.
@@ -52,86 +54,144 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Block:
-    """Consecutive text with the same block-level parent."""
+    """Consecutive text with the same block-level parent; ``home`` is the article that holds it, if any."""
 
-    __slots__ = ("features", "parts", "links", "words")
+    __slots__ = ("features", "home", "parts", "links", "words")
 
-    def __init__(self, features: frozenset[str]):
-        self.features, self.parts, self.links, self.words = features, [], 0, 0
+    def __init__(self, features: frozenset[str], home: int | None):
+        self.features, self.home, self.parts, self.links, self.words = features, home, [], 0, 0
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-def tokens(page: str) -> list[tuple[str, object]]:
-    """``("tag", name)`` and ``("block", Block)``; a block stands for its words."""
+def tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """Where the tag's ``>`` stands, or the page's end; a quote that is never closed is none."""
+    while True:
+        at = UNQUOTED.match(page, at).end()
+        if at == len(page) or page[at] == ">":
+            return at
+        at = page.find(page[at], at + 1) + 1 if at < last[page[at]] else at + 1
+
+
+def pieces(page: str) -> Iterator[tuple[str, str, str]]:
+    """``("text", text, "")``, ``("open", name, attributes)``, ``("close", name, "")`` and ``("raw", name, "")`` in page order, in one pass."""
+    at, n = 0, len(page)
+    last = {quote: page.rfind(quote) for quote in "\"'"}
+    while at < n:
+        start = page.find("<", at)
+        if start != at:
+            yield "text", page[at : start if start >= 0 else n], ""
+        if start < 0:
+            return
+        skipped = next((end for begin, end in SKIPPED if page.startswith(begin, start)), None)
+        if skipped:
+            end = page.find(skipped, start + (4 if skipped == "-->" else 2))
+            at = end + len(skipped) if end >= 0 else n
+            continue
+        m = TAG.match(page, start)
+        if m:
+            attributes, at = m[3], m.end()
+        else:
+            m = TAG_NAME.match(page, start)
+            if m is None:
+                yield "text", "<", ""
+                at = start + 1
+                continue
+            end = tag_end(page, m.end(), last)
+            if end == n:
+                return
+            attributes, at = page[m.end() : end], end + 1
+        name = m[2].lower()
+        if m[1]:
+            yield "close", name, ""
+        elif name in RAW_END and not attributes.endswith("/"):
+            closed = RAW_END[name].search(page, at)
+            at = closed.end() if closed else n
+            yield "raw", name, ""
+        else:
+            yield "open", name, attributes
+
+
+class Element(NamedTuple):
+    """An open element, with what it adds up to with those around it."""
+
+    name: str
+    gone: bool
+    features: frozenset[str]
+    inside: bool
+    home: int | None
+
+
+def tokens(page: str, known: Container[str] | None = None) -> list[tuple[str, object]]:
+    """``("tag", name)`` and ``("block", Block)``; a block stands for its words. Only ``known`` features are kept, if given."""
     out: list[tuple[str, object]] = []
-    stack: list[tuple[str, tuple[str, ...], bool]] = []
+    stack = [Element("", False, frozenset(), False, None)]
+    open_names: Counter[str] = Counter()
     block: Block | None = None
     dropped = 0
-    for m in TOKEN.finditer(page):
-        name = m["name"]
-        if name is None:
-            if m["text"] and not dropped:
-                piece = htmllib.unescape(m["text"])
-                if block is None:
-                    if not piece.strip():
-                        continue
-                    block = Block(context(stack))
-                    out.append(("block", block))
-                block.parts.append(piece)
-                n = len(piece.split())
-                block.words += n
-                if any(t == "a" for t, _, _ in stack):
-                    block.links += n
-            elif m["raw"]:
-                out.append(("tag", m["raw"].lower()))
+
+    def pop() -> str:
+        nonlocal dropped
+        top = stack.pop()
+        dropped -= top.gone
+        open_names[top.name] -= 1
+        return top.name
+
+    for kind, name, attributes in pieces(page):
+        if kind == "text":
+            if dropped:
+                continue
+            piece = htmllib.unescape(name)
+            if block is None:
+                if not piece.strip():
+                    continue
+                block = Block(stack[-1].features, stack[-1].home)
+                out.append(("block", block))
+            block.parts.append(piece)
+            n = len(piece.split())
+            block.words += n
+            if open_names["a"]:
+                block.links += n
             continue
-        name = name.lower()
         out.append(("tag", name))
+        if kind == "raw":
+            continue
         if name == "br" and block is not None:
             block.parts.append(" ")
         if name not in INLINE:
             block = None
-        if m["close"]:
-            if any(t == name for t, _, _ in stack):
-                while True:
-                    t, _, gone = stack.pop()
-                    dropped -= gone
-                    if t == name:
-                        break
-        elif name not in VOID and not m["attrs"].rstrip().endswith("/"):
-            if name == "p" and any(t == "p" for t, _, _ in stack):
-                while stack[-1][0] in INLINE or stack[-1][0] == "p":
-                    t, _, gone = stack.pop()
-                    dropped -= gone
-                    if t == "p":
-                        break
-            attrs = m["attrs"]
-            gone = name in DROPPED or bool(HIDDEN.search(attrs))
+        if kind == "close":
+            if open_names[name]:
+                while pop() != name:
+                    pass
+        elif name not in VOID and not attributes.rstrip().endswith("/"):
+            if name == "p" and open_names["p"]:
+                while (stack[-1].name in INLINE or stack[-1].name == "p") and pop() != "p":
+                    pass
+            gone = name in DROPPED or bool(HIDDEN.search(attributes))
             dropped += gone
-            stack.append((name, attribute_words(attrs) if "=" in attrs else (), gone))
+            open_names[name] += 1
+            stack.append(inner(stack[-1], name, attribute_words(attributes) if "=" in attributes else (), gone, len(out), known))
     return out
 
 
+def inner(around: Element, name: str, words: tuple[str, ...], gone: bool, number: int, known: Container[str] | None) -> Element:
+    """What surrounds a block in this element: names of elements, apart for those inside an article, and words of attributes."""
+    own = [f".{w}" for w in words]
+    if name not in INLINE:
+        own.append(f"article>{name}" if around.inside else name)
+    new = frozenset(x for x in own if x not in around.features and (known is None or x in known))
+    article = name in ("article", "main")
+    return Element(name, gone, around.features | new if new else around.features, around.inside or article, number if article else around.home)
+
+
 @lru_cache(maxsize=4096)
 def attribute_words(attrs: str) -> tuple[str, ...]:
     """Lower-case words of class, id, role and label."""
     return tuple(sorted({w.lower() for found in NAMED.findall(attrs) for w in PARTS.findall(" ".join(found))}))
 
 
-def context(stack: list[tuple[str, tuple[str, ...], bool]]) -> frozenset[str]:
-    """What surrounds a block: names of elements, apart for those inside an article, and words of attributes."""
-    names: set[str] = set()
-    inside = False
-    for name, words, _ in stack:
-        if name not in INLINE:
-            names.add(f"article>{name}" if inside else name)
-        names.update(f".{w}" for w in words)
-        inside = inside or name in ("article", "main")
-    return frozenset(names)
-
-
 def block_features(block: Block) -> set[str]:
     density = block.links / max(1, block.words)
     size = next(k for k, most in (("1", 2), ("3", 8), ("9", 20), ("21", 1 << 60)) if block.words <= most)
@@ -209,12 +269,19 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def extract(page: str | None, weights: Weights) -> str:
     if not page:
         return ""
-    found = tokens(page)
+    found = tokens(page, weights.features)
     words = [weights.word(v) if k == "block" else 0.0 for k, v in found]
     scores = [w * v.words if k == "block" else weights.tag(v) for (k, v), w in zip(found, words, strict=True)]
     a, b = best_region(scores)
-    kept = (v.text() for (k, v), w in zip(found[a:b], words[a:b], strict=True) if k == "block" and w > 0)
-    return "\n".join(t for t in kept if t)
+    good = [(i, v) for i, ((k, v), w) in enumerate(zip(found, words, strict=True)) if k == "block" and w > 0]
+    # the article that holds most of the region is kept to its ends: a short paragraph there may not outweigh its tags
+    homes: Counter[int | None] = Counter()
+    for i, v in good:
+        if a <= i < b:
+            homes[v.home] += v.words
+    home = homes.most_common(1)[0][0] if homes else None
+    kept = (v.text() for i, v in good if a <= i < b or (home is not None and v.home == home))
+    return "\n\n".join(t for t in kept if t)
 
 
 @lru_cache(maxsize=1)

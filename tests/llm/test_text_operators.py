@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -272,10 +273,32 @@ def test_extraction_of_pages_with_known_text():
     page = """<html><head><title>t t</title><style>p{}</style></head><body><header><div class="logo">Site name here</div><nav><ul><li><a href=/>Home</a></li><li><a href=/b>About us</a></li></ul></nav></header>
     <div class="cookie notice"><p>We use cookies on this site to serve you better every day</p></div><article><h1>A title &amp; more</h1><p>First  paragraph of the <b>article</b> with\n enough words to count.</p><div class="ad">Buy now and save a lot of money today</div>
     <p>Second&nbsp;paragraph with more words in it<br>and a break.</p><script>var x = "<p>no</p>";</script></article><section class="comments"><p>Nice post, I liked it very much indeed</p></section><footer>&copy; 2024 all rights reserved by the site</footer></body></html>"""
-    assert htmltext.extract(page, w) == "A title & more\nFirst paragraph of the article with enough words to count.\nSecond paragraph with more words in it and a break."
+    assert htmltext.extract(page, w) == "A title & more\n\nFirst paragraph of the article with enough words to count.\n\nSecond paragraph with more words in it and a break."
     assert htmltext.extract(None, w) == "" and htmltext.extract("<nav><a>x</a></nav>", w) == "" and htmltext.extract("<p", w) == ""
 
 
+def test_short_blocks_at_the_ends_of_an_article_stay():
+    w = htmltext.default_weights()
+    page = "<nav><a href=/>Home</a></nav><article><p>Three short words</p><div class='promo ad'>Buy now and save a lot of money on things</div><p>" + "Some words of the article. " * 20 + "</p><p>The end</p></article><footer>Site</footer>"
+    assert htmltext.extract(page, w).split("\n\n") == ["Three short words", " ".join(["Some words of the article."] * 20), "The end"]
+
+
+@pytest.mark.parametrize("piece", ["<a title=\"x y ", "<div><b>", "<a b='c' d=\"", "<!-", "<x" , "</p", "<p class='", "<div class=a1 id=b2><x-{i}>"])
+def test_hostile_pages_take_time_in_proportion(piece):
+    w = htmltext.default_weights()
+    page = "<article><p>Some words to keep here</p></article>" + "".join(piece.replace("{i}", str(i)) for i in range(100_000))
+    began = time.process_time()
+    text = htmltext.extract(page, w)
+    assert time.process_time() - began < 20 and text.startswith("Some words to keep here")
+
+
+def test_extraction_of_nulls_repeated_rows_and_no_rows(spark):
+    given = spark.createDataFrame([(1, None, "<article><p>one two three</p></article>"), (1, None, "<article><p>one two three</p></article>"), (2, "u", None), (None, "u", "")], "page_id long, url string, html string")
+    rows = sorted((r.page_id or 0, r.text, r.n_chars) for r in htmltext.main_text(given).collect())
+    assert rows == [(0, "", 0), (1, "one two three", 13), (1, "one two three", 13), (2, "", 0)]
+    assert htmltext.main_text(given.limit(0)).count() == 0
+
+
 def test_best_region_equals_enumeration():
     rng = random.Random(0)
     for _ in range(50):
