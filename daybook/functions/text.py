@@ -63,8 +63,8 @@ def decode_once(c: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Up to three passes, so that doubly escaped text resolves; unknown names stay as they are."""
-    return decode_once(decode_once(decode_once(c)))
+    """Up to three passes, so that doubly escaped text resolves; unknown names stay as they are. Text without ``&`` takes none."""
+    return F.when(F.contains(c, F.lit("&")), decode_once(decode_once(decode_once(c)))).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:
@@ -122,9 +122,6 @@ def is_sentinel(key: Column) -> Column:
     return (F.coalesce(key, F.lit("")) == "") | key.rlike(f"^(?:(?:{many})(?: .*)?|(?:{single})(?: (?:{'|'.join(SENTINEL_NEXT)})(?: .*)?)?)$")
 
 
-LEADING_CITY = r"^([A-Za-z][A-Za-z .'-]{1,30}?),\s*([A-Za-z]{2,8})\.?(?:,\s*(.*))?$"
-
-
 def state_code(raw: Column) -> Column:
     newspaper = F.create_map(*[F.lit(x) for kv in AP_STATES.items() for x in kv])
     return F.when(F.upper(raw).isin(STATES), F.upper(raw)).otherwise(F.try_element_at(newspaper, F.lower(raw)))
@@ -132,10 +129,12 @@ def state_code(raw: Column) -> Column:
 
 def leading_city(c: Column, is_clean: bool = False) -> Column:
     """struct ``city, state, rest`` of ``City, ST[, rest]``, else null."""
-    text = c if is_clean else clean_text(c)
-    part = lambda i: F.trim(F.regexp_extract(text, LEADING_CITY, i))
-    state = state_code(part(2))
-    return F.when((part(2) != "") & state.isNotNull(), F.struct(part(1).alias("city"), state.alias("state"), part(3).alias("rest")))
+    parts = F.split(c if is_clean else clean_text(c), ",", 3)
+    city, after, rest = F.trim(F.get(parts, 0)), F.ltrim(F.get(parts, 1)), F.get(parts, 2)
+    state = state_code(F.when(F.endswith(after, F.lit(".")), F.left(after, F.length(after) - 1)).otherwise(after))
+    # a name: a letter, then up to 30 letters, blanks, dots, apostrophes and hyphens
+    named = F.length(F.get(parts, 0)).between(2, 31) & F.get(parts, 0).rlike("^[A-Za-z][A-Za-z .'-]+$")
+    return F.when(named & state.isNotNull(), F.struct(city.alias("city"), state.alias("state"), F.trim(F.coalesce(rest, F.lit(""))).alias("rest")))
 
 
 def venue_name(c: Column, is_clean: bool = False) -> Column:
@@ -144,6 +143,7 @@ def venue_name(c: Column, is_clean: bool = False) -> Column:
 
 
 def strip_html(c: Column) -> Column:
+    # fixed values: elements that end a line, and the references that are replaced
     spaced = F.regexp_replace(c, r"(?i)<br\s*/?>|</(?:p|div|li|h[1-6]|tr)>", " ")
     bare = F.regexp_replace(spaced, "<[^>]*>", "")
     for pattern, to in (("(?i)&nbsp;|&#160;", " "), ("&(?:#8217|#39|rsquo|apos);", "'"), ("&(?:#8211|ndash);", "–"), ("&(?:quot|#8220|#8221);", '"'), ("&(?:lt|gt);", ""), ("(?i)&(?:amp|#0?38);", "&")):

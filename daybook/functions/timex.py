@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ZONE = "America/Chicago"
-CLOCK = r"(?i)^\s*(\d{1,2})(?::(\d{2}))?(?::\d{2})?\s*([ap])?\.?m?\.?\s*$"
 
 
 def local(ts: Column, zone: str = ZONE) -> Column:
@@ -30,10 +29,14 @@ def wall_to_instant(wall: Column, zone: str = ZONE) -> Column:
 
 def clock_minutes(c: Column) -> Column:
     """Minutes after midnight of ``h[:mm[:ss]] [am|pm]``; null if it is no time of day."""
-    part = lambda i: F.nullif(F.regexp_extract(c, CLOCK, i), F.lit(""))
-    h, m, half = part(1).cast("int"), F.coalesce(part(2).cast("int"), F.lit(0)), F.lower(part(3))
-    hour = F.when((half == "p") & (h < 12), h + 12).when((half == "a") & (h == 12), 0).otherwise(h)
-    return F.when((hour < 24) & (m < 60), hour * 60 + m)
+    said = F.lower(F.trim(c))
+    half = F.when(F.endswith(said, F.lit("am")), "am").when(F.endswith(said, F.lit("pm")), "pm")
+    parts = F.split(F.when(half.isNull(), said).otherwise(F.rtrim(F.left(said, F.length(said) - 2))), ":")
+    digits = F.forall(parts, lambda x: x.rlike("^[0-9]{1,2}$")) & F.forall(F.slice(parts, 2, 3), lambda x: F.length(x) == 2) & (F.size(parts) <= 3)
+    at = lambda i: F.when(digits, F.coalesce(F.get(parts, i), F.lit("0"))).cast("int")
+    h, m, second = at(0), at(1), at(2)
+    hour = F.when((half == "pm") & (h < 12), h + 12).when((half == "am") & (h == 12), 0).otherwise(h)
+    return F.when((hour < 24) & (m < 60) & (second < 60), hour * 60 + m)
 
 
 def time_of_day(ts: Column, all_day: Column, zone: str = ZONE) -> Column:

@@ -33,12 +33,16 @@ def quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def sql_has(column: str, terms: str) -> str:
-    return f"regexp_matches(coalesce({column}, ''), {quoted(f'(^|[^A-Za-z0-9_])(?:{R.compile_terms(terms)})($|[^A-Za-z0-9_])')}, 'i')"
+def sql_holds(column: str, pattern: str) -> str:
+    return f"regexp_matches(coalesce({column}, ''), {quoted(f'(^|[^A-Za-z0-9_])(?:{pattern})($|[^A-Za-z0-9_])')}, 'i')"
 
 
-def sql_first(column: str, rows: list[tuple[str, str]], other: str = "NULL") -> str:
-    return "CASE " + " ".join(f"WHEN {sql_has(column, terms)} THEN {quoted(name)}" for name, terms in rows) + f" ELSE {other} END"
+def sql_has(column: str, terms: tuple[str, str]) -> str:
+    return sql_holds(column, R.phrase_pattern(*terms))
+
+
+def sql_first(column: str, rows: list[tuple[str, str, str]], other: str = "NULL") -> str:
+    return "CASE " + " ".join(f"WHEN {sql_holds(column, R.pattern_of_type(*row))} THEN {quoted(row[0])}" for row in rows) + f" ELSE {other} END"
 
 
 def sql_squeeze(x: str) -> str:
@@ -144,10 +148,13 @@ def leading_city_parse(spark, sf_dir):
 
 # time and money
 
-CLOCKS = [(i, s) for i, s in enumerate(["6:00 PM", "12am", "12:30 pm", "23:59", "25:00", "7 p.m.", "noon", "0:15", "11:60 am", "8:05:30 am"])]
+CLOCKS = [(i, s) for i, s in enumerate(["6:00 PM", "12am", "12:30 pm", "23:59", "25:00", "7 p.m.", "noon", "0:15", "11:60 am", "8:05:30 am", "8:05:75 am", "7m", "7.", "7 PM ", "007", "7:5", "1:2:3:4", ""])]
+
+
+_CLOCK = lambda i: f"regexp_extract(s, '^\\s*(\\d{{1,2}})(?::(\\d{{2}}))?(?::(\\d{{2}}))?\\s*([ap]m)?\\s*$', {i}, 'i')"
 
 
-@query(f"SELECT id, CASE WHEN h < 24 AND m < 60 THEN h * 60 + m END AS minutes FROM (SELECT id, m, CASE WHEN a = 'p' AND h0 < 12 THEN h0 + 12 WHEN a = 'a' AND h0 = 12 THEN 0 ELSE h0 END AS h FROM (SELECT id, TRY_CAST(regexp_extract(s, '^\\s*(\\d{{1,2}})(?::(\\d{{2}}))?(?::\\d{{2}})?\\s*([apAP])?\\.?[mM]?\\.?\\s*$', 1) AS INTEGER) AS h0, coalesce(TRY_CAST(regexp_extract(s, '^\\s*(\\d{{1,2}})(?::(\\d{{2}}))?(?::\\d{{2}})?\\s*([apAP])?\\.?[mM]?\\.?\\s*$', 2) AS INTEGER), 0) AS m, lower(regexp_extract(s, '^\\s*(\\d{{1,2}})(?::(\\d{{2}}))?(?::\\d{{2}})?\\s*([apAP])?\\.?[mM]?\\.?\\s*$', 3)) AS a FROM {sql_values('id, s', CLOCKS)}))")
+@query(f"SELECT id, CASE WHEN h < 24 AND m < 60 AND sec < 60 THEN h * 60 + m END AS minutes FROM (SELECT id, m, sec, CASE WHEN a = 'pm' AND h0 < 12 THEN h0 + 12 WHEN a = 'am' AND h0 = 12 THEN 0 ELSE h0 END AS h FROM (SELECT id, TRY_CAST({_CLOCK(1)} AS INTEGER) AS h0, coalesce(TRY_CAST({_CLOCK(2)} AS INTEGER), 0) AS m, coalesce(TRY_CAST({_CLOCK(3)} AS INTEGER), 0) AS sec, lower({_CLOCK(4)}) AS a FROM {sql_values('id, s', CLOCKS)}))")
 def clock_parse(spark, sf_dir):
     return values(spark, "id long, s string", CLOCKS).select("id", X.clock_minutes(F.col("s")).alias("minutes"))
 
@@ -225,7 +232,7 @@ _facet("rescheduled", R.rescheduled, _has("rescheduled"))
 _facet("home_away", lambda h: R.home_away(h, F.lit(True)), f"CASE WHEN {_has('home')} THEN 'home' WHEN {_has('away')} THEN 'away' END")
 _facet("classify_vocab", R.type_by_title, sql_first("hay", R.TITLE_TERMS))
 _facet("classify_venue", R.type_by_venue, "CASE " + " ".join(f"WHEN contains(v, {quoted(k)}) THEN {quoted(t)}" for k, t in R.VENUE_NAMES.items()) + f" ELSE {sql_first('v', R.VENUE_TERMS)} END")
-ORACLES["classify_venue"] = ORACLES["classify_venue"].replace(f"FROM {BY_TEXT}", f"FROM (SELECT id, lower(substr(hay, 1, 60)) AS v FROM {BY_TEXT})")
+ORACLES["classify_venue"] = ORACLES["classify_venue"].replace(f"FROM {BY_TEXT}", f"FROM (SELECT id, lower(hay) AS v FROM {BY_TEXT})")
 
 
 CATEGORIES = [(0, "music"), (1, "art &amp; culture|concerts"), (2, "Athletics"), (3, "Food & Drink"), (4, ""), (5, "x|Government|classes")]
@@ -290,18 +297,22 @@ _filter("filter_place", {"place": "p3", "audience": "kids,all-ages", "geo": "dul
 _filter("filter_time", {"time": "evening,late-night", "type": "nonsense"}, "h >= 17 OR h < 5")
 
 
+_REGISTRATION = "CASE " + " ".join(f"WHEN {sql_has('title', R.TERMS[k])} THEN '{k}'" for k in ("drop-in", "required", "open")) + " ELSE 'unknown' END"
+_SETTING = f"CASE WHEN {sql_has('venue', R.TERMS['virtual'])} OR {sql_has('title', R.TERMS['virtual'])} THEN 'virtual' WHEN {sql_has('title', R.TERMS['outdoor'])} OR {sql_has('venue', R.TERMS['outdoor venue'])} THEN 'outdoor' ELSE 'unknown' END"
 SPECS = {
     "all": "NOT notice", "weekend": "weekend AND NOT notice", "family": "list_has_any(audience, ['all-ages', 'kids'])", "free": "cost_tier = 'free'", "live-music": "event_type = 'live-music' AND NOT notice", "class": "event_type = 'class' AND NOT notice",
     "music-no-age-limit": "event_type = 'live-music' AND NOT list_contains(audience, 'adults-only')", "accessible": "list_contains(access, 'wheelchair')", "free-family": "cost_tier = 'free' AND list_has_any(audience, ['all-ages', 'kids'])",
     "evenings": "h >= 17 AND h < 21 AND NOT notice", "late-night": "h >= 21 OR h < 5", "daytime": "h >= 5 AND h < 17 AND NOT notice", "recurring": "ord % 9 = 0", "multi-day": "multi_day", "single-day": "NOT multi_day", "duluth-proper": "geo_scope = 'duluth'",
-    "twin-ports": "geo_scope IN ('duluth', 'twin-ports')", "home-games": "event_type = 'sports' AND home_away = 'home'", "high-confidence": "confidence = 'high'", "corroborated": "ord % 7 = 0", "notices": "notice",
+    "twin-ports": "geo_scope IN ('duluth', 'twin-ports')", "home-games": "event_type = 'sports' AND home_away = 'home'", **{k: f"event_type = '{k}' AND NOT notice" for k in ("performing-arts", "film", "visual-arts", "meeting", "market", "festival", "sports", "food-drink", "education", "community")}, "conventions": "event_type = 'convention'",
+    **{k: f"list_contains(audience, '{k}')" for k in ("kids", "teen", "adults-only", "seniors")}, **{k: f"list_contains(access, '{k}')" for k in ("asl", "sensory-friendly")},
+    "drop-in": f"{_REGISTRATION} = 'drop-in'", "registration-required": f"{_REGISTRATION} = 'required'", "outdoor": f"{_SETTING} = 'outdoor'", "virtual": f"{_SETTING} = 'virtual'", "free-outdoor": f"cost_tier = 'free' AND {_SETTING} = 'outdoor'",
+    "open-to-public": "ord % 3 = 0", "classes-single-day": "event_type = 'class' AND NOT multi_day", "high-confidence": "confidence = 'high'", "corroborated": "ord % 7 = 0", "notices": "notice",
 }
 
 
 @query(FACETED + " UNION ALL ".join(f"SELECT '{k}' AS file, count(*) AS n FROM f WHERE {w} HAVING count(*) > 0" for k, w in SPECS.items()))
 def spec_counts_single_pass(spark, sf_dir):
-    chosen = [s for s in filters.SAVED if s.file in SPECS]
-    return filters.tag(faceted(spark, sf_dir), chosen).groupBy("file").agg(F.count("*").alias("n"))
+    return filters.tag(faceted(spark, sf_dir)).groupBy("file").agg(F.count("*").alias("n"))
 
 
 @query(FACETED + "SELECT cost_tier, geo_scope, source, count(*) AS n FROM f GROUP BY ALL")
