@@ -402,3 +402,19 @@ def test_line_dedup_keeps_columns_whatever_their_names(spark):
     given = docs(spark, ["a b c\nd e f", "a b c"]).withColumnsRenamed({"lang": "removed", "source": "cut_doc", "n_chars": "given_0"})
     out = linedup.without_repeats(given)
     assert out.columns == given.columns and sorted(r.text for r in out.collect()) == ["", "a b c\nd e f"]
+
+
+def test_clashing_names_and_ties_of_other_operators(spark):
+    given = docs(spark, ["one two three four five six"] * 3 + [None]).withColumnsRenamed({"lang": "gone", "source": "cuts", "n_chars": "given_0"})
+    assert simhash.without_copies(given).columns == given.columns
+    assert substring.without_repeats(given).columns == given.columns
+    shards = sharding.shuffle_into_shards(given.withColumnsRenamed({"gone": "block", "cuts": "number"}), 2)
+    assert shards.columns == ["doc_id", "text", "block", "number", "given_0", "shard", "slot"] and sorted((r.shard, r.slot) for r in shards.collect()) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+
+
+def test_ratio_of_uniforms_has_the_library_law():
+    rng = np.random.default_rng(4)
+    own = [sharding.hypergeometric_by_ratio(rng, 60, 140, 50) for _ in range(4000)]
+    theirs = rng.hypergeometric(60, 140, 50, 4000)
+    assert abs(np.mean(own) - 15) < 0.2 and abs(np.std(own) - np.std(theirs)) < 0.2 and min(own) >= 0 and max(own) <= 50
+    assert abs(sharding.hypergeometric_by_ratio(rng, 4 * 10**9, 6 * 10**9, 10**6) - 400_000) < 5_000
