@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+from functools import cache
+from zoneinfo import available_timezones
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ZONE = "America/Chicago"
 
 
-def local(ts: Column, zone: str = ZONE) -> Column:
+@cache
+def zone_names() -> tuple[str, ...]:
+    """The named zones, as the driver's time zone data lists them."""
+    return tuple(sorted(z for z in available_timezones() if z != "localtime" and not z.startswith(("posix", "right", "SystemV"))))
+
+
+def safe_timezone(zone: Column, default: str = ZONE) -> Column:
+    """``zone`` if it is a named zone, else the default: absent, blank, or an offset such as ``UTC+0``."""
+    return F.when(zone.isin(*zone_names()), zone).otherwise(F.lit(default))
+
+
+def local(ts: Column, zone: str | Column = ZONE) -> Column:
     return F.from_utc_timestamp(ts, zone)
 
 
@@ -22,7 +36,7 @@ def iso_with_offset(ts: Column, zone: str = ZONE) -> Column:
     return F.concat(F.date_format(local(ts, zone), "yyyy-MM-dd'T'HH:mm:ss"), F.when(m < 0, "-").otherwise("+"), two(F.floor(F.abs(m) / 60)), F.lit(":"), two(F.abs(m) % 60))
 
 
-def wall_to_instant(wall: Column, zone: str = ZONE) -> Column:
+def wall_to_instant(wall: Column, zone: str | Column = ZONE) -> Column:
     """The instant of a wall clock, by the offset in force at that wall clock."""
     return F.to_utc_timestamp(wall, zone)
 
@@ -39,12 +53,12 @@ def clock_minutes(c: Column) -> Column:
     return F.when((hour < 24) & (m < 60) & (second < 60), hour * 60 + m)
 
 
-def time_of_day(ts: Column, all_day: Column, zone: str = ZONE) -> Column:
+def time_of_day(ts: Column, all_day: Column, zone: str | Column = ZONE) -> Column:
     h = F.hour(local(ts, zone))
     return F.when(all_day, "all-day").when((h >= 21) | (h < 5), "late-night").when(h < 12, "morning").when(h < 17, "afternoon").otherwise("evening")
 
 
-def is_weekend(ts: Column, zone: str = ZONE) -> Column:
+def is_weekend(ts: Column, zone: str | Column = ZONE) -> Column:
     return F.dayofweek(local(ts, zone)).isin(1, 7)
 
 

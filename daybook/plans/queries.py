@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from daybook.functions import rules as R
 from daybook.functions import text as T
 from daybook.functions import timex as X
-from daybook.operators import constraints, dedupe, diff, emit, filters, matching, places
+from daybook.operators import constraints, dedupe, diff, emit, filters, finalize, matching, places, reports
 from daybook.plans.listings import SQL as LISTINGS
 from daybook.plans.listings import listings, table
+from daybook.sources import mappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -405,6 +406,158 @@ def venue_directory_zero_fill(spark, sf_dir):
     return emit.directory(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("place_id"), F.col("n_name").alias("name")), counts)
 
 
+# finalisation: whole documents as events at nations' venues
+
+
+def document_events(spark, sf_dir) -> DataFrame:
+    """An event per document: its whole text is the title, its venue a nation said in five ways, its start an hour of 2024."""
+    d = table(spark, sf_dir, "documents").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("doc_id") % 25 == F.col("n_nationkey"), "left")
+    k = F.floor(F.col("doc_id") / 25) % 5
+    venue = F.when(k == 0, F.col("n_name")).when(k == 1, F.concat(F.lit("Houghton, Mich., "), "n_name")).when(k == 2, "TBD").when(k == 3, F.concat(F.lit("Tavern "), (F.col("doc_id") % 11).cast("string"), F.lit(" Inc")))
+    start = F.timestamp_add("HOUR", F.col("doc_id") % 8000, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    row = mappers.canonical(
+        d, native_id=F.col("doc_id").cast("string"), title=F.col("text"), start_ts=start, end_ts=F.timestamp_add("HOUR", F.col("doc_id") % 5, start), venue_raw=venue,
+        rrule=F.when(F.col("doc_id") % 9 == 0, "FREQ=WEEKLY"), cost=F.struct(F.when(F.col("doc_id") % 6 == 0, "free").otherwise("unknown").alias("kind")),
+    )
+    return row
+
+
+def finalized(spark, sf_dir) -> DataFrame:
+    return finalize.finalize(document_events(spark, sf_dir), nation_registry(spark, sf_dir))
+
+
+_HOUR = "timezone('America/Chicago', timezone('UTC', TIMESTAMP '2024-01-01' + to_hours(CAST(doc_id % 8000 AS INTEGER))))"
+_ENDS = "timezone('America/Chicago', timezone('UTC', TIMESTAMP '2024-01-01' + to_hours(CAST(doc_id % 8000 + doc_id % 5 AS INTEGER))))"
+_SPOT = "coalesce(spot, '')"
+FINAL = f"""WITH e AS (SELECT doc_id, text AS hay, n_name, doc_id // 25 % 5 AS k, CASE doc_id // 25 % 5 WHEN 0 THEN n_name WHEN 1 THEN 'Houghton, Mich., ' || n_name WHEN 2 THEN 'TBD' WHEN 3 THEN 'Tavern ' || (doc_id % 11) || ' Inc' END AS venue FROM documents LEFT JOIN nation ON doc_id % 25 = n_nationkey),
+t AS (SELECT *, CASE k WHEN 1 THEN 'Houghton' ELSE 'Duluth' END AS city, CASE k WHEN 1 THEN 'MI' ELSE 'MN' END AS state, CASE WHEN k <= 1 THEN 'n' || (doc_id % 25) WHEN k = 3 THEN '~tavern-' || (doc_id % 11) END AS place_id,
+  CASE WHEN k <= 1 THEN n_name ELSE venue END AS spot, {_LOW} AS lo, {_HIGH} AS hi FROM e),
+u AS (SELECT *, coalesce({sql_first('hay', R.TITLE_TERMS)}, {sql_first(f'lower({_SPOT})', R.VENUE_TERMS)}, 'community') AS event_type, CASE WHEN {_has('virtual')} THEN 'virtual' WHEN {_has('outdoor')} OR {sql_has('venue', R.TERMS['outdoor venue'])} THEN 'outdoor' ELSE 'unknown' END AS setting, {_AUD} AS a0 FROM t),
+v AS (SELECT *, CASE WHEN list_contains(a0, 'adults-only') THEN list_filter(a0, lambda x: x <> 'all-ages') ELSE a0 END AS a1 FROM u),
+final AS (SELECT doc_id, place_id, city, state, event_type, setting, lo AS min_age, hi AS max_age, coalesce(array_to_string(list_sort(a1), ','), '') AS audience, CASE WHEN lo IS NULL AND hi IS NULL AND list_contains(a1, 'all-ages') THEN true WHEN lo IS NOT NULL OR hi IS NOT NULL THEN false END AS all_ages,
+  CASE WHEN doc_id % 6 = 0 THEN 'free' WHEN {_has('donation')} THEN 'donation' WHEN regexp_matches(hay, '\\$\\s?\\d') THEN 'paid' WHEN {_has('free')} THEN 'free' ELSE 'unknown' END AS cost_tier,
+  CASE WHEN {_has('drop-in')} THEN 'drop-in' WHEN {_has('required')} THEN 'required' WHEN {_has('open')} THEN 'open' ELSE 'unknown' END AS registration,
+  CASE WHEN setting = 'virtual' THEN 'virtual' WHEN city = 'Duluth' THEN 'duluth' ELSE 'distant' END AS geo_scope, city = 'Duluth' AS in_duluth, doc_id % 9 = 0 AS recurring,
+  CASE WHEN hour({_HOUR}) >= 21 OR hour({_HOUR}) < 5 THEN 'late-night' WHEN hour({_HOUR}) < 12 THEN 'morning' WHEN hour({_HOUR}) < 17 THEN 'afternoon' ELSE 'evening' END AS time_of_day, dayofweek({_HOUR}) IN (0, 6) AS weekend, CAST({_HOUR} AS DATE) <> CAST({_ENDS} AS DATE) AS multi_day,
+  {_has('alcohol')} OR coalesce({sql_has('venue', R.TERMS['alcohol'])}, false) AS alcohol, CASE WHEN {_has('public')} THEN 'public' WHEN {_has('restricted')} THEN 'restricted' ELSE 'unknown' END AS public_admission,
+  CASE WHEN event_type <> 'sports' THEN NULL WHEN {_has('home')} THEN 'home' WHEN {_has('away')} THEN 'away' END AS home_away, CASE WHEN {_has('rescheduled')} THEN 'tentative' ELSE 'confirmed' END AS status FROM v)
+"""
+_FINAL_COLUMNS = "place_id city state event_type setting cost_tier registration geo_scope in_duluth recurring time_of_day weekend multi_day alcohol public_admission home_away status".split()
+
+
+@query(FINAL + f"SELECT doc_id, {', '.join(_FINAL_COLUMNS)}, audience, min_age, max_age, all_ages FROM final")
+def finalize_events(spark, sf_dir):
+    x = finalized(spark, sf_dir)
+    return x.select(F.col("native_id").cast("long").alias("doc_id"), *_FINAL_COLUMNS, F.array_join(F.array_sort("audience"), ",").alias("audience"), "age.min_age", "age.max_age", "age.all_ages")
+
+
+@query(FINAL + "SELECT 'weekend' AS file, count(*) AS n FROM final WHERE weekend UNION ALL SELECT 'duluth-proper', count(*) FROM final WHERE geo_scope = 'duluth' UNION ALL SELECT 'virtual', count(*) FROM final WHERE setting = 'virtual' UNION ALL SELECT 'evenings', count(*) FROM final WHERE time_of_day = 'evening' UNION ALL SELECT 'recurring', count(*) FROM final WHERE recurring")
+def filters_on_real_facets(spark, sf_dir):
+    """Saved queries over derived facets (institutional notices need a category that documents lack)."""
+    wanted = {"weekend", "duluth-proper", "virtual", "evenings", "recurring"}
+    x = finalized(spark, sf_dir).withColumns({"also": F.array().cast("array<string>"), "confidence": F.lit("high"), "source": F.lit("documents")})
+    counts = filters.tag(x, [s for s in filters.SAVED if s.file in wanted]).groupBy("file").agg(F.count("*").alias("n"))
+    return values(spark, "file string", [(w,) for w in sorted(wanted)]).join(counts, "file", "left").select("file", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+ZONES = [(0, "America/Chicago"), (1, "UTC+0"), (2, "Europe/Paris"), (3, ""), (4, None), (5, "UTC"), (6, "Mars/Olympus"), (7, "-05:00")]
+
+
+@query(f"SELECT id, CASE WHEN id IN (2, 5) THEN zone ELSE 'America/Chicago' END AS zone FROM {sql_values('id, zone', ZONES)}")
+def safe_timezone(spark, sf_dir):
+    return values(spark, "id long, zone string", ZONES).select("id", X.safe_timezone(F.col("zone")).alias("zone"))
+
+
+# reports
+
+
+@query(LISTINGS + "SELECT 'source' AS kind, source AS name, count(*) AS n FROM listings GROUP BY 2 UNION ALL SELECT 'fetched', '', count(*) FROM listings UNION ALL SELECT 'merged', '', count(DISTINCT (source, day)) FROM listings UNION ALL SELECT 'failed', 'src9', 1")
+def run_counts(spark, sf_dir):
+    x = listings(spark, sf_dir)
+    return reports.run_counts(x, x.select("source", "day").distinct(), [("src9", "no answer")])
+
+
+@query(FACETED + f"SELECT ord, t AS event_type, (SELECT count(*) FROM f WHERE event_type = t) AS n FROM {sql_values('ord, t', list(enumerate(filters.VOCABULARY['types'])))}")
+def types_endpoint(spark, sf_dir):
+    return reports.types(faceted(spark, sf_dir))
+
+
+@query(LISTINGS + "SELECT source, n, row_number() OVER (ORDER BY n DESC, source) AS rank FROM (SELECT source, count(*) AS n FROM listings GROUP BY 1)")
+def sources_ranked(spark, sf_dir):
+    return reports.ranked(reports.sources(listings(spark, sf_dir)), "n", "source")
+
+
+@query(FACETED + "SELECT ord FROM f WHERE event_type IN ('sports', 'class') AND NOT multi_day AND contains(source, 'src1')")
+def feed_endpoint(spark, sf_dir):
+    return reports.feed(faceted(spark, sf_dir), {"type": "sports,class", "multiDay": "false", "source": "src1"}).select("ord")
+
+
+def _venue_claims(spark, sf_dir):
+    return venue_events(spark, sf_dir).withColumns({"ord": F.col("c_custkey"), "state": F.lit("MN")})
+
+
+_CLAIMS = f"""(SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN n_name WHEN 1 THEN '1 ' || n_name || ' Street' WHEN 3 THEN 'Hall ' || (c_custkey % 11) || ' Inc' WHEN 4 THEN 'Duluth' ELSE 'the ' || lower(n_name) || ' inc' END AS raw,
+  CASE c_custkey % 6 WHEN 4 THEN 'city' ELSE 'venue' END AS kind FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 6 <> 2)"""
+
+
+@query(f"SELECT {sql_key('raw')} AS key, kind, count(*) AS n FROM {_CLAIMS} GROUP BY ALL")
+def unresolved_tally(spark, sf_dir):
+    return reports.unresolved(_venue_claims(spark, sf_dir)).select("key", "kind", "n")
+
+
+def _proposals(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("target"), T.short_slug(F.col("p_name")).alias("id"), F.col("p_size").cast("long").alias("n"), matching.verdict(F.when(F.col("p_size") > 5, F.col("p_size") / 50), F.col("p_partkey") % 4 == 0).alias("verdict"))
+
+
+@query("SELECT verdict, count(*) AS n_targets, sum(p_size) AS n_events FROM (SELECT p_size, CASE WHEN p_size <= 5 THEN 'none' WHEN p_size / 50.0 >= 0.5 AND p_partkey % 4 <> 0 THEN 'strong' ELSE 'weak' END AS verdict FROM part) GROUP BY 1")
+def proposal_verdicts(spark, sf_dir):
+    return reports.proposal_verdicts(_proposals(spark, sf_dir))
+
+
+@query(f"SELECT id, count(DISTINCT p_partkey) AS n_targets, sum(p_size) AS n_events FROM (SELECT p_partkey, p_size, regexp_replace(substr(replace({sql_key('p_name')}, ' ', '-'), 1, 48), '-+$', '') AS id FROM part) GROUP BY 1 HAVING count(DISTINCT p_partkey) > 1")
+def colliding_ids(spark, sf_dir):
+    return reports.colliding_ids(_proposals(spark, sf_dir))
+
+
+GAZETTEER_KINDS = ["brewery", "park", "stadium_arena", "church_house_of_worship", "bakery"]
+_KIND = "CASE s_suppkey % 5 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(GAZETTEER_KINDS)) + " END"
+
+
+@query(f"""SELECT outcome, CASE WHEN outcome = 'unmapped' THEN category END AS category, count(*) AS n_venues, sum(n) AS n_events FROM (SELECT s_nationkey AS n, category, CASE WHEN s_suppkey % 7 = 0 THEN 'no match' WHEN category IN ('park', 'bakery') THEN 'unmapped' WHEN category = 'church_house_of_worship' THEN 'same' ELSE 'changed' END AS outcome
+FROM (SELECT *, {_KIND} AS category FROM supplier)) GROUP BY ALL""")
+def gazetteer_what_if(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("venue"), F.col("s_nationkey").cast("long").alias("n"))
+    kinds = F.get(F.array(*[F.lit(k) for k in GAZETTEER_KINDS]), F.col("key") % 5)
+    return reports.what_if(s, s.filter("key % 7 != 0").select("key", kinds.alias("category")))
+
+
+@query("SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END, coalesce(CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 10 / 10.0 END, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0.5 END), o_orderpriority, o_orderkey) AS rank FROM orders")
+def risk_ranking(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumns({"provisional": F.col("o_orderstatus") == "F", "similarity": F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderkey") % 10 / 10), "by_title": F.col("o_orderkey") % 2 == 0, "title": F.col("o_orderpriority")})
+    return o.select("o_orderkey", F.row_number().over(Window.partitionBy("o_custkey").orderBy(*reports.risk_order(o), "o_orderkey")).alias("rank"))
+
+
+USES = [("t0", "Y", "No", "both"), ("t1", "No", "Yes", "Winter"), ("t2", None, "Y", "None")]
+
+
+@query(f"SELECT id, use, allowed, seasons FROM (SELECT id, unnest(['hiking', 'biking']) AS use, unnest([coalesce(h IN ('Y', 'Yes'), false), coalesce(b IN ('Y', 'Yes'), false)]) AS allowed, CASE lower(season) WHEN 'both' THEN 'summer,winter' WHEN 'none' THEN NULL ELSE lower(season) END AS seasons FROM {sql_values('id, h, b, season', USES)})")
+def trail_uses_unpivot(spark, sf_dir):
+    x = mappers.trail_uses(values(spark, "id string, h string, b string, season string", USES), ["h", "b"])
+    return x.select("id", F.array_join("seasons", ",").alias("seasons"), F.inline("uses"))
+
+
+TIERS = [("curated", True, (40.0, -95.0, 50.0, -90.0)), ("open", True, (40.0, -95.0, 50.0, -90.0)), ("geocoder", False, (-90.0, -180.0, 90.0, 180.0))]
+TIER_TARGETS = [("t0", "green steel", True), ("t1", "small box", False), ("t2", "blue", True), ("t3", "large brass plate", True), ("t4", "no such thing at all", True), ("t5", "gs", False)]
+
+
+@query()
+def tiered_matches(spark, sf_dir):
+    """Targets against all parts in three gazetteers; held against brute force in the tests."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("candidate"), F.col("p_name").alias("name"), F.get(F.array(*[F.lit(t[0]) for t in TIERS]), F.col("p_partkey") % 3).alias("tier"), (F.col("p_size") / 10 + 45).alias("lat"), F.lit(-92.0).alias("lon"), (F.col("p_partkey") % 17 == 0).alias("closed"))
+    return matching.tiered_matches(values(spark, "target string, name string, is_local boolean", TIER_TARGETS), part, TIERS).withColumn("score", F.round("score", 6))
+
+
 # dedupe
 
 _TOK = lambda t: f"list_distinct(list_filter(string_split({sql_key(f"replace(strip_accents({t}), 'ß', 'ss')")}, ' '), lambda w: length(w) > 2 AND w NOT IN ({', '.join(map(quoted, T.TITLE_STOP))})))"

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import text as T
 from daybook.functions import timex as X
 
-COLUMNS = ["native_id", "title", "description", "start_ts", "end_ts", "all_day", "venue_raw", "city", "state", "cost", "categories", "event_type", "url", "status", "verified"]
+COLUMNS = ["native_id", "title", "description", "start_ts", "end_ts", "all_day", "venue_raw", "city", "state", "cost", "categories", "event_type", "url", "status", "verified", "rrule"]
 
 
 def canonical(df: DataFrame, **given) -> DataFrame:
@@ -16,7 +16,7 @@ def canonical(df: DataFrame, **given) -> DataFrame:
     base = {
         "native_id": none, "title": none, "description": none, "start_ts": F.lit(None).cast("timestamp"), "end_ts": F.lit(None).cast("timestamp"), "all_day": F.lit(False), "venue_raw": none,
         "city": F.lit("Duluth"), "state": F.lit("MN"), "cost": F.struct(F.lit("unknown").alias("kind"), F.lit(None).cast("double").alias("price_min"), F.lit(None).cast("double").alias("price_max")),
-        "categories": F.array().cast("array<string>"), "event_type": F.lit("other"), "url": none, "status": F.lit("confirmed"), "verified": F.lit(False),
+        "categories": F.array().cast("array<string>"), "event_type": F.lit("other"), "url": none, "status": F.lit("confirmed"), "verified": F.lit(False), "rrule": none,
     } | given
     return df.select(*[base[c].alias(c) for c in COLUMNS])
 
@@ -39,8 +39,9 @@ def tribe(df: DataFrame) -> DataFrame:
     """``venue`` is VARIANT: an object, or a list for none. Descriptions are stripped, then cut to 1,500 characters."""
     part = lambda k: F.try_variant_get("venue", f"$.{k}", "string")
     city = T.text_or_null(part("city"))
+    zone = X.safe_timezone(F.col("timezone")) if "timezone" in df.columns else X.ZONE
     return canonical(
-        df, native_id=F.col("id").cast("string"), title=T.strip_html(F.col("title")), description=F.substring(T.strip_html(F.col("description")), 1, 1500), start_ts=_wall(F.col("start_date")), end_ts=_wall(F.col("end_date")),
+        df, native_id=F.col("id").cast("string"), title=T.strip_html(F.col("title")), description=F.substring(T.strip_html(F.col("description")), 1, 1500), start_ts=_wall(F.col("start_date"), zone), end_ts=_wall(F.col("end_date"), zone),
         all_day=F.coalesce("all_day", F.lit(False)), venue_raw=F.coalesce(T.strip_html(part("venue")), F.lit("See listing")), city=F.coalesce(city, F.lit("Duluth")), cost=X.cost_of_values(F.col("cost_details.values")),
         categories=F.transform("categories", lambda c: c["name"]), url=F.col("url"),
     )
@@ -86,14 +87,17 @@ def ics(df: DataFrame) -> DataFrame:
     prop = lambda k: F.try_element_at("props", F.lit(k))
     start = prop("DTSTART")
     dated = start.rlike(r"^\d{8}$")
-    at = lambda c: F.when(c.rlike("Z$|^[0-9]{8}$"), X.instant_of(c)).otherwise(X.wall_to_instant(F.try_to_timestamp(c, F.lit("yyyyMMdd'T'HHmmss"))))
+    zone = lambda k: X.safe_timezone(prop(f"{k};TZID"))
+    wall = lambda k: X.wall_to_instant(F.try_to_timestamp(prop(k), F.lit("yyyyMMdd'T'HHmmss")), zone(k))
+    at = lambda k: F.when(prop(k).rlike("Z$|^[0-9]{8}$"), X.instant_of(prop(k))).otherwise(wall(k))
+    rule = F.trim(F.split(prop("RRULE"), "\n")[0])
     venue = F.coalesce(T.text_or_null(T.unescape_ics(prop("LOCATION"))), F.lit("Not specified"))
     lead = T.leading_city(venue)
     status = F.upper(prop("STATUS"))
     return canonical(
-        df.filter(start.isNotNull() & prop("SUMMARY").isNotNull()), native_id=prop("UID"), title=T.clean_text(T.unescape_ics(prop("SUMMARY"))), description=T.unescape_ics(prop("DESCRIPTION")), start_ts=at(start), end_ts=at(prop("DTEND")), all_day=dated,
+        df.filter(start.isNotNull() & prop("SUMMARY").isNotNull()), native_id=prop("UID"), title=T.clean_text(T.unescape_ics(prop("SUMMARY"))), description=T.unescape_ics(prop("DESCRIPTION")), start_ts=at("DTSTART"), end_ts=at("DTEND"), all_day=dated,
         venue_raw=venue, city=F.coalesce(lead["city"], F.lit("Duluth")), state=F.coalesce(lead["state"], F.lit("MN")), categories=F.filter(F.split(F.coalesce(prop("CATEGORIES"), F.lit("")), ","), lambda c: c != ""), url=F.when(prop("URL").rlike("^https?://"), prop("URL")),
-        status=F.when(status == "CANCELLED", "cancelled").when(status == "TENTATIVE", "tentative").otherwise("confirmed"),
+        status=F.when(status == "CANCELLED", "cancelled").when(status == "TENTATIVE", "tentative").otherwise("confirmed"), rrule=F.when(F.contains(rule, F.lit("FREQ=")), rule),
     )
 
 
@@ -128,6 +132,26 @@ def manual(df: DataFrame, venue: str) -> DataFrame:
     )
 
 
+def sorted_keys(m: Column) -> Column:
+    return F.map_from_entries(F.array_sort(F.map_entries(m)))
+
+
+def neighborhood(df: DataFrame) -> DataFrame:
+    """``attributes map<string,string>`` of a district as named columns, and all of them in ``raw`` by key."""
+    at = lambda k, t="string": F.try_element_at("attributes", F.lit(k)).cast(t)
+    return df.select(
+        F.lower(F.regexp_replace(at("GlobalID"), "[{}]", "")).alias("id"), at("GlobalID").alias("global_id"), at("OBJECTID", "long").alias("object_id"), at("ID").alias("admin_id"), at("NAME").alias("name"),
+        at("Shape__Area", "double").alias("shape_area"), at("Shape__Length", "double").alias("shape_length"), X.iso_of_millis(at("last_edited_date", "long")).alias("last_edited"), sorted_keys(F.col("attributes")).alias("raw"),
+    )
+
+
+def trail_condition(df: DataFrame) -> DataFrame:
+    """A trail's condition record: blank street and url are null, socials by key, instants as text; other columns stay."""
+    blank_null = {c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in ("street", "url")}
+    socials = sorted_keys(F.coalesce("socials", F.create_map().cast("map<string,string>")))
+    return df.withColumns(blank_null | {"socials": socials, "weather_policy": F.col("weatherPolicy") if "weatherPolicy" in df.columns else F.lit(None).cast("string")}).drop("weatherPolicy")
+
+
 # Activities of the trail record, in its order.
 USES = ["hiking", "biking", "skiing", "snowshoeing", "horseback", "motorized", "accessible", "dogs"]
 
