@@ -31,19 +31,28 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from daybook.llm.common import arrow_map, kept_by_worker, stored
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WINDOW = 10
 #: Bytes of benchmark text whose windows are in one automaton; some 40 MB of a worker and as much of the driver a megabyte.
 SLICE_BYTES = 8 << 20
 
+
+def lowered(text: str | None) -> str:
+    """A-Z in lower case: what that means for bytes of UTF-8, whose other characters hold no such byte."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
+def words_of(text: str | None) -> list[str]:
+    return WORD.findall(lowered(text))
+
+
 def words_with_offsets(text: str | None) -> tuple[list[str], list[int], list[int]]:
     """Normalised words with their start and end in the original (lower-casing keeps every offset)."""
-    found = [(m.group(), m.start(), m.end()) for m in WORD.finditer((text or "").translate(ASCII_LOWER))]
+    found = [(m.group(), m.start(), m.end()) for m in WORD.finditer(lowered(text))]
     return [w for w, _, _ in found], [a for _, a, _ in found], [b for _, _, b in found]
 
 
 def item_windows(text: str | None, window: int) -> set[tuple[str, ...]]:
-    words, _, _ = words_with_offsets(text)
+    words = words_of(text)
     if not words:
         return set()
     if len(words) <= window:
@@ -65,15 +74,16 @@ def scan(words: list[str], automaton) -> tuple[list[tuple[int, int]], set[int]]:
     """Word spans covered by any occurrence, merged, and the items that occur."""
     if not words or not len(automaton):
         return [], set()
-    line = f" {' '.join(words)} "
-    at, starts = 1, {}
-    ends = {}
+    occurring = list(automaton.iter(f" {' '.join(words)} "))
+    if not occurring:
+        return [], set()
+    # a word's place by the blank after it
+    at, ends = 0, {}
     for i, w in enumerate(words):
-        starts[at - 1] = i
         at += len(w) + 1
-        ends[at - 1] = i
+        ends[at] = i
     spans, items = [], set()
-    for end, (n, ids) in automaton.iter(line):
+    for end, (n, ids) in occurring:
         last = ends[end]
         spans.append((last - n + 1, last + 1))
         items.update(ids)
@@ -140,9 +150,11 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_byte
     return arrow_map(joined, _merged, FOUND)
 
 
-def _row(starts: list[int], ends: list[int], spans: list[tuple[int, int]], items: list) -> tuple:
-    hit = sum(b - a for a, b in spans)
-    return len(starts), hit, items, [{"start": starts[a], "end": ends[b - 1]} for a, b in spans], hit > 0
+def _row(text: str | None, n_words: int, spans: list[tuple[int, int]], items: list) -> tuple:
+    if not spans:
+        return n_words, 0, items, [], False
+    _, starts, ends = words_with_offsets(text)
+    return n_words, sum(b - a for a, b in spans), items, [{"start": starts[a], "end": ends[b - 1]} for a, b in spans], True
 
 
 def _batch(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
@@ -153,9 +165,10 @@ def _batch(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
 def _found(batch: pa.RecordBatch, automaton) -> pa.RecordBatch:
     rows = []
     for text in batch.column(1):
-        words, starts, ends = words_with_offsets(text.as_py())
+        raw = text.as_py()
+        words = words_of(raw)
         spans, items = scan(words, automaton)
-        rows.append(_row(starts, ends, spans, sorted(items, key=lambda v: (v is None, v))))
+        rows.append(_row(raw, len(words), spans, sorted(items, key=lambda v: (v is None, v))))
     return _batch(batch.column(0), rows)
 
 
@@ -169,7 +182,7 @@ def _hits(keyed: DataFrame, automaton: Callable[[], object]) -> DataFrame:
 
 def _word_spans(batch: pa.RecordBatch, automaton) -> pa.RecordBatch:
     """The rows that one slice hits, with spans of words."""
-    found = [scan(words_with_offsets(text.as_py())[0], automaton) for text in batch.column(1)]
+    found = [scan(words_of(text.as_py()), automaton) for text in batch.column(1)]
     hit = pa.array([bool(spans) for spans, _ in found], pa.bool_())
     spans = pa.array([[{"a": a, "b": b} for a, b in spans] for spans, _ in found], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
     items = pa.array([list(items) for _, items in found], pa.list_(pa.int64()))
@@ -179,8 +192,8 @@ def _word_spans(batch: pa.RecordBatch, automaton) -> pa.RecordBatch:
 def _merged(batch: pa.RecordBatch) -> pa.RecordBatch:
     rows = []
     for text, spans, items in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-        _, starts, ends = words_with_offsets(text.as_py())
-        rows.append(_row(starts, ends, merge_spans([(s["a"], s["b"]) for s in spans or []]), items or []))
+        raw = text.as_py()
+        rows.append(_row(raw, len(words_of(raw)), merge_spans([(s["a"], s["b"]) for s in spans or []]), items or []))
     return _batch(batch.column(0), rows)
 
 
@@ -204,6 +217,6 @@ def _without(docs: DataFrame, automaton: Callable[[], object], text_col: str) ->
     at = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array([not scan(words_with_offsets(t.as_py())[0], automaton())[0] for t in batch.column(at)], pa.bool_()))
+        return batch.filter(pa.array([not scan(words_of(t.as_py()), automaton())[0] for t in batch.column(at)], pa.bool_()))
 
     return arrow_map(docs, run, docs.schema)
