@@ -73,12 +73,6 @@ def spots(docs: DataFrame) -> DataFrame:
     return split.filter(F.btrim("line") != "")
 
 
-def line_words(line: Column) -> Column:
-    """Hashes of the distinct words of a line from ``spots``."""
-    hashed = F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
-    return F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit("")))
-
-
 def rarity_codes(docs: DataFrame) -> bytes:
     """For each counter a code from 0 (counted once at most) to 127, ordered by count of word occurrences."""
     words = F.split(F.replace(F.lower(plain_spaces(F.col("text"))), F.lit("\n"), F.lit(" ")), " ")
@@ -89,20 +83,24 @@ def rarity_codes(docs: DataFrame) -> bytes:
     return bytes(codes)
 
 
-def word_keys(words: Column, codes: bytes) -> Column:
-    """Sorted keys, rare words first: the code in the upper 7 bits (below the sign), the hash below."""
-    lookup = F.lit(bytearray(codes))
+def word_keys(line: Column, codes: bytes) -> Column:
+    """Sorted keys of the distinct words of a line from ``spots``, rare words first: the code in the upper 7 bits (below the sign), the hash below.
+
+    Lambdas are interpreted, so they only hash and look up; distinct and sort stand outside, where they are compiled for longs.
+    """
+    lookup = F.split(F.lit(",".join(map(str, codes))), ",").cast("array<tinyint>")
 
     def key(h: Column) -> Column:
-        code = F.ascii(F.substr(lookup, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
+        code = F.coalesce(F.get(lookup, h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")), F.lit(0).cast("tinyint"))
         return F.shiftleft(code.cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit(HASH_MASK)))
 
-    return F.sort_array(F.transform(words, key))
+    hashed = F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_remove(F.array_distinct(F.transform(hashed, key)), key(F.xxhash64(F.lit("")))))
 
 
 def records(spotted: DataFrame, codes: bytes) -> DataFrame:
     """``doc_id, line_no, h, size, keys`` of rows of ``spots``; h stands for the set."""
-    keyed = spotted.select("doc_id", "line_no", word_keys(line_words(F.col("line")), codes).alias("keys"))
+    keyed = spotted.select("doc_id", "line_no", word_keys(F.col("line"), codes).alias("keys"))
     return keyed.select("doc_id", "line_no", F.xxhash64("keys").alias("h"), F.size("keys").alias("size"), "keys")
 
 
