@@ -52,7 +52,8 @@ from daybook.llm.common import drop_stored, plain_names, stored
 COUNTER_BITS = 16
 COUNTERS = 1 << COUNTER_BITS
 HASH_MASK = (1 << 56) - 1
-JOIN_MASK = (1 << 40) - 1
+#: Low bits of a key that the join of prefixes leaves out; what is left keeps the order of keys.
+JOIN_SHIFT = 23
 #: Near-equal sets from which on a group counts its certain links together.
 CROWD = 16
 #: Words from which on a set has a finer parity map: a map of 64 bits says little of more.
@@ -118,14 +119,26 @@ def position() -> Column:
 
 
 def postings(sets: DataFrame) -> DataFrame:
-    """A row per set and word of its prefix that is counted twice or more; words are told by fewer bits here."""
-    at_words = sets.select("h", "size", "parity", "c", "v", "finer", F.posexplode("prefix").alias("at", "word"))
-    return at_words.filter(F.shiftright("word", 56) > 0).withColumn("word", F.col("word").bitwiseAND(F.lit(JOIN_MASK)))
+    """A row per set and word of its prefix that is counted twice or more; words are told by fewer bits here.
+
+    Rows of sets in groups have the words ``before`` theirs, so that their pairs are found at the first word shared only.
+    """
+    counted = F.filter("prefix", lambda k: F.shiftright(k, 56) > 0)
+    told = sets.withColumn("words", F.transform(counted, lambda k: F.shiftright(k, JOIN_SHIFT)))
+    # words that are not counted come first in a prefix
+    skipped = F.size("prefix") - F.size("words")
+    at_words = told.select("h", "size", "parity", "c", "v", "finer", "words", skipped.alias("skipped"), F.posexplode("words").alias("i", "word"))
+    before = F.when(F.col("c") != 0, F.slice("words", F.lit(1), F.col("i")))
+    return at_words.select("h", "size", "parity", "c", "v", "finer", (F.col("skipped") + F.col("i")).alias("at"), "word", before.alias("before"))
 
 
 def candidates(held: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs ``a < b`` of sets that pass all filters and whose match is not certain by their group."""
-    x, y = (held.select("word", *[F.col(k).alias(f"{k}_{side}") for k in ("h", "size", "parity", "at", "c", "v", "finer")]) for side in "ab")
+    """Distinct pairs ``a < b`` of sets that pass all filters and whose match is not certain by their group.
+
+    The words of a prefix ascend, so a pair that shares an earlier word has met there, with the earlier place that the
+    positional filter asks for; words told alike by mistake only make that filter milder.
+    """
+    x, y = (held.select("word", *[F.col(k).alias(f"{k}_{side}") for k in ("h", "size", "parity", "at", "c", "v", "finer", "before")]) for side in "ab")
     both = F.col("size_a") + F.col("size_b")
     length = (F.col("size_a") * den >= F.col("size_b") * num) & (F.col("size_b") * den >= F.col("size_a") * num)
     rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
@@ -134,7 +147,8 @@ def candidates(held: DataFrame, num: int, den: int) -> DataFrame:
     parity = few(F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))))
     finer = few(reduce(lambda p, q: p + q, [F.bit_count(F.get("finer_a", i).bitwiseXOR(F.get("finer_b", i))) for i in range(4)]))
     open_ = (F.col("c_a") == 0) | (F.col("c_a") != F.col("c_b")) | (F.col("v_a") + F.col("v_b") > 0)
-    return x.join(y, "word").filter((F.col("h_a") < F.col("h_b")) & length & parity & positional & open_ & F.coalesce(finer, F.lit(True))).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
+    first = ~F.coalesce(F.arrays_overlap("before_a", "before_b"), F.lit(False))
+    return x.join(y, "word").filter((F.col("h_a") < F.col("h_b")) & length & parity & positional & open_ & F.coalesce(finer, F.lit(True)) & first).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
 
 
 def among(rows: DataFrame, wanted: DataFrame, n_wanted: int, *columns: str) -> DataFrame:
