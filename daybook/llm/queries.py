@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontam, htmltext, imatch, langid, linedup, sharding, simhash, substring, warc
+from daybook.llm import bpe, decontam, htmltext, imatch, langid, linedup, periodic, sharding, simhash, substring, warc
 from daybook.llm.common import table
 
 
@@ -60,9 +60,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.passages(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(table(spark, sf_dir, "documents"), periodic.periodic_tenth)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_warc, op3_bpe, op4_simhash, op5_imatch, op6_sharding, op7_language_id, op8_html_extraction, op9_decontamination, op10_substring_dedup)
+    for f in (op1_line_dedup, op2_warc, op3_bpe, op4_simhash, op5_imatch, op6_sharding, op7_language_id, op8_html_extraction, op9_decontamination, op10_substring_dedup, op11_periodic_runs)
 }
 
 # SQL twins, for what SQL can say
@@ -101,4 +105,21 @@ f AS (SELECT s.w, coalesce(links, 0) AS links, least(first, coalesce(near, first
 q AS (SELECT doc_id, count(*) AS n_lines, sum(links)::BIGINT AS n_links, list_sort(list_filter(list(CASE WHEN {'d': doc_id, 'i': i} > keep THEN i END), lambda x: x IS NOT NULL)) AS gone FROM o JOIN f USING (w) GROUP BY 1)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_links, 0) AS n_links, coalesce(len(gone), 0) AS n_removed, coalesce(array_to_string(gone, ','), '') AS removed_lines FROM documents d LEFT JOIN q USING (doc_id)"""
 
-ORACLES: dict[str, str] = {"op1_line_dedup": _LINE_DEDUP, "op2_warc": _WARC, "op9_decontamination": _DECONTAMINATION}
+# the checksum of a doc_id's digits, bit by bit
+_CRC32 = "xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT), lambda c, d: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, d)), 4294967295::BIGINT))"
+# a stretch of places at which the word one period on is the same; of equal stretches that of the least period is a run
+_PERIODIC_RUNS = rf"""WITH o AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w, {_CRC32} AS h FROM documents),
+g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) ELSE 0 END AS a, 3 + (h // 10) % 8 AS e FROM o),
+d AS (SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // e) END]) ELSE w END AS w FROM g),
+x AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word FROM d),
+m AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM x JOIN x y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM m) GROUP BY doc_id, q, part),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DECIMAL(38, 18) / period DESC, start, period) = 1),
+t AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM r GROUP BY 1),
+z AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM x ANTI JOIN z USING (doc_id, i) GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+ORACLES: dict[str, str] = {"op1_line_dedup": _LINE_DEDUP, "op2_warc": _WARC, "op9_decontamination": _DECONTAMINATION, "op11_periodic_runs": _PERIODIC_RUNS}
