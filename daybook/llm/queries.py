@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontam, htmltext, imatch, langid, linedup, periodic, sharding, simhash, substring, warc
+from daybook.llm import bpe, decontam, divergence, htmltext, imatch, langid, linedup, periodic, sharding, simhash, substring, warc
 from daybook.llm.common import table
 
 
@@ -64,9 +64,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"), periodic.periodic_tenth)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_warc, op3_bpe, op4_simhash, op5_imatch, op6_sharding, op7_language_id, op8_html_extraction, op9_decontamination, op10_substring_dedup, op11_periodic_runs)
+    for f in (op1_line_dedup, op2_warc, op3_bpe, op4_simhash, op5_imatch, op6_sharding, op7_language_id, op8_html_extraction, op9_decontamination, op10_substring_dedup, op11_periodic_runs, op12_source_divergence)
 }
 
 # SQL twins, for what SQL can say
@@ -108,7 +112,8 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_links, 0) AS n_link
 # the checksum of a doc_id's digits, bit by bit
 _CRC32 = "xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT), lambda c, d: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, d)), 4294967295::BIGINT))"
 # a stretch of places at which the word one period on is the same; of equal stretches that of the least period is a run
-_PERIODIC_RUNS = rf"""WITH o AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w, {_CRC32} AS h FROM documents),
+_PERIODIC_RUNS = rf"""WITH o AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '') AS w, {_CRC32} AS h FROM documents),
 g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) ELSE 0 END AS a, 3 + (h // 10) % 8 AS e FROM o),
 d AS (SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // e) END]) ELSE w END AS w FROM g),
 x AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS word FROM d),
@@ -122,4 +127,18 @@ k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM x ANTI JOIN z
 SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
 FROM d LEFT JOIN t USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)"""
 
-ORACLES: dict[str, str] = {"op1_line_dedup": _LINE_DEDUP, "op2_warc": _WARC, "op9_decontamination": _DECONTAMINATION, "op11_periodic_runs": _PERIODIC_RUNS}
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_DIVERGENCE = f"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS w FROM documents),
+k AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY 1, 2 HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gn AS (SELECT lang, source, any_value(v) AS v, coalesce(sum(n), 0) AS total FROM g JOIN v USING (lang) LEFT JOIN c USING (lang, source) GROUP BY 1, 2),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p FROM gn JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY 1, 2) JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f) WHERE part = 'pair' OR rank <= 50"""
+
+ORACLES: dict[str, str] = {"op1_line_dedup": _LINE_DEDUP, "op2_warc": _WARC, "op9_decontamination": _DECONTAMINATION, "op11_periodic_runs": _PERIODIC_RUNS, "op12_source_divergence": _DIVERGENCE}
