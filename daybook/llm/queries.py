@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import bpe, decontam, divergence, htmltext, imatch, langid, linedup, periodic, sharding, simhash, substring, warc
+from daybook.llm import bpe, decontam, divergence, htmltext, imatch, langid, linedup, periodic, sharding, simhash, substring, toxicity, warc
 from daybook.llm.common import table
 
 
@@ -68,9 +68,15 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_warc, op3_bpe, op4_simhash, op5_imatch, op6_sharding, op7_language_id, op8_html_extraction, op9_decontamination, op10_substring_dedup, op11_periodic_runs, op12_source_divergence)
+    for f in (op1_line_dedup, op2_warc, op3_bpe, op4_simhash, op5_imatch, op6_sharding, op7_language_id, op8_html_extraction, op9_decontamination, op10_substring_dedup, op11_periodic_runs, op12_source_divergence, op13_toxicity)
 }
 
 # SQL twins, for what SQL can say
