@@ -17,9 +17,17 @@ def zone_names() -> tuple[str, ...]:
     return tuple(sorted(z for z in available_timezones() if z != "localtime" and not z.startswith(("posix", "right", "SystemV"))))
 
 
+@cache
+def zone_spellings() -> dict[str, str]:
+    """The named zones by their names in lower case."""
+    return {z.lower(): z for z in zone_names()}
+
+
 def safe_timezone(zone: Column, default: str = ZONE) -> Column:
-    """``zone`` if it is a named zone, else the default: absent, blank, or an offset such as ``UTC+0``."""
-    return F.when(zone.isin(*zone_names()), zone).otherwise(F.lit(default))
+    """``zone`` if it is a named zone, in whatever case, as it is written; else the default: absent, blank, or an offset such as ``UTC+0``."""
+    names = F.create_map(*[F.lit(x) for pair in zone_spellings().items() for x in pair])
+    # most are written as they should be; the map is searched for the others alone
+    return F.when(zone.isNull() | (zone == ""), F.lit(default)).when(zone.isin(*zone_names()), zone).otherwise(F.coalesce(F.try_element_at(names, F.lower(zone)), F.lit(default)))
 
 
 def local(ts: Column, zone: str | Column = ZONE) -> Column:

@@ -46,13 +46,17 @@ def facets(events: DataFrame) -> DataFrame:
     read = events.withColumns({
         "hay_": T.haystack(F.col("title"), F.col("description"), F.col("categories")), "cats_": T.normal_categories(F.col("categories")),
         "venue_": T.clean_text(F.concat_ws(", ", *[F.nullif(F.col(c), F.lit("")) for c in ("place_name", "venue_raw", "city")])),
-    }).withColumns({"setting": R.setting(hay, venue), "band_": R.age_band(hay)})
+    })
+    # each text is searched for phrases once, in a step of its own
+    read = read.withColumns({"said_": R.said_in(hay), "venue_said_": R.said_in(venue), "title_said_": R.said_in(title), "band_": R.age_band(hay)})
+    said, there, titled = (F.col(c) for c in ("said_", "venue_said_", "title_said_"))
+    read = read.withColumn("setting", R.setting(hay, venue, said, there))
     zone = X.safe_timezone(F.col("zone"))
     return read.withColumns({
-        "audience": R.audience(hay, cats, F.col("band_")), "cost_tier": R.cost_tier(hay, F.coalesce("cost.kind", F.lit("unknown"))), "registration": R.registration(hay),
-        "geo_scope": R.geo_scope(F.col("city"), F.col("state"), F.col("setting")), "access": R.access(hay), "time_of_day": X.time_of_day(F.col("start_ts"), F.col("all_day"), zone),
-        "weekend": X.is_weekend(F.col("start_ts"), zone), "recurring": F.coalesce("rrule", F.lit("")) != "", "alcohol": R.alcohol(hay, venue), "public_admission": R.admission(hay, cats),
-        "home_away": R.home_away(title, F.col("event_type") == "sports"), "institutional_notice": R.notice(title, cats), "rescheduled": R.rescheduled(title),
+        "audience": R.audience(hay, cats, F.col("band_"), said), "cost_tier": R.cost_tier(hay, F.coalesce("cost.kind", F.lit("unknown")), said), "registration": R.registration(hay, said),
+        "geo_scope": R.geo_scope(F.col("city"), F.col("state"), F.col("setting")), "access": R.access(hay, said), "time_of_day": X.time_of_day(F.col("start_ts"), F.col("all_day"), zone),
+        "weekend": X.is_weekend(F.col("start_ts"), zone), "recurring": F.coalesce("rrule", F.lit("")) != "", "alcohol": R.alcohol(hay, venue, said, there), "public_admission": R.admission(hay, cats, said),
+        "home_away": R.home_away(title, F.col("event_type") == "sports", titled), "institutional_notice": R.notice(title, cats, titled), "rescheduled": R.rescheduled(title, titled),
     })
 
 
@@ -71,11 +75,13 @@ def finalize(events: DataFrame, registry: DataFrame) -> DataFrame:
     """
     plain = with_optional(events, OPTIONAL).withColumns({"title": F.coalesce("title", F.lit("")), "categories": F.coalesce("categories", F.array().cast("array<string>"))})
     placed = located(plain, registry)
-    typed = placed.withColumn("event_type", F.when(F.col("event_type") != "other", F.col("event_type")).otherwise(R.event_type(F.col("title"), F.col("categories"), F.coalesce("place_name", "venue_raw", F.lit("")))))
+    heard = placed.withColumn("type_said_", R.said_in(T.clean_text(F.concat_ws(" ", F.col("title"), F.array_join("categories", " ")))))
+    by_rule = R.event_type(F.col("title"), F.col("categories"), F.coalesce("place_name", "venue_raw", F.lit("")), said=F.col("type_said_"))
+    typed = heard.withColumn("event_type", F.when(F.col("event_type") != "other", F.col("event_type")).otherwise(by_rule))
     day = lambda c: F.date_format(X.local(F.col(c), X.safe_timezone(F.col("zone"))), "yyyy-MM-dd")
     tagged = facets(typed.withColumn("multi_day", X.is_multi_day(day("start_ts"), day("end_ts"))))
     said = tagged.withColumns({
         "age": stated_age(), "ticket_url": F.coalesce(F.col("ticket_url"), T.ticket_url(F.coalesce("description", F.lit("")))),
         "status": F.when((F.col("status") == "confirmed") & F.col("rescheduled"), "tentative").otherwise(F.col("status")),
     })
-    return said.drop("hay_", "cats_", "venue_", "band_")
+    return said.drop("hay_", "cats_", "venue_", "band_", "said_", "venue_said_", "title_said_", "type_said_")

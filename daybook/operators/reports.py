@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import rules as R
 from daybook.functions import text as T
+from daybook.functions.phrases import Phrases
 from daybook.operators import emit, filters
 
 # The type that a gazetteer's category stands for; None where no one type does.
@@ -26,8 +27,8 @@ GAZETTEER_TYPE = {
     "community_services_non_profits": "community", "church_house_of_worship": "community", "religious_organization": "community", "government_building": "meeting", "farmers_market": "market",
     "park": None, "convention_center": None, "hotel": None,
 }
-# Names of rooms, which are no venues.
-ROOM = R.phrase_pattern("council chamber", "conference room, meeting room, boardroom, board room") + r"|room\s+\d+|rm\.?\s*\d+"
+# Names of rooms, which are no venues; 0 is any number.
+ROOM = Phrases({"room": ["council chamber", "council chambers", "conference room", "meeting room", "boardroom", "board room", "room 0", "rm 0", "rm0", "rm. 0", "rm.0"]})
 
 
 # runs
@@ -117,14 +118,15 @@ def unresolved(events: DataFrame) -> DataFrame:
     kind is ``venue``, or why it is none: ``virtual``, ``room``, ``city``. The spelling is the last one seen; the city
     that the text states, else the last that a row states. Blank venues and sentinels are left out.
     """
-    read = events.withColumn("clean", T.clean_text(F.col("venue_raw"))).withColumns({"lead": T.leading_city(F.col("clean"), is_clean=True), "name": T.venue_name(F.col("clean"), is_clean=True)})
-    keyed = read.withColumns({"key": T.venue_key(F.col("name")), "is_room": R.holds(F.col("clean"), ROOM), "is_virtual": R.setting(F.col("clean"), F.col("clean")) == "virtual"})
-    named = keyed.filter(F.col("clean").isNotNull() & ~T.is_sentinel(T.venue_key(F.col("clean"))) & (F.col("key") != ""))
-    town = F.coalesce(F.col("lead.city"), F.col("city"), F.lit("Duluth"))
-    told = named.withColumns({"town": town, "land": F.coalesce(F.col("lead.state"), F.col("state"), F.lit("MN"))}).withColumn("is_city", F.col("key") == T.venue_key(F.col("town")))
-    kind = F.when(F.col("is_virtual"), "virtual").when(F.col("is_room"), "room").when(F.col("is_city"), "city").otherwise("venue")
+    # by spelling: what follows is worked out once for each, whatever the number of events
+    spelled = events.groupBy("venue_raw", "city", "state").agg(F.count("*").alias("n"), F.max("ord").alias("ord"))
+    read = spelled.withColumn("clean", T.clean_text(F.col("venue_raw"))).filter("clean IS NOT NULL")
+    read = read.withColumns({"lead": T.leading_city(F.col("clean"), is_clean=True), "name": T.venue_name(F.col("clean"), is_clean=True), "said": R.said_in(F.col("clean")), "room": ROOM.found(F.col("clean"))})
+    keyed = read.withColumns({"key": T.venue_key(F.col("name")), "whole_key": T.venue_key(F.col("clean")), "town": F.coalesce(F.col("lead.city"), F.col("city"), F.lit("Duluth")), "land": F.coalesce(F.col("lead.state"), F.col("state"), F.lit("MN"))})
+    named = keyed.filter((F.col("key") != "") & ~T.is_sentinel(F.col("whole_key"))).withColumn("town_key", T.venue_key(F.col("town")))
+    kind = F.when(R.ALL.holds(F.col("said"), "virtual"), "virtual").when(F.size("room") > 0, "room").when(F.col("key") == F.col("town_key"), "city").otherwise("venue")
     latest = F.max_by(F.struct("name", "town", "land"), "ord")
-    return told.groupBy("key", kind.alias("kind")).agg(F.count("*").alias("n"), latest.alias("last")).select("key", F.col("last.name").alias("raw"), F.col("last.town").alias("city"), F.col("last.land").alias("state"), "n", "kind")
+    return named.groupBy("key", kind.alias("kind")).agg(F.sum("n").alias("n"), latest.alias("last")).select("key", F.col("last.name").alias("raw"), F.col("last.town").alias("city"), F.col("last.land").alias("state"), "n", "kind")
 
 
 def proposal_verdicts(proposed: DataFrame) -> DataFrame:

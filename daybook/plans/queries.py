@@ -11,6 +11,7 @@ from daybook.functions import rules as R
 from daybook.functions import text as T
 from daybook.functions import timex as X
 from daybook.operators import constraints, dedupe, diff, emit, filters, finalize, matching, places, reports
+from daybook.plans import vocabulary as V
 from daybook.plans.listings import SQL as LISTINGS
 from daybook.plans.listings import listings, table
 from daybook.sources import mappers
@@ -38,12 +39,12 @@ def sql_holds(column: str, pattern: str) -> str:
     return f"regexp_matches(coalesce({column}, ''), {quoted(f'(^|[^A-Za-z0-9_])(?:{pattern})($|[^A-Za-z0-9_])')}, 'i')"
 
 
-def sql_has(column: str, terms: tuple[str, str]) -> str:
-    return sql_holds(column, R.phrase_pattern(*terms))
+def sql_has(column: str, name: str) -> str:
+    return sql_holds(column, V.pattern(V.TEXT_PHRASES[name]))
 
 
-def sql_first(column: str, rows: list[tuple[str, str, str]], other: str = "NULL") -> str:
-    return "CASE " + " ".join(f"WHEN {sql_holds(column, R.pattern_of_type(*row))} THEN {quoted(row[0])}" for row in rows) + f" ELSE {other} END"
+def sql_first(column: str, rows: dict[str, list[str]], other: str = "NULL") -> str:
+    return "CASE " + " ".join(f"WHEN {sql_holds(column, V.pattern(phrases))} THEN {quoted(kind)}" for kind, phrases in rows.items()) + f" ELSE {other} END"
 
 
 def sql_squeeze(x: str) -> str:
@@ -136,15 +137,31 @@ def sentinel_filter(spark, sf_dir):
 
 
 CITIES = [(i, s) for i, s in enumerate(["Tempe, AZ, Desert Arena", "Duluth, MN", "Houghton, Mich., MacInnes Arena", "Superior, Wis.", "Bayfront, Main Stage", "Pier B, In", "Hall of Fame, Room 2, Floor 3", "no comma"])]
-_CITY = "'^([A-Za-z][A-Za-z .''-]{1,30}?),\\s*([A-Za-z]{2,8})\\.?(?:,\\s*(.*))?$'"
+# by the first comma and what stands before the next one, given or not
 _AP = " ".join(f"WHEN {quoted(k)} THEN {quoted(v)}" for k, v in T.AP_STATES.items())
 _STATE = f"CASE WHEN upper(raw) IN ({', '.join(map(quoted, T.STATES))}) THEN upper(raw) ELSE CASE lower(raw) {_AP} END END"
+_TOWN = "length(head) BETWEEN 2 AND 31 AND regexp_matches(head, '^[A-Za-z]') AND length(translate(lower(head), 'abcdefghijklmnopqrstuvwxyz .''-', '')) = 0"
 
 
-@query(f"SELECT id, CASE WHEN state IS NOT NULL THEN city END AS city, state, CASE WHEN state IS NOT NULL THEN rest END AS rest FROM (SELECT id, trim(regexp_extract(s, {_CITY}, 1)) AS city, trim(regexp_extract(s, {_CITY}, 3)) AS rest, {_STATE} AS state FROM (SELECT id, s, regexp_extract(s, {_CITY}, 2) AS raw FROM {sql_values('id, s', CITIES)}))")
+def sql_city(source: str) -> str:
+    """``id, city, state, rest`` of the strings ``s`` in ``source``."""
+    cut = f"SELECT id, string_split(s, ',') AS c FROM {source}"
+    named = f"SELECT id, c[1] AS head, regexp_replace(ltrim(c[2]), '[.]$', '') AS raw, trim(array_to_string(c[3:], ',')) AS rest FROM ({cut})"
+    found = f"SELECT id, head, rest, {_STATE} AS state, {_TOWN} AS town FROM ({named})"
+    return f"(SELECT id, CASE WHEN town AND state IS NOT NULL THEN trim(head) END AS city, CASE WHEN town THEN state END AS state, CASE WHEN town AND state IS NOT NULL THEN rest END AS rest FROM ({found}))"
+
+
+_LINES = f"(SELECT id, s FROM {sql_values('id, s', CITIES)} UNION ALL SELECT 1000 + doc_id, text FROM documents UNION ALL SELECT 1000000000 + c_custkey, n_name || ', ' || upper(substr(n_name, 1, 2)) || ', ' || c_name FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+
+
+@query(f"SELECT id, city, state, rest FROM {sql_city(_LINES)}")
 def leading_city_parse(spark, sf_dir):
-    c = T.leading_city(F.col("s"))
-    return values(spark, "id long, s string", CITIES).select("id", c["city"].alias("city"), c["state"].alias("state"), c["rest"].alias("rest"))
+    """Of hand-written venues, every document's text and every customer behind a nation with its first letters for a state."""
+    n = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = values(spark, "id long, s string", CITIES).union(table(spark, sf_dir, "documents").select(F.col("doc_id") + 1000, "text"))
+    rows = rows.union(n.select(n["c_custkey"].cast("long") + 1000000000, F.concat_ws(", ", "n_name", F.upper(F.substring("n_name", 1, 2)), "c_name")))
+    c = T.leading_city(F.col("s"), is_clean=True)
+    return rows.select("id", c["city"].alias("city"), c["state"].alias("state"), c["rest"].alias("rest"))
 
 
 # time and money
@@ -152,12 +169,17 @@ def leading_city_parse(spark, sf_dir):
 CLOCKS = [(i, s) for i, s in enumerate(["6:00 PM", "12am", "12:30 pm", "23:59", "25:00", "7 p.m.", "noon", "0:15", "11:60 am", "8:05:30 am", "8:05:75 am", "7m", "7.", "7 PM ", "007", "7:5", "1:2:3:4", ""])]
 
 
+_TIMES = f"(SELECT id, s FROM {sql_values('id, s', CLOCKS)} UNION ALL SELECT 1000 + event_id, CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%I:%M %p') ELSE strftime(ts, '%H:%M:%S') END FROM events)"
 _CLOCK = lambda i: f"regexp_extract(s, '^\\s*(\\d{{1,2}})(?::(\\d{{2}}))?(?::(\\d{{2}}))?\\s*([ap]m)?\\s*$', {i}, 'i')"
 
 
-@query(f"SELECT id, CASE WHEN h < 24 AND m < 60 AND sec < 60 THEN h * 60 + m END AS minutes FROM (SELECT id, m, sec, CASE WHEN a = 'pm' AND h0 < 12 THEN h0 + 12 WHEN a = 'am' AND h0 = 12 THEN 0 ELSE h0 END AS h FROM (SELECT id, TRY_CAST({_CLOCK(1)} AS INTEGER) AS h0, coalesce(TRY_CAST({_CLOCK(2)} AS INTEGER), 0) AS m, coalesce(TRY_CAST({_CLOCK(3)} AS INTEGER), 0) AS sec, lower({_CLOCK(4)}) AS a FROM {sql_values('id, s', CLOCKS)}))")
+@query(f"SELECT id, CASE WHEN h < 24 AND m < 60 AND sec < 60 THEN h * 60 + m END AS minutes FROM (SELECT id, m, sec, CASE WHEN a = 'pm' AND h0 < 12 THEN h0 + 12 WHEN a = 'am' AND h0 = 12 THEN 0 ELSE h0 END AS h FROM (SELECT id, TRY_CAST({_CLOCK(1)} AS INTEGER) AS h0, coalesce(TRY_CAST({_CLOCK(2)} AS INTEGER), 0) AS m, coalesce(TRY_CAST({_CLOCK(3)} AS INTEGER), 0) AS sec, lower({_CLOCK(4)}) AS a FROM {_TIMES}))")
 def clock_parse(spark, sf_dir):
-    return values(spark, "id long, s string", CLOCKS).select("id", X.clock_minutes(F.col("s")).alias("minutes"))
+    """Of hand-written clock times, and every event's time of day said in two ways."""
+    e = table(spark, sf_dir, "events")
+    said = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "hh:mm a")).otherwise(F.date_format("ts", "HH:mm:ss"))
+    rows = values(spark, "id long, s string", CLOCKS).union(e.select(F.col("event_id") + 1000, said))
+    return rows.select("id", X.clock_minutes(F.col("s")).alias("minutes"))
 
 
 _LOCAL = "timezone('America/Chicago', timezone('UTC', ts))"
@@ -188,27 +210,37 @@ def cost_minmax(spark, sf_dir):
 
 # facet and type rules over the phrases and all documents
 
-_G = lambda p, i: f"TRY_CAST(regexp_extract(hay, {quoted(p)}, {i}, 'i') AS INTEGER)"
-_RANGE = r"(?:^|[^A-Za-z0-9_])ages?\s+(\d{1,2})\s*(?:-|–|—|to|thru|through)\s*(\d{1,2})(?:$|[^A-Za-z0-9_])"
-_UNDER = r"(?:^|[^A-Za-z0-9_])ages?\s+(\d{1,2})\s*(?:and|&)\s*(?:under|younger|below)(?:$|[^A-Za-z0-9_])"
-_OVER = r"(?:^|[^A-Za-z0-9_])ages?\s+(\d{1,2})\s*(?:and|&)\s*(?:up|older|over|above)(?:$|[^A-Za-z0-9_])"
-_BARE = r"(?:^|[^$\d.\-–A-Za-z_])(\d{1,2})\s*\+(?:$|[^\d])"
-_LOW = f"CASE WHEN {_G(_RANGE, 1)} IS NOT NULL THEN {_G(_RANGE, 1)} WHEN {_G(_UNDER, 1)} IS NULL THEN coalesce({_G(_OVER, 1)}, {_G(_BARE, 1)}) END"
-_HIGH = f"CASE WHEN {_G(_RANGE, 1)} IS NOT NULL THEN {_G(_RANGE, 2)} ELSE {_G(_UNDER, 1)} END"
+# the words of a text; those behind the word age; numbers before a plus sign: all as lists
+_AGE_WORDS = "regexp_extract_all(regexp_replace(lower(hay), '([0-9])(to|thru|through|and)([0-9 ])', '\\1 \\2 \\3', 'g'), '[a-z0-9_]+|[^\\sa-z0-9_]')"
+_STATED = f"list_filter(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN w[i] IN ('age', 'ages') AND len(w[i + 1]) <= 2 THEN {{'n': TRY_CAST(w[i + 1] AS INTEGER), 'j': w[i + 2], 'm': w[i + 3]}} END), lambda x: x.n IS NOT NULL)"
+_PLUSES = """list_filter(list_transform(range(1, len(p)), lambda i: CASE WHEN NOT regexp_matches(p[i + 1], '^[0-9]') AND length(regexp_extract(rtrim(p[i]), '[0-9]*$')) IN (1, 2)
+  AND NOT regexp_matches(left(rtrim(p[i]), length(rtrim(p[i])) - length(regexp_extract(rtrim(p[i]), '[0-9]*$'))), '[$.–A-Za-z_-]$') THEN TRY_CAST(regexp_extract(rtrim(p[i]), '[0-9]*$') AS INTEGER) END), lambda x: x IS NOT NULL)"""
+_ONE = lambda test, value: f"list_transform(list_filter(s, lambda x: {test}), lambda x: {value})[1]"
+_TO = "x.j IN ('-', '–', '—', 'to', 'thru', 'through') AND length(x.m) <= 2 AND TRY_CAST(x.m AS INTEGER) IS NOT NULL"
+
+
+def sql_ages(source: str) -> str:
+    """The rows of ``source`` (with ``hay``) and ``lo``, ``hi``."""
+    read = f"SELECT * EXCLUDE (w, p), {_STATED} AS s, {_PLUSES} AS bare FROM (SELECT *, {_AGE_WORDS} AS w, string_split(hay, '+') AS p FROM {source})"
+    named = f"SELECT * EXCLUDE (s, bare), {_ONE(_TO, 'x.n')} AS r_lo, {_ONE(_TO, 'TRY_CAST(x.m AS INTEGER)')} AS r_hi, {_ONE(_AND + _UNDER, 'x.n')} AS under, coalesce({_ONE(_AND + _OVER, 'x.n')}, bare[1]) AS over FROM ({read})"
+    return f"(SELECT * EXCLUDE (r_lo, r_hi, under, over), CASE WHEN r_lo IS NOT NULL THEN r_lo WHEN under IS NULL THEN over END AS lo, CASE WHEN r_lo IS NOT NULL THEN r_hi ELSE under END AS hi FROM ({named}))"
 
 
-@query(f"SELECT id, {_LOW} AS min_age, {_HIGH} AS max_age FROM {BY_TEXT}")
+_AND, _UNDER, _OVER = "x.j IN ('and', '&') AND ", "x.m IN ('under', 'younger', 'below')", "x.m IN ('up', 'older', 'over', 'above')"
+
+
+@query(f"SELECT id, lo AS min_age, hi AS max_age FROM {sql_ages(BY_TEXT)}")
 def age_band(spark, sf_dir):
     b = R.age_band(F.col("hay"))
     return hays(spark, sf_dir).select("id", b["min_age"].alias("min_age"), b["max_age"].alias("max_age"))
 
 
 _AUD = f"""list_distinct(list_filter([CASE WHEN lo >= 18 THEN 'adults-only' END, CASE WHEN hi <= 12 THEN 'kids' END, CASE WHEN lo <= 17 AND hi >= 13 THEN 'teen' END, CASE WHEN lo >= 55 THEN 'seniors' END,
-  CASE WHEN {sql_has('hay', R.TERMS['all-ages'])} THEN 'all-ages' END, CASE WHEN {sql_has('hay', R.TERMS['kids'])} THEN 'kids' END, CASE WHEN {sql_has('hay', R.TERMS['teen'])} THEN 'teen' END,
-  CASE WHEN {sql_has('hay', R.TERMS['seniors'])} OR regexp_matches(hay, '(^|[^A-Za-z0-9_])55\\s*\\+') THEN 'seniors' END], lambda x: x IS NOT NULL))"""
+  CASE WHEN {sql_has('hay', 'all-ages')} THEN 'all-ages' END, CASE WHEN {sql_has('hay', 'kids')} THEN 'kids' END, CASE WHEN {sql_has('hay', 'teen')} THEN 'teen' END,
+  CASE WHEN {sql_has('hay', 'seniors')} OR regexp_matches(hay, '(^|[^A-Za-z0-9_])55\\s*\\+') THEN 'seniors' END], lambda x: x IS NOT NULL))"""
 
 
-@query(f"SELECT id, coalesce(array_to_string(list_sort(CASE WHEN list_contains(a, 'adults-only') THEN list_filter(a, lambda x: x <> 'all-ages') ELSE a END), ','), '') AS audience FROM (SELECT id, {_AUD} AS a FROM (SELECT id, hay, {_LOW} AS lo, {_HIGH} AS hi FROM {BY_TEXT}))")
+@query(f"SELECT id, coalesce(array_to_string(list_sort(CASE WHEN list_contains(a, 'adults-only') THEN list_filter(a, lambda x: x <> 'all-ages') ELSE a END), ','), '') AS audience FROM (SELECT id, {_AUD} AS a FROM {sql_ages(BY_TEXT)})")
 def audience_facet(spark, sf_dir):
     return hays(spark, sf_dir).select("id", F.array_join(F.array_sort(R.audience(F.col("hay"), F.array().cast("array<string>"))), ",").alias("audience"))
 
@@ -221,7 +253,7 @@ def _facet(name: str, expression, sql: str) -> None:
     query(f"SELECT id, {sql} AS facet FROM {BY_TEXT}")(run)
 
 
-_has = lambda k: sql_has("hay", R.TERMS[k])
+_has = lambda k: sql_has("hay", k)
 _facet("cost_tier", lambda h: R.cost_tier(h, F.lit("unknown")), f"CASE WHEN {_has('donation')} THEN 'donation' WHEN regexp_matches(hay, '\\$\\s?\\d') THEN 'paid' WHEN {_has('free')} THEN 'free' ELSE 'unknown' END")
 _facet("registration", R.registration, f"CASE WHEN {_has('drop-in')} THEN 'drop-in' WHEN {_has('required')} THEN 'required' WHEN {_has('open')} THEN 'open' ELSE 'unknown' END")
 _facet("setting", lambda h: R.setting(h, F.lit("Bayfront")), f"CASE WHEN {_has('virtual')} THEN 'virtual' WHEN {_has('outdoor')} THEN 'outdoor' ELSE 'unknown' END")
@@ -231,20 +263,26 @@ _facet("admission", lambda h: R.admission(h, F.array().cast("array<string>")), f
 _facet("notice", lambda h: R.notice(h, F.array(F.lit("academic calendar"))), _has("notice"))
 _facet("rescheduled", R.rescheduled, _has("rescheduled"))
 _facet("home_away", lambda h: R.home_away(h, F.lit(True)), f"CASE WHEN {_has('home')} THEN 'home' WHEN {_has('away')} THEN 'away' END")
-_facet("classify_vocab", R.type_by_title, sql_first("hay", R.TITLE_TERMS))
-_facet("classify_venue", R.type_by_venue, "CASE " + " ".join(f"WHEN contains(v, {quoted(k)}) THEN {quoted(t)}" for k, t in R.VENUE_NAMES.items()) + f" ELSE {sql_first('v', R.VENUE_TERMS)} END")
+_facet("classify_vocab", R.type_by_title, sql_first("hay", V.TITLE_PHRASES))
+_facet("classify_venue", R.type_by_venue, "CASE " + " ".join(f"WHEN contains(v, {quoted(k)}) THEN {quoted(t)}" for k, t in R.VENUE_NAMES.items()) + f" ELSE {sql_first('v', V.VENUE_PHRASES)} END")
 ORACLES["classify_venue"] = ORACLES["classify_venue"].replace(f"FROM {BY_TEXT}", f"FROM (SELECT id, lower(hay) AS v FROM {BY_TEXT})")
 
 
-CATEGORIES = [(0, "music"), (1, "art &amp; culture|concerts"), (2, "Athletics"), (3, "Food & Drink"), (4, ""), (5, "x|Government|classes")]
+# categories as publishers write them, and the type of each in the twin
+CATEGORIES = [("music", "live-music"), ("art &amp; culture", None), ("Concerts ", "live-music"), ("Athletics", "sports"), ("Food & Drink", "food-drink"), ("", None), ("x", None), ("Government", "meeting"), ("classes", "class")]
 
 
-@query(f"SELECT id, CASE id WHEN 0 THEN 'live-music' WHEN 1 THEN 'live-music' WHEN 2 THEN 'sports' WHEN 3 THEN 'food-drink' WHEN 5 THEN 'meeting' END AS type FROM {sql_values('id, s', CATEGORIES)}")
+@query(f"""SELECT c_custkey, coalesce(a.type, b.type) AS type FROM customer JOIN {sql_values('i, s, type', [(i, *c) for i, c in enumerate(CATEGORIES)])} ON t.i = c_custkey % 9
+JOIN {sql_values('i, s, type', [(i, *c) for i, c in enumerate(CATEGORIES)]).replace(' AS t(', ' AS b(')} ON b.i = c_custkey // 9 % 9""".replace("coalesce(a.type", "coalesce(t.type"))
 def classify_category(spark, sf_dir):
-    return values(spark, "id long, s string", CATEGORIES).select("id", R.type_by_category(F.split("s", r"\|")).alias("type"))
+    """Every customer's segment, and two categories dealt by the key."""
+    listed = F.array(*[F.lit(c) for c, _ in CATEGORIES])
+    at = lambda c: F.get(listed, (c % 9).cast("int"))
+    cats = F.array(F.col("c_mktsegment"), at(F.col("c_custkey")), at(F.floor(F.col("c_custkey") / 9)))
+    return table(spark, sf_dir, "customer").select("c_custkey", R.type_by_category(cats).alias("type"))
 
 
-@query(LISTINGS + f"SELECT ord, coalesce({sql_first('title', R.TITLE_TERMS)}, {sql_first('lower(venue)', R.VENUE_TERMS)}, 'community') AS type FROM listings")
+@query(LISTINGS + f"SELECT ord, coalesce({sql_first('title', V.TITLE_PHRASES)}, {sql_first('lower(venue)', V.VENUE_PHRASES)}, 'community') AS type FROM listings")
 def classify_composite(spark, sf_dir):
     return listings(spark, sf_dir).select("ord", R.event_type(F.col("title"), F.array().cast("array<string>"), F.col("venue")).alias("type"))
 
@@ -298,8 +336,8 @@ _filter("filter_place", {"place": "p3", "audience": "kids,all-ages", "geo": "dul
 _filter("filter_time", {"time": "evening,late-night", "type": "nonsense"}, "h >= 17 OR h < 5")
 
 
-_REGISTRATION = "CASE " + " ".join(f"WHEN {sql_has('title', R.TERMS[k])} THEN '{k}'" for k in ("drop-in", "required", "open")) + " ELSE 'unknown' END"
-_SETTING = f"CASE WHEN {sql_has('venue', R.TERMS['virtual'])} OR {sql_has('title', R.TERMS['virtual'])} THEN 'virtual' WHEN {sql_has('title', R.TERMS['outdoor'])} OR {sql_has('venue', R.TERMS['outdoor venue'])} THEN 'outdoor' ELSE 'unknown' END"
+_REGISTRATION = "CASE " + " ".join(f"WHEN {sql_has('title', k)} THEN '{k}'" for k in ("drop-in", "required", "open")) + " ELSE 'unknown' END"
+_SETTING = f"CASE WHEN {sql_has('venue', 'virtual')} OR {sql_has('title', 'virtual')} THEN 'virtual' WHEN {sql_has('title', 'outdoor')} OR {sql_has('venue', 'outdoor venue')} THEN 'outdoor' ELSE 'unknown' END"
 SPECS = {
     "all": "NOT notice", "weekend": "weekend AND NOT notice", "family": "list_has_any(audience, ['all-ages', 'kids'])", "free": "cost_tier = 'free'", "live-music": "event_type = 'live-music' AND NOT notice", "class": "event_type = 'class' AND NOT notice",
     "music-no-age-limit": "event_type = 'live-music' AND NOT list_contains(audience, 'adults-only')", "accessible": "list_contains(access, 'wheelchair')", "free-family": "cost_tier = 'free' AND list_has_any(audience, ['all-ages', 'kids'])",
@@ -431,15 +469,15 @@ _ENDS = "timezone('America/Chicago', timezone('UTC', TIMESTAMP '2024-01-01' + to
 _SPOT = "coalesce(spot, '')"
 FINAL = f"""WITH e AS (SELECT doc_id, text AS hay, n_name, doc_id // 25 % 5 AS k, CASE doc_id // 25 % 5 WHEN 0 THEN n_name WHEN 1 THEN 'Houghton, Mich., ' || n_name WHEN 2 THEN 'TBD' WHEN 3 THEN 'Tavern ' || (doc_id % 11) || ' Inc' END AS venue FROM documents LEFT JOIN nation ON doc_id % 25 = n_nationkey),
 t AS (SELECT *, CASE k WHEN 1 THEN 'Houghton' ELSE 'Duluth' END AS city, CASE k WHEN 1 THEN 'MI' ELSE 'MN' END AS state, CASE WHEN k <= 1 THEN 'n' || (doc_id % 25) WHEN k = 3 THEN '~tavern-' || (doc_id % 11) END AS place_id,
-  CASE WHEN k <= 1 THEN n_name ELSE venue END AS spot, {_LOW} AS lo, {_HIGH} AS hi FROM e),
-u AS (SELECT *, coalesce({sql_first('hay', R.TITLE_TERMS)}, {sql_first(f'lower({_SPOT})', R.VENUE_TERMS)}, 'community') AS event_type, CASE WHEN {_has('virtual')} THEN 'virtual' WHEN {_has('outdoor')} OR {sql_has('venue', R.TERMS['outdoor venue'])} THEN 'outdoor' ELSE 'unknown' END AS setting, {_AUD} AS a0 FROM t),
+  CASE WHEN k <= 1 THEN n_name ELSE venue END AS spot FROM {sql_ages('e')}),
+u AS (SELECT *, coalesce({sql_first('hay', V.TITLE_PHRASES)}, {sql_first(f'lower({_SPOT})', V.VENUE_PHRASES)}, 'community') AS event_type, CASE WHEN {_has('virtual')} THEN 'virtual' WHEN {_has('outdoor')} OR {sql_has('venue', 'outdoor venue')} THEN 'outdoor' ELSE 'unknown' END AS setting, {_AUD} AS a0 FROM t),
 v AS (SELECT *, CASE WHEN list_contains(a0, 'adults-only') THEN list_filter(a0, lambda x: x <> 'all-ages') ELSE a0 END AS a1 FROM u),
 final AS (SELECT doc_id, place_id, city, state, event_type, setting, lo AS min_age, hi AS max_age, coalesce(array_to_string(list_sort(a1), ','), '') AS audience, CASE WHEN lo IS NULL AND hi IS NULL AND list_contains(a1, 'all-ages') THEN true WHEN lo IS NOT NULL OR hi IS NOT NULL THEN false END AS all_ages,
   CASE WHEN doc_id % 6 = 0 THEN 'free' WHEN {_has('donation')} THEN 'donation' WHEN regexp_matches(hay, '\\$\\s?\\d') THEN 'paid' WHEN {_has('free')} THEN 'free' ELSE 'unknown' END AS cost_tier,
   CASE WHEN {_has('drop-in')} THEN 'drop-in' WHEN {_has('required')} THEN 'required' WHEN {_has('open')} THEN 'open' ELSE 'unknown' END AS registration,
   CASE WHEN setting = 'virtual' THEN 'virtual' WHEN city = 'Duluth' THEN 'duluth' ELSE 'distant' END AS geo_scope, city = 'Duluth' AS in_duluth, doc_id % 9 = 0 AS recurring,
   CASE WHEN hour({_HOUR}) >= 21 OR hour({_HOUR}) < 5 THEN 'late-night' WHEN hour({_HOUR}) < 12 THEN 'morning' WHEN hour({_HOUR}) < 17 THEN 'afternoon' ELSE 'evening' END AS time_of_day, dayofweek({_HOUR}) IN (0, 6) AS weekend, CAST({_HOUR} AS DATE) <> CAST({_ENDS} AS DATE) AS multi_day,
-  {_has('alcohol')} OR coalesce({sql_has('venue', R.TERMS['alcohol'])}, false) AS alcohol, CASE WHEN {_has('public')} THEN 'public' WHEN {_has('restricted')} THEN 'restricted' ELSE 'unknown' END AS public_admission,
+  {_has('alcohol')} OR coalesce({sql_has('venue', 'alcohol')}, false) AS alcohol, CASE WHEN {_has('public')} THEN 'public' WHEN {_has('restricted')} THEN 'restricted' ELSE 'unknown' END AS public_admission,
   CASE WHEN event_type <> 'sports' THEN NULL WHEN {_has('home')} THEN 'home' WHEN {_has('away')} THEN 'away' END AS home_away, CASE WHEN {_has('rescheduled')} THEN 'tentative' ELSE 'confirmed' END AS status FROM v)
 """
 _FINAL_COLUMNS = "place_id city state event_type setting cost_tier registration geo_scope in_duluth recurring time_of_day weekend multi_day alcohol public_admission home_away status".split()
@@ -460,12 +498,14 @@ def filters_on_real_facets(spark, sf_dir):
     return values(spark, "file string", [(w,) for w in sorted(wanted)]).join(counts, "file", "left").select("file", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-ZONES = [(0, "America/Chicago"), (1, "UTC+0"), (2, "Europe/Paris"), (3, ""), (4, None), (5, "UTC"), (6, "Mars/Olympus"), (7, "-05:00")]
+ZONES = [("America/Chicago", "America/Chicago"), ("UTC+0", None), ("Europe/Paris", "Europe/Paris"), ("", None), (None, None), ("UTC", "UTC"), ("Mars/Olympus", None), ("-05:00", None), ("europe/paris", "Europe/Paris"), ("AMERICA/NEW_YORK", "America/New_York")]
 
 
-@query(f"SELECT id, CASE WHEN id IN (2, 5) THEN zone ELSE 'America/Chicago' END AS zone FROM {sql_values('id, zone', ZONES)}")
+@query(f"SELECT c_custkey, coalesce(named, 'America/Chicago') AS zone FROM customer JOIN {sql_values('i, said, named', [(i, *z) for i, z in enumerate(ZONES)])} ON i = c_custkey % {len(ZONES)}")
 def safe_timezone(spark, sf_dir):
-    return values(spark, "id long, zone string", ZONES).select("id", X.safe_timezone(F.col("zone")).alias("zone"))
+    """Every customer's zone, dealt by the key."""
+    said = F.get(F.array(*[F.lit(z) for z, _ in ZONES]), (F.col("c_custkey") % len(ZONES)).cast("int"))
+    return table(spark, sf_dir, "customer").select("c_custkey", X.safe_timezone(said).alias("zone"))
 
 
 # reports
@@ -496,13 +536,13 @@ def _venue_claims(spark, sf_dir):
     return venue_events(spark, sf_dir).withColumns({"ord": F.col("c_custkey"), "state": F.lit("MN")})
 
 
-_CLAIMS = f"""(SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN n_name WHEN 1 THEN '1 ' || n_name || ' Street' WHEN 3 THEN 'Hall ' || (c_custkey % 11) || ' Inc' WHEN 4 THEN 'Duluth' ELSE 'the ' || lower(n_name) || ' inc' END AS raw,
+_CLAIMS = f"""(SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN n_name WHEN 1 THEN '1 ' || n_name || ' Street' WHEN 3 THEN 'Hall ' || (c_custkey % 11) || ' Inc' WHEN 4 THEN 'Duluth' ELSE 'the ' || lower(n_name) || ' co' END AS raw,
   CASE c_custkey % 6 WHEN 4 THEN 'city' ELSE 'venue' END AS kind FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 6 <> 2)"""
 
 
-@query(f"SELECT {sql_key('raw')} AS key, kind, count(*) AS n FROM {_CLAIMS} GROUP BY ALL")
+@query(f"""SELECT key, kind, count(*) AS n, CASE WHEN kind = 'city' THEN 'Duluth' ELSE arg_max(raw, c_custkey) END AS raw, 'Duluth' AS city, 'MN' AS state FROM (SELECT c_custkey, raw, kind, {sql_key('raw')} AS key FROM {_CLAIMS}) GROUP BY key, kind""")
 def unresolved_tally(spark, sf_dir):
-    return reports.unresolved(_venue_claims(spark, sf_dir)).select("key", "kind", "n")
+    return reports.unresolved(_venue_claims(spark, sf_dir)).select("key", "kind", "n", "raw", "city", "state")
 
 
 def _proposals(spark, sf_dir):
@@ -538,13 +578,15 @@ def risk_ranking(spark, sf_dir):
     return o.select("o_orderkey", F.row_number().over(Window.partitionBy("o_custkey").orderBy(*reports.risk_order(o), "o_orderkey")).alias("rank"))
 
 
-USES = [("t0", "Y", "No", "both"), ("t1", "No", "Yes", "Winter"), ("t2", None, "Y", "None")]
-
-
-@query(f"SELECT id, use, allowed, seasons FROM (SELECT id, unnest(['hiking', 'biking']) AS use, unnest([coalesce(h IN ('Y', 'Yes'), false), coalesce(b IN ('Y', 'Yes'), false)]) AS allowed, CASE lower(season) WHEN 'both' THEN 'summer,winter' WHEN 'none' THEN NULL ELSE lower(season) END AS seasons FROM {sql_values('id, h, b, season', USES)})")
+@query("""SELECT id, use, allowed, CASE lower(season) WHEN 'both' THEN 'summer,winter' WHEN 'none' THEN NULL ELSE lower(season) END AS seasons FROM (SELECT o_orderkey AS id, unnest(['hiking', 'biking']) AS use,
+unnest([o_orderstatus IN ('F', 'P'), o_orderstatus IS NOT NULL AND o_orderkey % 3 <> 1]) AS allowed, ['both', 'Winter', 'summer', 'None'][1 + o_custkey % 4] AS season FROM orders)""")
 def trail_uses_unpivot(spark, sf_dir):
-    x = mappers.trail_uses(values(spark, "id string, h string, b string, season string", USES), ["h", "b"])
-    return x.select("id", F.array_join("seasons", ",").alias("seasons"), F.inline("uses"))
+    """Every order as a trail: its status says whether one may hike, its keys the rest."""
+    said = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") == "F", "Y").when(F.col("o_orderstatus") == "P", "Yes").otherwise("No").alias("h"), F.when(F.col("o_orderkey") % 3 == 0, "Y").when(F.col("o_orderkey") % 3 == 2, "Yes").alias("b"),
+        F.get(F.array(*[F.lit(s) for s in ("both", "Winter", "summer", "None")]), (F.col("o_custkey") % 4).cast("int")).alias("season"),
+    )
+    return mappers.trail_uses(said, ["h", "b"]).select("id", F.array_join("seasons", ",").alias("seasons"), F.inline("uses"))
 
 
 TIERS = [("curated", True, (40.0, -95.0, 50.0, -90.0)), ("open", True, (40.0, -95.0, 50.0, -90.0)), ("geocoder", False, (-90.0, -180.0, 90.0, 180.0))]
@@ -656,18 +698,23 @@ def token_containment_pairs(spark, sf_dir):
     return matching.containment_pairs(table(spark, sf_dir, "part").select(F.col("p_name").alias("id")).distinct())
 
 
-LEFT = [(0, "Lester River/Hartley"), (1, "hartley"), (2, "Piedmont-Brewer"), (3, "Nowhere"), (4, "Mission / Lester  River")]
-RIGHT = [("r0", "Lester River"), ("r1", "Hartley"), ("r2", "piedmont brewer"), ("r3", "Mission")]
 _NORM = lambda x: f"trim(regexp_replace(lower(regexp_replace({x}, '[/-]', ' ', 'g')), '\\s+', ' ', 'g'))"
+_SEGMENTS = """(SELECT s_suppkey AS left_id, CASE s_suppkey % 4 WHEN 0 THEN n_name WHEN 1 THEN lower(n_name) || ' / ' || s_name WHEN 2 THEN s_name || '/' || n_name || '/nowhere' ELSE 'the ' || s_name END AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+_WHOLES = "(SELECT 'n' || n_nationkey AS right_id, n_name AS name FROM nation UNION ALL SELECT 's' || s_suppkey, s_name FROM supplier)"
 
 
-@query(f"""WITH l AS (SELECT * FROM {sql_values('left_id, name', LEFT)}), r AS (SELECT right_id, {_NORM('name')} AS k FROM {sql_values('right_id, name', RIGHT)}),
+@query(f"""WITH l AS {_SEGMENTS}, r AS (SELECT right_id, {_NORM('name')} AS k FROM {_WHOLES}),
 h AS (SELECT left_id, right_id, 0 AS how FROM l JOIN r ON {_NORM('l.name')} = k UNION SELECT left_id, right_id, 1 FROM (SELECT left_id, unnest(string_split(name, '/')) AS p FROM l) JOIN r ON {_NORM('p')} = k),
 m AS (SELECT left_id, min(how) AS how FROM h GROUP BY 1)
 SELECT l.left_id, coalesce(string_agg(DISTINCT right_id, ',' ORDER BY right_id), '') AS right_ids, CASE m.how WHEN 0 THEN 'whole' WHEN 1 THEN 'segment' ELSE 'none' END AS how FROM l LEFT JOIN m USING (left_id) LEFT JOIN h ON h.left_id = l.left_id AND h.how = m.how GROUP BY l.left_id, m.how""")
 def segment_join(spark, sf_dir):
-    found = matching.segment_matches(values(spark, "left_id long, name string", LEFT), values(spark, "right_id string, name string", RIGHT))
-    return found.select("left_id", F.coalesce(F.array_join("right_ids", ","), F.lit("")).alias("right_ids"), "how")
+    """Suppliers and nations named whole, in parts between slashes, or otherwise, against all suppliers and nations."""
+    s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    k = F.col("s_suppkey") % 4
+    name = F.when(k == 0, F.col("n_name")).when(k == 1, F.concat_ws(" / ", F.lower("n_name"), "s_name")).when(k == 2, F.concat_ws("/", "s_name", "n_name", F.lit("nowhere"))).otherwise(F.concat(F.lit("the "), "s_name"))
+    left = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("left_id"), name.alias("name"))
+    right = n.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("right_id"), F.col("n_name").alias("name")).union(s.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")), "s_name"))
+    return matching.segment_matches(left, right).select("left_id", F.coalesce(F.array_join("right_ids", ","), F.lit("")).alias("right_ids"), "how")
 
 
 @query(f"SELECT key, sum(n) AS n, string_agg(p_name || '=' || n, ',' ORDER BY p_name) AS variants FROM (SELECT {sql_key('p_name')} AS key, p_name, count(*) AS n FROM part GROUP BY ALL) GROUP BY 1")
