@@ -220,6 +220,15 @@ def resident(df: DataFrame, *keys: str) -> DataFrame:
     return spark.table(name)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``id`` from 0 on without gaps, in order of ``at``, a number by partition and row; one count a partition goes to the driver."""
+    part = F.shiftright("at", 33)
+    sizes = sorted(tuple(r) for r in rows.groupBy(part.alias("part")).count().collect())
+    first = [(part_, sum(n for _, n in sizes[:i])) for i, (part_, _) in enumerate(sizes)]
+    offsets = rows.sparkSession.createDataFrame(first, "part long, first long")
+    return rows.withColumn("part", part).join(F.broadcast(offsets), "part").withColumn("id", F.col("first") + F.col("at") - F.shiftleft("part", 33)).drop("part", "first", "at")
+
+
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, held_terms: int = HELD_TERMS, chunk_terms: int = CHUNK) -> DataFrame:
     """``lang, source, part, item, value, rank``: per group its distance from each other source (``pair``) and its ``top`` terms (``term``).
 
@@ -233,9 +242,9 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, held_
         return spark.createDataFrame([], "lang string, source string, part string, item string, value long, rank int")
     blocks = max(min(most, FEW_BLOCKS), -(-most // BLOCK_SOURCES))
     kept = stored(kept_counts(rows, min_docs, held_terms))
-    # numbered in order of UTF-8; 2^33 numbers a partition, a multiple of the chunk
     ordered = kept.groupBy("lang", "term").agg(F.sum("n").alias("n")).orderBy("lang", "term")
-    terms = stored(ordered.select("lang", "term", "n", F.monotonically_increasing_id().alias("id")))
+    sorted_terms = stored(ordered.select("lang", "term", "n", F.monotonically_increasing_id().alias("at")))
+    terms = numbered(sorted_terms)
     chunk, place = F.expr(f"id div {chunk_terms}"), (F.col("id") % chunk_terms).cast("int")
     counts = F.collect_list(F.struct(F.col("place"), F.col("n"))).alias("counts")
     of_lang = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n").alias("lang_total"))
@@ -257,5 +266,5 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS, held_
     named = heads.join(terms.select("id", F.col("term").alias("item")), F.col("term_id") == F.col("id"))
     columns = ("lang", "source", "part", "item", "value", "rank")
     report = stored(pairs.withColumn("part", F.lit("pair")).select(*columns).unionByName(named.withColumn("part", F.lit("term")).select(*columns)))
-    drop_stored(groups, kept, terms, vectors, languages, found)
+    drop_stored(groups, kept, sorted_terms, vectors, languages, found)
     return report
