@@ -62,4 +62,4 @@ class Phrases:
         return F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(1)), plain))
 
     def holds(self, found: Column, name: str) -> Column:
-        return F.exists(found, lambda x: x.isin(self.standing_for[name]))
+        return F.arrays_overlap(found, F.split(F.lit(",".join(self.standing_for[name])), ","))

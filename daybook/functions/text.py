@@ -7,6 +7,7 @@ order mark included); word boundaries follow the ASCII sense.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable, Mapping
 
 import pandas as pd
 from pyspark.sql import Column
@@ -33,6 +34,20 @@ TICKET_HOSTS = ["eventbrite", "ticketmaster", "etix.com", "showclix", "seeticket
 TITLE_STOP = ["the", "and", "for", "with", "live", "music", "night", "nights", "duluth"]
 
 
+#: Separators of lists and tables that go into a plan as one constant.
+_ITEM, _PAIR = "\x1f", "\x1e"
+
+
+def among(c: Column, words: Iterable[str]) -> Column:
+    """Whether ``c`` is one of many words: one constant of the plan instead of a literal for each."""
+    return F.array_contains(F.split(F.lit(_ITEM.join(words)), _ITEM), c)
+
+
+def said_for(c: Column, table: Mapping[str, str]) -> Column:
+    """What stands in the table for ``c``, else null; the table is one constant of the plan."""
+    return F.try_element_at(F.str_to_map(F.lit(_ITEM.join(f"{k}{_PAIR}{v}" for k, v in table.items())), F.lit(_ITEM), F.lit(_PAIR)), c)
+
+
 def word(pattern: str) -> str:
     """A pattern that must not touch ASCII word characters, for ``rlike``."""
     return rf"(?i)(?<![A-Za-z0-9_])(?:{pattern})(?![A-Za-z0-9_])"
@@ -56,15 +71,15 @@ def decode_once(c: Column) -> Column:
         hexes = F.regexp_extract(t, "^&#[xX]([0-9a-fA-F]+);$", 1)
         point = F.when(hexes != "", F.conv(hexes, 16, 10)).when(digits != "", digits).cast("decimal(20,0)")
         decoded = F.decode(F.unhex(F.lpad(F.hex(point.cast("long")), 8, "0")), "UTF-32")
-        named = F.create_map(*[F.lit(x) for kv in NAMED.items() for x in kv])
-        return F.coalesce(F.try_element_at(named, name), F.when(point.isNotNull() & (point <= 0x10FFFF), decoded), t)
+        return F.coalesce(said_for(name, NAMED), F.when(point.isNotNull() & (point <= 0x10FFFF), decoded), t)
 
     return F.array_join(F.transform(tokens, one), "")
 
 
 def decode_entities(c: Column) -> Column:
     """Up to three passes, so that doubly escaped text resolves; unknown names stay as they are. Text without ``&`` takes none."""
-    return F.when(F.contains(c, F.lit("&")), decode_once(decode_once(decode_once(c)))).otherwise(c)
+    passes = F.aggregate(F.sequence(F.lit(1), F.lit(3)), c, lambda text, _: decode_once(text))
+    return F.when(F.contains(c, F.lit("&")), passes).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:
@@ -123,8 +138,7 @@ def is_sentinel(key: Column) -> Column:
 
 
 def state_code(raw: Column) -> Column:
-    newspaper = F.create_map(*[F.lit(x) for kv in AP_STATES.items() for x in kv])
-    return F.when(F.upper(raw).isin(STATES), F.upper(raw)).otherwise(F.try_element_at(newspaper, F.lower(raw)))
+    return F.when(among(F.upper(raw), STATES), F.upper(raw)).otherwise(said_for(F.lower(raw), AP_STATES))
 
 
 def leading_city(c: Column, is_clean: bool = False) -> Column:

@@ -8,6 +8,8 @@ from zoneinfo import available_timezones
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from daybook.functions import text as T
+
 ZONE = "America/Chicago"
 
 
@@ -25,9 +27,7 @@ def zone_spellings() -> dict[str, str]:
 
 def safe_timezone(zone: Column, default: str = ZONE) -> Column:
     """``zone`` if it is a named zone, in whatever case, as it is written; else the default: absent, blank, or an offset such as ``UTC+0``."""
-    names = F.create_map(*[F.lit(x) for pair in zone_spellings().items() for x in pair])
-    # most are written as they should be; the map is searched for the others alone
-    return F.when(zone.isNull() | (zone == ""), F.lit(default)).when(zone.isin(*zone_names()), zone).otherwise(F.coalesce(F.try_element_at(names, F.lower(zone)), F.lit(default)))
+    return F.when(zone.isNull() | zone.isin("", default), F.lit(default)).otherwise(F.coalesce(T.said_for(F.lower(zone), zone_spellings()), F.lit(default)))
 
 
 def local(ts: Column, zone: str | Column = ZONE) -> Column:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from daybook.functions import rules as R
 from daybook.functions import text as T
 from daybook.functions import timex as X
-from daybook.operators import constraints, dedupe, diff, emit, filters, finalize, matching, places, reports
+from daybook.operators import constraints, dedupe, diff, emit, feeds, filters, finalize, matching, places, reports
 from daybook.plans import vocabulary as V
 from daybook.plans.listings import SQL as LISTINGS
 from daybook.plans.listings import listings, table
-from daybook.sources import mappers
+from daybook.sources import mappers, readers, shared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -455,7 +455,7 @@ def document_events(spark, sf_dir) -> DataFrame:
     start = F.timestamp_add("HOUR", F.col("doc_id") % 8000, F.lit("2024-01-01 00:00:00").cast("timestamp"))
     row = mappers.canonical(
         d, native_id=F.col("doc_id").cast("string"), title=F.col("text"), start_ts=start, end_ts=F.timestamp_add("HOUR", F.col("doc_id") % 5, start), venue_raw=venue,
-        rrule=F.when(F.col("doc_id") % 9 == 0, "FREQ=WEEKLY"), cost=F.struct(F.when(F.col("doc_id") % 6 == 0, "free").otherwise("unknown").alias("kind")),
+        rrule=F.when(F.col("doc_id") % 9 == 0, "FREQ=WEEKLY"), categories=F.when(F.col("doc_id") % 10 == 0, F.array(F.lit("academic calendar"))).otherwise(F.array().cast("array<string>")), cost=F.struct(F.when(F.col("doc_id") % 6 == 0, "free").otherwise("unknown").alias("kind")),
     )
     return row
 
@@ -478,9 +478,10 @@ final AS (SELECT doc_id, place_id, city, state, event_type, setting, lo AS min_a
   CASE WHEN setting = 'virtual' THEN 'virtual' WHEN city = 'Duluth' THEN 'duluth' ELSE 'distant' END AS geo_scope, city = 'Duluth' AS in_duluth, doc_id % 9 = 0 AS recurring,
   CASE WHEN hour({_HOUR}) >= 21 OR hour({_HOUR}) < 5 THEN 'late-night' WHEN hour({_HOUR}) < 12 THEN 'morning' WHEN hour({_HOUR}) < 17 THEN 'afternoon' ELSE 'evening' END AS time_of_day, dayofweek({_HOUR}) IN (0, 6) AS weekend, CAST({_HOUR} AS DATE) <> CAST({_ENDS} AS DATE) AS multi_day,
   {_has('alcohol')} OR coalesce({sql_has('venue', 'alcohol')}, false) AS alcohol, CASE WHEN {_has('public')} THEN 'public' WHEN {_has('restricted')} THEN 'restricted' ELSE 'unknown' END AS public_admission,
-  CASE WHEN event_type <> 'sports' THEN NULL WHEN {_has('home')} THEN 'home' WHEN {_has('away')} THEN 'away' END AS home_away, CASE WHEN {_has('rescheduled')} THEN 'tentative' ELSE 'confirmed' END AS status FROM v)
+  CASE WHEN event_type <> 'sports' THEN NULL WHEN {_has('home')} THEN 'home' WHEN {_has('away')} THEN 'away' END AS home_away, CASE WHEN {_has('rescheduled')} THEN 'tentative' ELSE 'confirmed' END AS status, doc_id % 10 = 0 AND {_has('notice')} AS institutional_notice,
+  concat_ws(',', {", ".join(f"CASE WHEN {_has(k)} THEN '{k}' END" for k in ("wheelchair", "asl", "sensory-friendly"))}) AS access FROM v)
 """
-_FINAL_COLUMNS = "place_id city state event_type setting cost_tier registration geo_scope in_duluth recurring time_of_day weekend multi_day alcohol public_admission home_away status".split()
+_FINAL_COLUMNS = "place_id city state event_type setting cost_tier registration geo_scope in_duluth recurring time_of_day weekend multi_day alcohol public_admission home_away status institutional_notice".split()
 
 
 @query(FINAL + f"SELECT doc_id, {', '.join(_FINAL_COLUMNS)}, audience, min_age, max_age, all_ages FROM final")
@@ -489,13 +490,71 @@ def finalize_events(spark, sf_dir):
     return x.select(F.col("native_id").cast("long").alias("doc_id"), *_FINAL_COLUMNS, F.array_join(F.array_sort("audience"), ",").alias("audience"), "age.min_age", "age.max_age", "age.all_ages")
 
 
-@query(FINAL + "SELECT 'weekend' AS file, count(*) AS n FROM final WHERE weekend UNION ALL SELECT 'duluth-proper', count(*) FROM final WHERE geo_scope = 'duluth' UNION ALL SELECT 'virtual', count(*) FROM final WHERE setting = 'virtual' UNION ALL SELECT 'evenings', count(*) FROM final WHERE time_of_day = 'evening' UNION ALL SELECT 'recurring', count(*) FROM final WHERE recurring")
+# what the saved filters ask of finalised documents
+_REAL = FINAL + ", real AS (SELECT * EXCLUDE (audience, access), string_split(audience, ',') AS audience, string_split(access, ',') AS access FROM final)"
+
+
+def _real(where: str) -> str:
+    said = {_REGISTRATION: "registration", _SETTING: "setting", "ord % 9 = 0": "recurring", "ord % 3 = 0": "public_admission = 'public'", "ord % 7 = 0": "false", "confidence = 'high'": "true", "h >= 17 AND h < 21": "time_of_day = 'evening'", "h >= 21 OR h < 5": "time_of_day = 'late-night'", "h >= 5 AND h < 17": "time_of_day IN ('morning', 'afternoon')", "notice": "institutional_notice"}
+    for old, new in said.items():
+        where = where.replace(old, new)
+    return where
+
+
+_REAL_COUNTS = " UNION ALL ".join([f"SELECT '{k}' AS file, count(*) AS n FROM real WHERE {_real(w)}" for k, w in SPECS.items()] + ["SELECT 'place/n' || n_nationkey, count(doc_id) FROM nation LEFT JOIN real ON place_id = 'n' || n_nationkey GROUP BY 1"])
+
+
+def real_events(spark, sf_dir) -> DataFrame:
+    return finalized(spark, sf_dir).withColumns({"uid": F.col("native_id"), "also": F.array().cast("array<string>"), "confidence": F.lit("high"), "source": F.lit("documents")})
+
+
+def all_filters(spark, sf_dir) -> DataFrame:
+    return feeds.filters_of(spark, filters.SAVED).union(feeds.place_filters(nation_registry(spark, sf_dir)))
+
+
+@query(_REAL + _REAL_COUNTS)
 def filters_on_real_facets(spark, sf_dir):
-    """Saved queries over derived facets (institutional notices need a category that documents lack)."""
-    wanted = {"weekend", "duluth-proper", "virtual", "evenings", "recurring"}
-    x = finalized(spark, sf_dir).withColumns({"also": F.array().cast("array<string>"), "confidence": F.lit("high"), "source": F.lit("documents")})
-    counts = filters.tag(x, [s for s in filters.SAVED if s.file in wanted]).groupBy("file").agg(F.count("*").alias("n"))
-    return values(spark, "file string", [(w,) for w in sorted(wanted)]).join(counts, "file", "left").select("file", F.coalesce("n", F.lit(0)).alias("n"))
+    """All saved queries and one for every place, over the derived facets of every document."""
+    every = all_filters(spark, sf_dir)
+    return feeds.feed_counts(feeds.members(real_events(spark, sf_dir), every), every.select("file"))
+
+
+def _vevents(events: DataFrame, uid) -> DataFrame:
+    rows = events.select(uid.alias("uid"), "title", "start_ts", "end_ts", F.lit(False).alias("all_day"), emit.description(F.lit(""), [("Source", F.col("source"))]).alias("description"), F.col("venue").alias("location"), F.array("event_type").alias("categories"), F.lit("confirmed").alias("status"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("rrule"), F.lit("").alias("x"))
+    return emit.vevent(rows)
+
+
+@query(FACETED + f"""SELECT file, title, count(*) AS n FROM ({' UNION ALL '.join(f"SELECT '{k}' AS file, title FROM f WHERE {w}" for k, w in SPECS.items())} UNION ALL SELECT 'place/' || place_id, title FROM f WHERE place_id IS NOT NULL) GROUP BY ALL""")
+def feeds_in_one_job(spark, sf_dir):
+    """All calendars of all events and places written in one job, read again, and their titles counted by calendar."""
+    events = faceted(spark, sf_dir).withColumn("uid", F.col("ord").cast("string"))
+    places_ = events.filter("place_id IS NOT NULL").select(F.col("place_id").alias("id")).distinct()
+    every = feeds.filters_of(spark, filters.SAVED).union(feeds.place_filters(places_))
+    path = shared.shared_path(spark, "feeds")
+    feeds.write_feeds(feeds.members(events, every), _vevents(events, F.col("uid")), every.select("file", F.col("file").alias("name"), F.lit("Events").alias("about")), path)
+    again = readers.read_ics(spark, f"{path}/*/*")
+    name = F.url_decode(F.regexp_extract("file", "feed=([^/]*)/", 1))
+    # a path is a link: its escapes are decoded once by the link and once by the folder
+    return again.select(F.url_decode(name).alias("file"), T.unescape_ics(F.col("props")["SUMMARY"]).alias("title")).groupBy("file", "title").agg(F.count("*").alias("n"))
+
+
+_CUSTOMER_FILTER = """(c_nationkey = 0 OR place_id = 'p' || c_nationkey) AND (c_custkey % 3 = 2 OR list_has_any(audience, CASE c_custkey % 3 WHEN 0 THEN ['kids', 'all-ages'] ELSE ['teen'] END))
+ AND (c_custkey % 4 <> 0 OR list_has_all(access, ['wheelchair', 'asl'])) AND (c_custkey % 2 = 1 OR weekend = (c_custkey % 7 <> 0)) AND (c_custkey % 5 <> 0 OR NOT list_contains(audience, 'adults-only')) AND (c_custkey % 11 <> 0 OR contains(source, 'rc' || (c_custkey % 8)))"""
+
+
+@query(FACETED + f"SELECT 'c' || c_custkey AS file, count(*) AS n FROM customer JOIN f ON {_CUSTOMER_FILTER} GROUP BY 1")
+def predicate_index(spark, sf_dir):
+    """A saved filter for every customer, over all events."""
+    k = F.col("c_custkey")
+    need = lambda held, *of: F.when(held, F.array(*[F.lit(x) if isinstance(x, str) else x for x in of]))
+    needs = F.array_compact(F.array(
+        need(F.col("c_nationkey") != 0, F.concat(F.lit("placeId=p"), F.col("c_nationkey").cast("string"))), need(k % 3 == 0, "audience=kids", "audience=all-ages"), need(k % 3 == 1, "audience=teen"), need(k % 4 == 0, "access=wheelchair"), need(k % 4 == 0, "access=asl"),
+        need(k % 2 == 0, F.concat(F.lit("weekend="), (k % 7 != 0).cast("string"))), need(k % 11 == 0, F.concat(F.lit("source~rc"), (k % 8).cast("string"))),
+    ))
+    needs = F.when(F.size(needs) > 0, needs).otherwise(F.array(F.array(F.lit(feeds.ANY))))
+    bars = F.when(k % 5 == 0, F.array(F.lit("audience=adults-only"))).otherwise(F.array().cast("array<string>"))
+    saved = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), k.cast("string")).alias("file"), needs.alias("needs"), bars.alias("bars"))
+    return feeds.members(faceted(spark, sf_dir), saved, "ord").groupBy("file").agg(F.count("*").alias("n"))
 
 
 ZONES = [("America/Chicago", "America/Chicago"), ("UTC+0", None), ("Europe/Paris", "Europe/Paris"), ("", None), (None, None), ("UTC", "UTC"), ("Mars/Olympus", None), ("-05:00", None), ("europe/paris", "Europe/Paris"), ("AMERICA/NEW_YORK", "America/New_York")]
