@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from daybook.functions import text as T
 from daybook.functions.timex import confidence_rank
+from daybook.operators.similar import least_similarity
+from daybook.sources.shared import kept
 
 TITLE_VETO = 0.15
 
@@ -37,16 +39,15 @@ def pass_one(df: DataFrame) -> DataFrame:
     """Rows of one place and instant become one, unless a refusal holds: then all of the group stay as they were."""
     group = ["place_id", "instant"]
     placed = df.filter("place_id IS NOT NULL")
-    folded = merge(placed, [*group, "source", "title"])
+    # read by every step below
+    folded = kept(merge(placed, [*group, "source", "title"]), "folded")
     shape = folded.groupBy(*group).agg(F.count("*").alias("n"), F.countDistinct("source").alias("n_sources"), F.countDistinct("room").alias("n_rooms"))
     sound = shape.filter("n = n_sources AND n_rooms <= 1").select(*group)
-    kept = folded.join(sound, group)
-    words = kept.select(*group, "ord", T.title_tokens(F.col("title")).alias("w"))
-    a, b = words.select(*group, F.col("ord").alias("x"), F.col("w").alias("wx")), words.select(*group, F.col("ord").alias("y"), F.col("w").alias("wy"))
-    unlike = a.join(b, group).filter((F.col("x") < F.col("y")) & (T.jaccard(F.col("wx"), F.col("wy")) < TITLE_VETO)).select(*group).distinct()
-    agreed = sound.join(unlike, group, "left_anti")
+    alone = folded.join(sound, group)
+    unlike = least_similarity(alone.select(*group, T.title_tokens(F.col("title")).alias("t")), group).filter(F.col("least") < TITLE_VETO).select(*group)
+    agreed = kept(sound.join(unlike, group, "left_anti"), "agreed")
     firsts = Window.partitionBy(*group)
-    merged = merge(kept.join(agreed, group), group)
+    merged = merge(alone.join(agreed, group), group)
     # a merged group stands where its first member stood
     seats = placed.groupBy(*group).agg(F.min("ord").alias("seat"))
     refused = placed.join(agreed, group, "left_anti").withColumn("seat", F.min("ord").over(firsts))
@@ -73,4 +74,4 @@ def pass_two(df: DataFrame) -> DataFrame:
 
 
 def dedupe(df: DataFrame) -> DataFrame:
-    return pass_two(pass_one(df))
+    return pass_two(kept(pass_one(df), "pass-one"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import text as T
 from daybook.operators.dedupe import TITLE_VETO
+from daybook.operators.similar import least_similarity
 
 
 def lost_and_gained(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -42,10 +43,8 @@ def changed_fields(before: DataFrame, after: DataFrame, fields: list[str]) -> Da
 def risk_groups(events: DataFrame) -> DataFrame:
     """Provisional places with several rows at one instant: number of rows, least similarity, whether sources differ."""
     rows = events.filter(F.startswith(F.col("place_id"), F.lit("~"))).select("place_id", "instant", "uid", "source", T.title_tokens(F.col("title")).alias("t"))
-    sizes = rows.groupBy("place_id", "instant").agg(F.count("*").alias("n"), (F.countDistinct("source") > 1).alias("cross_source")).filter("n > 1")
-    a, b = rows.select("place_id", "instant", F.col("uid").alias("x"), F.col("t").alias("tx")), rows.select("place_id", "instant", F.col("uid").alias("y"), F.col("t").alias("ty"))
-    pairs = a.join(b, ["place_id", "instant"]).filter("x < y").groupBy("place_id", "instant").agg(F.min(T.jaccard(F.col("tx"), F.col("ty"))).alias("least"))
-    return sizes.join(pairs, ["place_id", "instant"])
+    sizes = rows.groupBy("place_id", "instant").agg((F.countDistinct("source") > 1).alias("cross_source"))
+    return least_similarity(rows, ["place_id", "instant"]).join(sizes, ["place_id", "instant"])
 
 
 def is_failing(counts: dict[str, int], most_merges: int = 20) -> bool:
