@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import text as T
+from daybook.sources.shared import kept
 
 #: Below this a match is weak, and later gazetteers are tried.
 STRONG = 0.5
@@ -22,20 +23,38 @@ def is_acronym(short, long_tokens):
 
 
 def best_matches(targets: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """``target, candidate, score, tied`` per target: largest Jaccard of words over all candidates that share one.
+    """``target, candidate, tier, score, tied`` per target: largest Jaccard of words over all candidates that share one.
 
-    targets: ``target, name``; gazetteer: ``candidate, name, tier``. Scores of all
-    tiers compete; an equal best score anywhere is a tie.
+    targets: ``target, name``; gazetteer: ``candidate, name, tier``. Scores of all tiers compete; an equal best score
+    anywhere is a tie, of which the first by tier and candidate is given.
+
+    Names of equal words are one. Words go by rarity in the gazetteer, so what two names share is met at its rarest word
+    first; there a candidate is opened only if the words left in both could still reach a score that some candidate is
+    known to have: at first that of the shortest name with one of the target's words, then the best one that shares its
+    rarest word. A word that most names hold is the last of each and opens almost none.
     """
-    a = targets.select("target", tokens(F.col("name")).alias("ta"))
-    b = gazetteer.select("candidate", "tier", tokens(F.col("name")).alias("tb"))
-    pairs = a.withColumn("w", F.explode("ta")).join(b.withColumn("w", F.explode("tb")), "w")
-    scored = pairs.groupBy("target", "candidate").agg(F.count("*").alias("both"), F.first(F.size("ta")).alias("na"), F.first(F.size("tb")).alias("nb"), F.min("tier").alias("tier"))
-    scored = scored.withColumn("score", F.col("both") / (F.col("na") + F.col("nb") - F.col("both")))
-    order = Window.partitionBy("target").orderBy(F.desc("score"), "tier", "candidate")
-    best = scored.withColumns({"at": F.row_number().over(order), "top": F.max("score").over(Window.partitionBy("target"))})
-    ties = best.filter("score = top").groupBy("target").agg(F.count("*").alias("n_top"))
-    return best.filter("at = 1").join(ties, "target").select("target", "candidate", "tier", "score", (F.col("n_top") > 1).alias("tied"))
+    ask = targets.select("target", F.array_sort(tokens(F.col("name"))).alias("tx"))
+    give = gazetteer.select("candidate", "tier", F.array_sort(tokens(F.col("name"))).alias("ty")).groupBy("ty").agg(F.min(F.struct("tier", "candidate")).alias("first"), F.count("*").alias("alike"))
+    give = kept(give.filter(F.size("ty") > 0), "names")
+    words = give.select("ty", F.explode("ty").alias("w"))
+    known = words.groupBy("w").agg(F.count("*").alias("df"), F.min(F.size("ty")).alias("shortest"))
+    by_rarity = lambda side: Window.partitionBy(side).orderBy("df", "w")
+    y = words.join(known.drop("shortest"), "w").withColumn("at_y", F.row_number().over(by_rarity("ty"))).select("w", "ty", "at_y")
+    x = ask.select("tx").distinct().withColumn("w", F.explode("tx")).join(known, "w").withColumn("at_x", F.row_number().over(by_rarity("tx")))
+    whole = Window.partitionBy("tx")
+    x = kept(x.withColumns({"known": F.count("*").over(whole), "floor": F.max(1 / (F.size("tx") + F.col("shortest") - 1)).over(whole)}).select("tx", "w", "at_x", "known", "floor"), "asked")
+
+    def opened(side: DataFrame) -> DataFrame:
+        left = F.least(F.col("known") - F.col("at_x") + 1, F.size("ty") - F.col("at_y") + 1)
+        pairs = side.join(y, "w").filter(left >= (F.size("tx") + F.size("ty") - left) * F.col("floor") - 1e-9).select("tx", "ty").distinct()
+        return pairs.withColumn("score", T.jaccard(F.col("tx"), F.col("ty")))
+
+    rarest = kept(opened(x.filter("at_x = 1")), "opened")
+    better = x.filter("at_x > 1").join(rarest.groupBy("tx").agg(F.max("score").alias("best")), "tx", "left").withColumn("floor", F.greatest("floor", "best"))
+    scored = rarest.unionByName(opened(better)).distinct()
+    top = scored.withColumn("top", F.max("score").over(whole)).filter("score = top").join(give, "ty")
+    best = top.groupBy("tx", "score").agg(F.min("first").alias("first"), F.sum("alike").alias("n_top"))
+    return ask.join(best, "tx").select("target", F.col("first.candidate").alias("candidate"), F.col("first.tier").alias("tier"), "score", (F.col("n_top") > 1).alias("tied"))
 
 
 def tiered_matches(targets: DataFrame, gazetteer: DataFrame, tiers: list[tuple[str, bool, tuple[float, float, float, float]]]) -> DataFrame:

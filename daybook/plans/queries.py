@@ -744,6 +744,21 @@ def match_tie_flag(spark, sf_dir):
     return _best(spark, sf_dir).select("target", "tied", matching.verdict(F.col("score"), F.col("tied")).alias("verdict"))
 
 
+_NAMES = f"SELECT DISTINCT p_partkey AS id, {_PTOK("p_name || ' ' || p_type")} AS tx, {_PTOK("p_type || ' ' || p_brand || ' ' || p_name")} AS ty FROM part"
+
+
+@query(f"""WITH n AS ({_NAMES}), x AS (SELECT DISTINCT list_sort(tx) AS tx FROM n), y AS (SELECT list_sort(ty) AS ty, min(id) AS candidate, count(*) AS alike FROM n GROUP BY 1),
+s AS (SELECT tx, candidate, alike, {_JAC('tx', 'ty')} AS score FROM x JOIN y ON list_has_any(tx, ty)), m AS (SELECT tx, max(score) AS top FROM s GROUP BY 1),
+b AS (SELECT tx, top, min(candidate) AS candidate, sum(alike) > 1 AS tied FROM s JOIN m USING (tx) WHERE score = top GROUP BY ALL)
+SELECT id AS target, candidate, round(top, 6) AS score, tied FROM n JOIN b ON list_sort(n.tx) = b.tx""")
+def best_names(spark, sf_dir):
+    """Every part's name and type against all parts' types, brands and names, which all hold the word brand."""
+    part = table(spark, sf_dir, "part")
+    targets = part.select(F.col("p_partkey").alias("target"), F.concat_ws(" ", "p_name", "p_type").alias("name"))
+    gazetteer = part.select(F.col("p_partkey").alias("candidate"), F.concat_ws(" ", "p_type", "p_brand", "p_name").alias("name"), F.lit(0).alias("tier"))
+    return matching.best_matches(targets, gazetteer).select("target", "candidate", F.round("score", 6).alias("score"), "tied")
+
+
 @query("SELECT p_partkey, contains(array_to_string(list_transform(string_split(p_name, ' '), lambda w: substr(w, 1, 1)), ''), 'gs') AS acronym FROM part")
 def acronym_match(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", matching.is_acronym(F.lit("gs"), F.split("p_name", " ")).alias("acronym"))
