@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Container, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
@@ -102,3 +102,11 @@ def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with columns ``given_0``, ``given_1`` and so on, which clash with no other, and the name of each given one."""
     names = {c: f"given_{i}" for i, c in enumerate(df.columns)}
     return df.toDF(*names.values()), names
+
+
+def beside(given: str, own: Container[str], others: Container[str] = ()) -> str:
+    """The name under which a given column stands beside an operator's own ones: its name, with ``_given`` behind while that is taken."""
+    name = given
+    while name in own or (name != given and name in others):
+        name += "_given"
+    return name

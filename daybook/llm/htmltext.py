@@ -37,8 +37,12 @@ from daybook.llm.common import arrow_map
 
 # Names of elements that HTML defines.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-DROPPED = {"button", "canvas", "head", "iframe", "math", "noscript", "object", "option", "script", "select", "style", "svg", "template", "textarea", "title", "video", "audio"}
+INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "button", "canvas", "iframe", "noscript", "object", "select", "svg", "video", "audio", "input"}
+FORMULA = {"math", "maction", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover", "semantics", "annotation", "annotation-xml"}
+INLINE |= FORMULA
+DROPPED = {"annotation", "annotation-xml", "button", "canvas", "head", "iframe", "noscript", "object", "option", "script", "select", "style", "svg", "template", "textarea", "title", "video", "audio"}
+#: Inside an article these are no part of it.
+BESIDE = {"aside", "footer", "form", "nav"}
 RAW = ("script", "style", "textarea", "title", "iframe", "noscript", "template", "svg")
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^'\">]*+)>")
@@ -47,7 +51,8 @@ UNQUOTED = re.compile(r"[^'\">]*")
 RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
 SKIPPED = (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">"))
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 #: A word's score is held between these, so that an advert inside an article does not outweigh what follows it.
 LEAST_WORD, MOST_WORD = -0.3, 3.0
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -56,7 +61,7 @@ PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Block:
     """Consecutive text with the same block-level parent; ``home`` is the article that holds it, if any."""
 
-    __slots__ = ("features", "home", "parts", "links", "words")
+    __slots__ = ("features", "home", "links", "parts", "words")
 
     def __init__(self, features: frozenset[str], home: int | None):
         self.features, self.home, self.parts, self.links, self.words = features, home, [], 0, 0
@@ -169,7 +174,7 @@ def tokens(page: str, known: Container[str] | None = None) -> list[tuple[str, ob
             if name == "p" and open_names["p"]:
                 while (stack[-1].name in INLINE or stack[-1].name == "p") and pop() != "p":
                     pass
-            gone = name in DROPPED or bool(HIDDEN.search(attributes))
+            gone = name in DROPPED or (name in BESIDE and stack[-1].inside) or is_hidden(attributes)
             dropped += gone
             open_names[name] += 1
             stack.append(inner(stack[-1], name, attribute_words(attributes) if "=" in attributes else (), gone, len(out), known))
@@ -186,6 +191,19 @@ def inner(around: Element, name: str, words: tuple[str, ...], gone: bool, number
     return Element(name, gone, around.features | new if new else around.features, around.inside or article, number if article else around.home)
 
 
+@lru_cache(maxsize=4096)
+def is_hidden(attrs: str) -> bool:
+    """By the attribute hidden, aria-hidden or a style; what other attributes say does not count."""
+    low = attrs.lower()
+    if "hidden" not in low and "none" not in low:
+        return False
+    for name, *given in ATTRIBUTE.findall(low):
+        value = "".join(given)
+        if name == "hidden" or (name == "aria-hidden" and value.strip() == "true") or (name == "style" and NOT_SHOWN.search(value)):
+            return True
+    return False
+
+
 @lru_cache(maxsize=4096)
 def attribute_words(attrs: str) -> tuple[str, ...]:
     """Lower-case words of class, id, role and label."""
@@ -208,6 +226,10 @@ class Weights:
         odds = self.bias + sum(self.features.get(f, 0.0) for f in block_features(block))
         return max(LEAST_WORD, min(MOST_WORD, odds))
 
+    def place(self, block: Block) -> float:
+        """Log-odds by where the block stands alone, whatever it holds."""
+        return self.bias + sum(self.features.get(f, 0.0) for f in block.features)
+
     def tag(self, name: str) -> float:
         return self.tags.get(name, -0.5)
 
@@ -280,7 +302,9 @@ def extract(page: str | None, weights: Weights) -> str:
         if a <= i < b:
             homes[v.home] += v.words
     home = homes.most_common(1)[0][0] if homes else None
-    kept = (v.text() for i, v in good if a <= i < b or (home is not None and v.home == home))
+    # in the article a list of links stays if it stands where text does
+    at_home = lambda v: home is not None and v.home == home
+    kept = (v.text() for i, ((k, v), w) in enumerate(zip(found, words, strict=True)) if k == "block" and ((w > 0 and (a <= i < b or at_home(v))) or (at_home(v) and weights.place(v) > 0)))
     return "\n\n".join(t for t in kept if t)
 
 

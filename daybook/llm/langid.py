@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from daybook.llm.common import arrow_map, kept_by_worker
+from daybook.llm.common import arrow_map, beside, kept_by_worker
 
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
@@ -299,8 +299,9 @@ def _predictor(docs: DataFrame, model: Model) -> Callable[[], Predictor]:
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
-    """Per document: ``doc_id, lang_pred, score`` and the columns in ``keep``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    """Per document: ``doc_id, lang_pred, score`` and the columns in ``keep``, of which those with one of these names get ``_given`` behind it."""
+    kept_as = [F.col(c).alias(beside(c, ("doc_id", "lang_pred", "score"), keep)) for c in keep]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *kept_as)
     schema = StructType([rows.schema["doc_id"], *rows.schema.fields[2:], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     predictor = _predictor(docs, model)
 

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.common import plain_names, stored
+from daybook.llm.common import beside, plain_names, stored
 
 #: Rows of a block, as long as there are fewer than ``MAX_BLOCKS`` blocks.
 BLOCK_ROWS = 1 << 14
@@ -96,7 +96,7 @@ def hypergeometric_by_ratio(rng: np.random.Generator, good: int, bad: int, n: in
 
 
 def shuffle_into_shards(df: DataFrame, n_shards: int, seed: int = 17, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``df`` with columns ``shard`` and ``slot``. Rows should be narrow: they move twice."""
+    """``df`` with columns ``shard`` and ``slot``; given columns of these names are ``shard_given`` and ``slot_given``. Rows should be narrow: they move twice."""
     spark = df.sparkSession
     plain, names = plain_names(df)
     # the numbers hold still: the rows they number lie in the shared folder
@@ -124,7 +124,7 @@ def shuffle_into_shards(df: DataFrame, n_shards: int, seed: int = 17, block_rows
     order = lambda block, turn: F.row_number().over(Window.partitionBy(block).orderBy(key(turn), "number")) - 1
     dealt = numbered.withColumn("block", coarse % n_blocks).withColumn("place", order("block", 1)).join(F.broadcast(sent), "block")
     dealt = _searched(dealt, len(targets)).withColumn("place", order("target", 2)).join(F.broadcast(received), "target")
-    return dealt.select(*[F.col(x).alias(c) for c, x in names.items()], "shard", (F.col("offset") + F.col("place")).cast("long").alias("slot"))
+    return dealt.select(*[F.col(x).alias(beside(c, ("shard", "slot"), names)) for c, x in names.items()], "shard", (F.col("offset") + F.col("place")).cast("long").alias("slot"))
 
 
 def _searched(dealt: DataFrame, n: int) -> DataFrame:
