@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daybook.functions import rules as R
 from daybook.functions import text as T
 from daybook.functions import timex as X
-from daybook.operators import constraints, dedupe, diff, emit, feeds, filters, finalize, matching, places, reports
+from daybook.operators import artifact, constraints, dedupe, diff, emit, feeds, filters, finalize, matching, places, reports
 from daybook.plans import vocabulary as V
 from daybook.plans.listings import SQL as LISTINGS
 from daybook.plans.listings import listings, table
@@ -828,6 +828,34 @@ def diff_fields(spark, sf_dir):
     return diff.changed_fields(*_sides(spark, sf_dir), ["o_orderstatus", "o_custkey"])
 
 
+_MANIFEST = lambda side: f"(SELECT bucket, count(*) AS n, sha256(string_agg(d, ',' ORDER BY uid)) AS digest FROM (SELECT uid, ((uid % 64) + 64) % 64 AS bucket, sha256(to_json(struct_pack(o_custkey := o_custkey, o_orderstatus := o_orderstatus, title := title, uid := uid))::VARCHAR) AS d FROM {side}) GROUP BY 1)"
+
+
+@query(_SIDES + f"SELECT bucket, CASE WHEN a.digest IS NULL THEN 'added' WHEN b.digest IS NULL THEN 'removed' WHEN a.digest = b.digest THEN 'unchanged' ELSE 'changed' END AS change, coalesce(a.n, 0) AS n_before, coalesce(b.n, 0) AS n_after FROM {_MANIFEST('before')} a FULL JOIN {_MANIFEST('after')} b USING (bucket)")
+def artifact_changes(spark, sf_dir):
+    """What changed between two sets of orders, by digests of buckets of their keys alone."""
+    told = [artifact.manifest(side.select("uid", "title", "o_orderstatus", "o_custkey"), "uid", F.pmod("uid", F.lit(64))) for side in _sides(spark, sf_dir)]
+    return artifact.changes(*told)
+
+
+_CREDITS = """, e AS (SELECT *, o_custkey % 7 AS place, ['s' || (uid % 4), 's' || (o_custkey % 5)] AS sources, o_orderpriority || o_custkey AS fuzzy FROM o),
+b AS (SELECT * FROM e WHERE uid % 10 <> 0), a AS (SELECT * FROM e WHERE uid % 10 <> 1), lost AS (SELECT * FROM b WHERE uid NOT IN (SELECT uid FROM a)),
+m AS (SELECT l.uid AS lost_uid, k.uid AS kept_uid, 'place' AS why FROM lost l JOIN a k ON l.place = k.place AND l.instant = k.instant WHERE list_has_any(l.sources, k.sources) AND {jac} >= 0.15
+  UNION ALL SELECT l.uid, k.uid, 'key' FROM lost l JOIN a k ON l.fuzzy = k.fuzzy)
+SELECT lost_uid, kept_uid, why FROM (SELECT *, row_number() OVER (PARTITION BY lost_uid ORDER BY why DESC, kept_uid) AS pos FROM m) WHERE pos = 1"""
+
+
+@query(_SIDES.replace("o_custkey FROM orders)", "o_custkey, o_orderpriority FROM orders)") + _CREDITS.format(jac=_JAC(_TOK("l.title"), _TOK("k.title"))))
+def loss_explanations(spark, sf_dir):
+    """Orders that are gone, each with the first that is left and credits a source of it at its place and time, or has its key."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("uid"), F.col("o_orderkey").alias("ord"), F.concat_ws("-", F.col("o_custkey").cast("string"), "o_orderpriority").alias("title"), F.col("o_orderdate").alias("instant"), (F.col("o_custkey") % 7).alias("place_id"),
+        F.array(F.concat(F.lit("s"), (F.col("o_orderkey") % 4).cast("string")), F.concat(F.lit("s"), (F.col("o_custkey") % 5).cast("string"))).alias("sources"), F.concat("o_orderpriority", F.col("o_custkey").cast("string")).alias("fuzzy"),
+    )
+    lost, _ = diff.lost_and_gained(o.filter("uid % 10 != 0"), o.filter("uid % 10 != 1"))
+    return diff.explanations(lost, o.filter("uid % 10 != 1")).select("lost_uid", "kept_uid", "why")
+
+
 @query(LISTINGS + f""", p AS (SELECT '~' || place_id AS place_id, instant, ord, source, {_TOK('title')} AS tk FROM listings WHERE place_id IS NOT NULL),
 s AS (SELECT place_id, instant, count(*) AS n, count(DISTINCT source) > 1 AS cross_source FROM p GROUP BY ALL HAVING count(*) > 1),
 m AS (SELECT a.place_id, a.instant, min({_JAC('a.tk', 'b.tk')}) AS least FROM p a JOIN p b ON a.place_id = b.place_id AND a.instant = b.instant AND a.ord < b.ord GROUP BY ALL)
