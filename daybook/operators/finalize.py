@@ -14,9 +14,9 @@ from daybook.functions import rules as R
 from daybook.functions import text as T
 from daybook.functions import timex as X
 from daybook.operators import places
+from daybook.sources.mappers import AGE
 
-AGE = "struct<all_ages boolean, min_age int, max_age int>"
-OPTIONAL = {"street": "string", "zip": "string", "geo": "struct<lat double, lon double>", "age": AGE, "ticket_url": "string", "zone": "string", "rrule": "string"}
+OPTIONAL = {"street": "string", "zip": "string", "geo": "struct<lat double, lon double>", "age": AGE, "ticket_url": "string", "zone": "string", "rrule": "string", "in_duluth": "boolean"}
 
 
 def with_optional(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
@@ -29,7 +29,7 @@ def located(events: DataFrame, registry: DataFrame) -> DataFrame:
     lead = T.leading_city(F.col("venue_clean"), is_clean=True)
     read = events.withColumn("venue_clean", T.clean_text(F.coalesce("venue_raw", F.lit("")))).withColumn("lead", lead)
     read = read.withColumns({
-        "in_duluth": F.when(F.col("lead").isNotNull(), F.lower("lead.city") == "duluth").otherwise(F.coalesce(F.lower("city") == "duluth", F.lit(False))),
+        "in_duluth": F.when(F.col("lead").isNotNull(), F.lower("lead.city") == "duluth").otherwise(F.coalesce("in_duluth", F.lower("city") == "duluth", F.lit(False))),
         "state": F.coalesce("lead.state", "state"), "city": F.coalesce("lead.city", "city"), "venue_name": T.venue_name(F.col("venue_clean"), is_clean=True),
     })
     found = places.resolve(read, places.alias_table(registry))

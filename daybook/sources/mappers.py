@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from daybook.functions import text as T
 from daybook.functions import timex as X
 
-COLUMNS = ["native_id", "title", "description", "start_ts", "end_ts", "all_day", "venue_raw", "city", "state", "cost", "categories", "event_type", "url", "status", "verified", "rrule"]
+COLUMNS = ["native_id", "title", "description", "start_ts", "end_ts", "all_day", "venue_raw", "city", "state", "cost", "categories", "event_type", "url", "status", "verified", "rrule", "age", "in_duluth"]
+AGE = "struct<all_ages boolean, min_age int, max_age int>"
 
 
 def canonical(df: DataFrame, **given) -> DataFrame:
@@ -16,7 +17,7 @@ def canonical(df: DataFrame, **given) -> DataFrame:
     base = {
         "native_id": none, "title": none, "description": none, "start_ts": F.lit(None).cast("timestamp"), "end_ts": F.lit(None).cast("timestamp"), "all_day": F.lit(False), "venue_raw": none,
         "city": F.lit("Duluth"), "state": F.lit("MN"), "cost": F.struct(F.lit("unknown").alias("kind"), F.lit(None).cast("double").alias("price_min"), F.lit(None).cast("double").alias("price_max")),
-        "categories": F.array().cast("array<string>"), "event_type": F.lit("other"), "url": none, "status": F.lit("confirmed"), "verified": F.lit(False), "rrule": none,
+        "categories": F.array().cast("array<string>"), "event_type": F.lit("other"), "url": none, "status": F.lit("confirmed"), "verified": F.lit(False), "rrule": none, "age": F.lit(None).cast(AGE), "in_duluth": F.lit(None).cast("boolean"),
     } | given
     return df.select(*[base[c].alias(c) for c in COLUMNS])
 
@@ -43,7 +44,7 @@ def tribe(df: DataFrame) -> DataFrame:
     return canonical(
         df, native_id=F.col("id").cast("string"), title=T.strip_html(F.col("title")), description=F.substring(T.strip_html(F.col("description")), 1, 1500), start_ts=_wall(F.col("start_date"), zone), end_ts=_wall(F.col("end_date"), zone),
         all_day=F.coalesce("all_day", F.lit(False)), venue_raw=F.coalesce(T.strip_html(part("venue")), F.lit("See listing")), city=F.coalesce(city, F.lit("Duluth")), cost=X.cost_of_values(F.col("cost_details.values")),
-        categories=F.transform("categories", lambda c: c["name"]), url=F.col("url"),
+        categories=F.transform("categories", lambda c: c["name"]), url=F.col("url"), in_duluth=~F.coalesce(city, F.lit("")).rlike(T.word("superior")),
     )
 
 
@@ -54,7 +55,7 @@ def squarespace(df: DataFrame, origin: str) -> DataFrame:
     return canonical(
         rows, native_id=F.col("id"), title=T.clean_text(F.col("title")), description=T.strip_html(F.coalesce("excerpt", "body")), start_ts=F.timestamp_millis("startDate"), end_ts=F.timestamp_millis("endDate"),
         venue_raw=F.coalesce(*[T.text_or_null(place[k]) for k in ("addressTitle", "addressLine2", "addressLine1")], F.lit("See listing")), city=F.when(superior, "Superior").otherwise("Duluth"), state=F.when(superior, "WI").otherwise("MN"),
-        url=F.concat(F.lit(origin), "fullUrl"), categories=F.concat(F.coalesce("tags", F.array().cast("array<string>")), F.coalesce("categories", F.array().cast("array<string>"))),
+        in_duluth=~superior, url=F.concat(F.lit(origin), "fullUrl"), categories=F.concat(F.coalesce("tags", F.array().cast("array<string>")), F.coalesce("categories", F.array().cast("array<string>"))),
     )
 
 
@@ -101,6 +102,13 @@ def ics(df: DataFrame) -> DataFrame:
     )
 
 
+def stated_age(said: Column) -> Column:
+    """Of a source's own words: everyone, or from the first number on; everyone too where no number is said."""
+    least = F.nullif(F.regexp_extract(said, "([0-9]+)", 1), F.lit("")).try_cast("int")
+    everyone = said.rlike(T.word("all") + "|(?i)any age") | least.isNull()
+    return F.when(T.text_or_null(said).isNotNull(), F.struct(everyone.alias("all_ages"), F.when(~everyone, least).alias("min_age"), F.lit(None).cast("int").alias("max_age")))
+
+
 def rec1(df: DataFrame) -> DataFrame:
     """``group struct<id,name,descriptionText>, session struct<id,text,price,features array<struct<name,value>>,canceled>``: dates ``m/d/yy[yy]``, first and last are the span."""
     s = F.col("session")
@@ -118,15 +126,15 @@ def rec1(df: DataFrame) -> DataFrame:
     return canonical(
         df.filter(~F.coalesce(s["canceled"], F.lit(False)) & first.isNotNull()), native_id=s["id"].cast("string"), title=T.clean_text(F.concat_ws(" — ", F.col("group.name"), F.nullif(s["text"], F.col("group.name")))), description=F.substring(T.strip_html(F.col("group.descriptionText")), 1, 800),
         start_ts=X.wall_to_instant(start), end_ts=X.wall_to_instant(end), all_day=from_.isNull(), venue_raw=F.coalesce(T.text_or_null(feature("location")), F.lit("See catalog")),
-        cost=F.struct(kind.alias("kind"), F.when(kind == "paid", price).alias("price_min"), F.lit(None).cast("double").alias("price_max")), event_type=F.lit("class"),
+        cost=F.struct(kind.alias("kind"), F.when(kind == "paid", price).alias("price_min"), F.lit(None).cast("double").alias("price_max")), event_type=F.lit("class"), age=stated_age(feature("ageGender")),
     )
 
 
 def manual(df: DataFrame, venue: str) -> DataFrame:
-    wall = lambda d, t: X.wall_to_instant(F.try_to_timestamp(F.concat_ws(" ", d, t)))
+    wall = lambda d, t: X.wall_to_instant(F.try_to_timestamp(F.concat(d, F.lit(" "), t)))  # noqa: E731  none without a time
     all_day = F.coalesce("allDay", F.lit(False))
     return canonical(
-        df, native_id=F.col("id"), title=F.col("title"), description=F.concat_ws("\n", F.concat(F.lit("Room: "), "room"), "description"), start_ts=wall(F.col("date"), F.when(all_day, "00:00").otherwise(F.col("start"))),
+        df, native_id=F.col("id"), title=F.col("title"), description=F.concat_ws("\n", F.concat(F.lit("Room: "), "room"), "description"), start_ts=wall(F.col("date"), F.when(all_day, F.lit("00:00")).otherwise(F.col("start"))),
         end_ts=F.when(all_day, X.wall_to_instant(F.date_add(F.to_date(F.coalesce("endDate", "date")), 1).cast("timestamp"))).otherwise(wall(F.coalesce("endDate", "date"), F.col("end"))), all_day=all_day,
         venue_raw=F.coalesce("venue", F.lit(venue)), categories=F.coalesce("categories", F.array().cast("array<string>")), event_type=F.lit("convention"),
     )
