@@ -43,6 +43,14 @@ def run_counts(fetched: DataFrame, merged: DataFrame, failures: Sequence[tuple[s
     return per.union(total).union(after).union(failed)
 
 
+def collected_counts(counts: Mapping[str, int], failures: Sequence[tuple[str, str]], merged: DataFrame) -> DataFrame:
+    """As ``run_counts``, of what a run has counted while it wrote; only the merged rows are counted here."""
+    spark = merged.sparkSession
+    told = [("source", name, n) for name, n in counts.items()] + [("fetched", "", sum(counts.values()))] + [("failed", name, 1) for name, _ in failures]
+    after = merged.agg(F.count("*").alias("n")).select(F.lit("merged").alias("kind"), F.lit("").alias("name"), "n")
+    return spark.createDataFrame(told, "kind string, name string, n long").union(after)
+
+
 def progress(folder: str, job: str, began: dt.datetime, now: dt.datetime, done: int, total: int | None = None, finished: bool = False, **extra) -> dict:
     """A snapshot of a job: the newest replaces ``job.json``, all are kept in ``job.jsonl``; a file that cannot be written stops nothing."""
     seconds = (now - began).total_seconds()

@@ -576,6 +576,19 @@ def run_counts(spark, sf_dir):
     return reports.run_counts(x, x.select("source", "day").distinct(), [("src9", "no answer")])
 
 
+@query("""SELECT 'source' AS kind, 'customers' AS name, count(*) AS n FROM customer UNION ALL SELECT 'source', 'suppliers', count(*) FROM supplier UNION ALL SELECT 'fetched', '', (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier)
+UNION ALL SELECT 'merged', '', count(*) FROM (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier) UNION ALL SELECT 'failed', 'broken rows', 1 UNION ALL SELECT 'failed', 'no such column', 1""")
+def collected_sources(spark, sf_dir):
+    """Two sources that give rows, one that fails when it is planned, one that fails at a row, one that is not enabled."""
+    read = {
+        "customers": lambda s, _: table(s, sf_dir, "customer").select(F.col("c_name").alias("title"), F.col("c_nationkey").alias("place")), "suppliers": lambda s, _: table(s, sf_dir, "supplier").select(F.col("s_name").alias("title"), F.col("s_nationkey").alias("place")),
+        "unplanned": lambda s, _: table(s, sf_dir, "supplier").select("no_such_column"), "broken": lambda s, _: table(s, sf_dir, "supplier").select(F.when(F.col("s_suppkey") >= 0, F.raise_error(F.lit("broken"))).cast("string").alias("title")),
+    }
+    sources = [{"name": n, "kind": k, "enabled": on} for n, k, on in (("customers", "customers", True), ("broken rows", "broken", True), ("suppliers", "suppliers", True), ("no such column", "unplanned", True), ("off", "customers", False))]
+    run = readers.dispatch(spark, sources, read)
+    return reports.collected_counts(run.counts, run.failures, run.rows.select("place").distinct())
+
+
 @query(FACETED + f"SELECT ord, t AS event_type, (SELECT count(*) FROM f WHERE event_type = t) AS n FROM {sql_values('ord, t', list(enumerate(filters.VOCABULARY['types'])))}")
 def types_endpoint(spark, sf_dir):
     return reports.types(faceted(spark, sf_dir))
