@@ -287,10 +287,19 @@ def classify_composite(spark, sf_dir):
     return listings(spark, sf_dir).select("ord", R.event_type(F.col("title"), F.array().cast("array<string>"), F.col("venue")).alias("type"))
 
 
-@query("SELECT n_nationkey, CASE WHEN lower(n_name) = 'duluth' THEN 'duluth' WHEN r_name = 'ASIA' THEN 'regional' ELSE 'distant' END AS scope FROM nation JOIN region ON n_regionkey = r_regionkey")
+# towns and states as events state them, and how far they are
+TOWNS = [("Duluth", "MN", "duluth"), ("Superior", "WI", "twin-ports"), ("rice lake", "WI", "twin-ports"), ("Two Harbors", "MN", "regional"), ("Ely", "ZZ", "regional"), ("Fargo", "ND", "distant"), ("Madison", "WI", "regional"), ("DULUTH ", "MN", "duluth"), ("", None, "distant"), ("Duluth Township", "MN", "twin-ports")]
+
+
+@query(f"SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'virtual' WHEN i = 9 AND c_custkey // 10 % 2 = 0 THEN CASE r_name WHEN 'ASIA' THEN 'regional' ELSE 'distant' END ELSE scope END AS scope FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN {sql_values('i, scope', [(i, t[2]) for i, t in enumerate(TOWNS)])} ON i = c_custkey % 10")
 def geo_scope(spark, sf_dir):
+    """Every customer in a town dealt by the key, or in its nation in a state by its region."""
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return n.select("n_nationkey", R.geo_scope(F.col("n_name"), F.when(F.col("r_name") == "ASIA", "MN").otherwise("ZZ"), F.lit("unknown")).alias("scope"))
+    c = table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    at, abroad = (F.col("c_custkey") % 10).cast("int"), (F.col("c_custkey") % 10 == 9) & (F.floor(F.col("c_custkey") / 10) % 2 == 0)
+    city = F.when(abroad, F.col("n_name")).otherwise(F.get(F.array(*[F.lit(t) for t, _, _ in TOWNS]), at))
+    state = F.when(abroad, F.when(F.col("r_name") == "ASIA", "MN").otherwise("ZZ")).otherwise(F.get(F.array(*[F.lit(x) for _, x, _ in TOWNS]), at))
+    return c.select("c_custkey", R.geo_scope(city, state, F.when(F.col("c_custkey") % 13 == 0, "virtual").otherwise("unknown")).alias("scope"))
 
 
 def faceted(spark, sf_dir) -> DataFrame:
@@ -333,6 +342,7 @@ _filter("filter_exclude_audience", {"cost": "free,donation"}, "cost_tier IN ('fr
 _filter("filter_corroborated", {"corroborated": "true", "weekend": "yes"}, "ord % 7 = 0 AND weekend")
 _filter("filter_nullsafe", {"homeAway": "home", "notices": "no", "multiDay": ""}, "home_away = 'home' AND NOT notice AND NOT multi_day")
 _filter("filter_place", {"place": "p3", "audience": "kids,all-ages", "geo": "duluth,twin-ports,distant"}, "place_id = 'p3' AND list_has_any(audience, ['kids', 'all-ages'])")
+_filter("filter_in_duluth", {"induluth": "1", "alcohol": "no", "recurring": "false", "admission": "public,restricted"}, "coalesce(region = 'ASIA', false) AND ord % 8 <> 0 AND ord % 9 <> 0 AND ord % 3 = 0")
 _filter("filter_time", {"time": "evening,late-night", "type": "nonsense"}, "h >= 17 OR h < 5")
 
 
@@ -777,12 +787,15 @@ def acronym_match(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", matching.is_acronym(F.lit("gs"), F.split("p_name", " ")).alias("acronym"))
 
 
-_IDS = f"(SELECT DISTINCT p_name AS id, list_sort({_PTOK('p_name')}) AS t FROM part)"
+_IDS = f"(SELECT id, list_sort({_PTOK('id')}) AS t FROM (SELECT p_name AS id FROM part UNION SELECT p_type || ' ' || p_name FROM part UNION SELECT p_type FROM part))"
 
 
 @query(f"SELECT DISTINCT least(a.id, b.id) AS a, greatest(a.id, b.id) AS b FROM {_IDS} a JOIN {_IDS} b ON a.id <> b.id AND list_has_all(b.t, a.t) AND len(a.t) > 0 AND (len(a.t) >= 2 OR len(a.t) = len(b.t))")
 def token_containment_pairs(spark, sf_dir):
-    return matching.containment_pairs(table(spark, sf_dir, "part").select(F.col("p_name").alias("id")).distinct())
+    """Of all names of parts, of types with names, and of types alone."""
+    part = table(spark, sf_dir, "part")
+    ids = part.select(F.col("p_name").alias("id")).union(part.select(F.concat_ws(" ", "p_type", "p_name"))).union(part.select("p_type")).distinct()
+    return matching.containment_pairs(ids)
 
 
 _NORM = lambda x: f"trim(regexp_replace(lower(regexp_replace({x}, '[/-]', ' ', 'g')), '\\s+', ' ', 'g'))"
