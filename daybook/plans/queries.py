@@ -906,7 +906,9 @@ def vevent_xprops(spark, sf_dir):
     return listings(spark, sf_dir).select("ord", emit.x_properties(pairs).alias("x"))
 
 
-@query()
+# no line of these is long enough to be folded
+@query(LISTINGS + r"""SELECT source || ':' || ord AS uid, concat_ws(chr(13) || chr(10), 'BEGIN:VEVENT', 'UID:' || source || ':' || ord, 'DTSTART:' || strftime(start_ts, '%Y%m%dT%H%M%SZ'), 'DTEND:' || strftime(end_ts, '%Y%m%dT%H%M%SZ'), 'SUMMARY:' || replace(replace(title, ';', '\;'), ',', '\,'),
+  'DESCRIPTION:— Details —\nSource: ' || source, 'LOCATION:' || venue || '\, ' || region, 'CATEGORIES:' || event_type, 'STATUS:CONFIRMED', 'END:VEVENT') AS ics FROM listings""".replace("\\\\", "\\"))
 def vevent_text(spark, sf_dir):
     x = listings(spark, sf_dir)
     rows = x.select(F.concat("source", F.lit(":"), F.col("ord").cast("string")).alias("uid"), "title", "start_ts", "end_ts", F.lit(False).alias("all_day"), emit.description(F.lit(""), [("Source", F.col("source"))]).alias("description"), F.concat_ws(", ", "venue", "region").alias("location"), F.array("event_type").alias("categories"), F.lit("confirmed").alias("status"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("rrule"), F.lit("").alias("x"))
