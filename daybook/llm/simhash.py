@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from daybook.llm.common import arrow_map, cut_lineage, plain_names, stored
+from daybook.llm.common import arrow_map, cut_lineage, drop_stored, plain_names, stored
 from daybook.llm.graph import connected_components
 
 SEED = 42
@@ -57,6 +57,10 @@ WIDE_WORDS = 16
 WIDE_BLOCK_BITS = 20
 #: Standard deviations above the mean distance that candidates may have; all of them are verified.
 DEVIATIONS = 8
+#: Words of a wide fingerprint that are compared before a pair becomes a row.
+SKETCH_WORDS = 2
+#: Turns in which blocks of wide fingerprints are filed; what a turn files is deleted at its end.
+ROUNDS = 3
 #: Buckets of more distinct fingerprints than this are split, not paired off.
 PAIRED_BUCKET = 32
 #: Members of a salted part of a large bucket of wide fingerprints.
@@ -142,6 +146,18 @@ def wide_limit(similarity: float) -> int:
     return int(n * share + DEVIATIONS * math.sqrt(n * share * (1 - share)))
 
 
+def sketch_limit(limit: int) -> int:
+    """Differing bits of ``SKETCH_WORDS`` words that go with ``limit`` in all of them: their share and ``DEVIATIONS``.
+
+    The share is that of which ``limit`` is ``DEVIATIONS`` above the mean.
+    """
+    n, m = 64 * WIDE_WORDS, 64 * SKETCH_WORDS
+    # limit = n p + DEVIATIONS sqrt(n p (1 - p)), solved for p
+    mean, over = limit / n, DEVIATIONS**2 / n
+    share = (2 * mean + over - math.sqrt(max(0.0, (2 * mean + over) ** 2 - 4 * (1 + over) * mean**2))) / (2 * (1 + over))
+    return int(m * share + DEVIATIONS * math.sqrt(m * share * (1 - share)))
+
+
 def alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The ``pairs`` of doc_ids whose sets of shingles have this Jaccard similarity at least."""
     pairs = cut_lineage(pairs)
@@ -163,17 +179,31 @@ def alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float, id_c
 def wide_edges(nodes: DataFrame, limit: int, verify: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
     """Verified edges ``src, dst`` between rows ``doc, fp, blocks`` of distinct fingerprints.
 
-    Their components are those of all pairs that share a block and are within the limit and pass ``verify``.
+    Their components are those of all pairs that share a block and are within the limit and pass ``verify``. Blocks are
+    filed in ``ROUNDS`` turns, each of which leaves only its pairs. ``SKETCH_WORDS`` words of the fingerprints ride along, and a
+    pair becomes a row only if they are as near, with as many deviations, as the limit asks of the whole ones.
     """
-    filed = nodes.select("doc", F.posexplode("blocks").alias("part", "key"))
-    drawn = F.min(F.struct(F.xxhash64("doc", "part").alias("order"), "doc"))
-    sizes = filed.groupBy("part", "key").agg(F.count("*").alias("size"), F.min("doc").alias("first"), drawn.alias("drawn")).filter("size > 1")
-    held = cut_lineage(filed.join(sizes, ["part", "key"]).select("part", "key", "doc", "size", "first", F.col("drawn.doc").alias("drawn")))
-    few, many = held.filter(F.col("size") <= PAIRED_BUCKET), held.filter(F.col("size") > PAIRED_BUCKET)
-    a, b = few.select("part", "key", F.col("doc").alias("src")), few.select("part", "key", F.col("doc").alias("dst"))
-    pairs = a.join(b, ["part", "key"]).filter("src < dst").select("src", "dst")
-    stars = many.select(F.explode(F.array("first", "drawn")).alias("x"), "doc").filter("x != doc").select(F.least("x", "doc").alias("src"), F.greatest("x", "doc").alias("dst"))
-    met = verify(within(pairs.union(stars).distinct(), nodes, limit))
+    n_blocks, sketch = 2 * (64 * WIDE_WORDS // WIDE_BLOCK_BITS), [f"s{i}" for i in range(SKETCH_WORDS)]
+    step, found, crowds = -(-n_blocks // ROUNDS), [], []
+    for start in range(0, n_blocks, step):
+        blocks = F.posexplode(F.slice("blocks", start + 1, step)).alias("part", "key")
+        # words that hold none of the runs of this turn, which agree in any case
+        at = 0 if start else WIDE_WORDS - SKETCH_WORDS
+        filed = nodes.select("doc", *[F.get("fp", at + i).alias(s) for i, s in enumerate(sketch)], blocks).withColumn("part", F.col("part") + start)
+        drawn = F.min(F.struct(F.xxhash64("doc", "part").alias("order"), "doc"))
+        sizes = filed.groupBy("part", "key").agg(F.count("*").alias("size"), F.min("doc").alias("first"), drawn.alias("drawn")).filter("size > 1")
+        held = stored(filed.join(sizes, ["part", "key"]).select("part", "key", "doc", *sketch, "size", "first", F.col("drawn.doc").alias("drawn")))
+        few, many = held.filter(F.col("size") <= PAIRED_BUCKET), held.filter(F.col("size") > PAIRED_BUCKET)
+        x, y = (few.select("part", "key", F.col("doc").alias(end), *[F.col(s).alias(f"{s}_{end}") for s in sketch]) for end in ("src", "dst"))
+        bits = reduce(lambda p, q: p + q, [distance(F.col(f"{s}_src"), F.col(f"{s}_dst")) for s in sketch])
+        near = (F.col("src") < F.col("dst")) & (bits <= sketch_limit(limit))
+        pairs = x.join(y, (x["part"] == y["part"]) & (x["key"] == y["key"]) & near).select("src", "dst")
+        stars = many.select(F.explode(F.array("first", "drawn")).alias("x"), "doc").filter("x != doc").select(F.least("x", "doc").alias("src"), F.greatest("x", "doc").alias("dst"))
+        found.append(stored(pairs.union(stars).distinct()))
+        crowds.append(stored(many.select("part", "key", "doc", "size")))
+        drop_stored(held)
+    many = reduce(DataFrame.union, crowds)
+    met = verify(within(reduce(DataFrame.union, found).distinct(), nodes, limit))
     if many.isEmpty():
         return met
     met = cut_lineage(met)
@@ -206,8 +236,8 @@ def unmet(many: DataFrame, roots: DataFrame) -> DataFrame:
 
 def copies(df: DataFrame, width: int = 5, min_similarity: float = 0.8, **columns: str) -> DataFrame:
     """``doc_id, root`` of the documents that are near copies of an earlier one, the root of their group."""
-    fps = cut_lineage(wide_fingerprints(df, width, **columns).filter("doc_id IS NOT NULL"))
-    nodes = cut_lineage(fps.groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("blocks").alias("blocks")))
+    fps = stored(wide_fingerprints(df, width, **columns).filter("doc_id IS NOT NULL"))
+    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("doc"), F.first("blocks").alias("blocks")))
     roots = connected_components(wide_edges(nodes, wide_limit(min_similarity), lambda pairs: alike(pairs, df, width, min_similarity, **columns)))
     placed = nodes.select("fp", "doc").join(roots, F.col("doc") == F.col("node"), "left").select("fp", F.coalesce("root", "doc").alias("root"))
     return fps.select("doc_id", "fp").join(placed, "fp").filter("doc_id != root").select("doc_id", "root").distinct()

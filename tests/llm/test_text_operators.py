@@ -418,3 +418,17 @@ def test_ratio_of_uniforms_has_the_library_law():
     theirs = rng.hypergeometric(60, 140, 50, 4000)
     assert abs(np.mean(own) - 15) < 0.2 and abs(np.std(own) - np.std(theirs)) < 0.2 and min(own) >= 0 and max(own) <= 50
     assert abs(sharding.hypergeometric_by_ratio(rng, 4 * 10**9, 6 * 10**9, 10**6) - 400_000) < 5_000
+
+
+def test_far_fingerprints_of_one_block_make_no_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    bits = rng.integers(0, 2, (31, 1024)).astype(np.uint8)
+    bits[:, :20] = 1
+    bits[30] = bits[29]
+    bits[30, rng.choice(np.arange(20, 1024), 150, replace=False)] ^= 1
+    rows = [(i, np.packbits(b, bitorder="little").view("<i8").tolist(), simhash.wide_blocks(b).tolist()) for i, b in enumerate(bits)]
+    nodes, within, seen = spark.createDataFrame(rows, "doc long, fp array<long>, blocks array<int>"), simhash.within, []
+    monkeypatch.setattr(simhash, "within", lambda pairs, *rest: seen.append(pairs.count()) or within(pairs, *rest))
+    assert [(r.src, r.dst) for r in simhash.wide_edges(nodes, simhash.wide_limit(0.8)).collect()] == [(29, 30)]
+    # all 465 pairs share a block; few of them are as near in the first words
+    assert seen[0] <= 40
