@@ -69,27 +69,29 @@ def tiered_matches(targets: DataFrame, gazetteer: DataFrame, tiers: list[tuple[s
     a = targets.select("target", "is_local", tokens(F.col("name")).alias("ta"), T.venue_key(F.col("name")).alias("short"))
     open_ = gazetteer.filter(~F.coalesce("closed", F.lit(False)))
     b = open_.select("candidate", "tier", "lat", "lon", tokens(F.col("name")).alias("tb")).withColumn("initials", F.array_join(F.transform("tb", lambda w: F.left(w, F.lit(1))), ""))
-    by_word = a.withColumn("w", F.explode("ta")).join(b.withColumn("w", F.explode("tb")), "w").drop("w")
+    # a pair is met at the first word that both have
+    by_word = a.withColumn("w", F.explode("ta")).join(b.withColumn("w", F.explode("tb")), "w").filter(F.col("w") == F.get(F.array_intersect("ta", "tb"), 0)).drop("w")
     # an acronym stands in the initials of a name: its windows of two to six letters are the key
-    windows = F.explode(F.flatten(F.transform(F.sequence(F.lit(2), F.lit(6)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("initials") - n + 1, F.lit(1))), lambda i: F.substr("initials", i, n)))))
-    by_initials = a.filter(F.col("short").rlike("^[a-z]{2,6}$")).join(b.withColumn("short", windows), "short").select(*by_word.columns)
+    windows = F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(2), F.lit(6)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("initials") - n + 1, F.lit(1))), lambda i: F.substr("initials", i, n))))))
+    by_initials = a.filter(F.col("short").rlike("^[a-z]{2,6}$")).join(b.withColumn("short", windows), "short").filter(~F.arrays_overlap("ta", "tb")).select(*by_word.columns)
     both = F.size(F.array_intersect("ta", "tb"))
     jaccard = both / (F.size("ta") + F.size("tb") - both)
     score = F.greatest(jaccard, F.when(is_acronym(F.col("short"), F.col("tb")), 0.9).otherwise(0.0))
-    pairs = by_word.union(by_initials).select("target", "is_local", "candidate", "tier", "lat", "lon", score.alias("score")).distinct()
-    held = targets.select("target").withColumns({"candidate": F.lit(None).cast(gazetteer.schema["candidate"].dataType), "best_tier": F.lit(None).cast("string"), "best": F.lit(0.0), "n_best": F.lit(0).cast("long")})
+    scored = by_word.union(by_initials).select("target", "tier", "candidate", "lat", "lon", score.alias("top"))
+    # a row for each target, tier and score: the best of each tier is all that the turns below read
+    offers = scored.groupBy("target", "tier", "top").agg(F.min(F.struct("candidate", "lat", "lon")).alias("x"), F.count_distinct(F.struct("candidate", "lat", "lon")).alias("n_top"))
+    best = offers.groupBy("target", "tier").agg(F.max(F.struct("top", "x", "n_top")).alias("best"))
+    best = kept(best.select("target", "tier", "best.top", "best.x", "best.n_top"), "offers")
+    held = targets.select("target", F.coalesce("is_local", F.lit(False)).alias("is_local")).withColumns({"candidate": F.lit(None).cast(gazetteer.schema["candidate"].dataType), "best_tier": F.lit(None).cast("string"), "best": F.lit(0.0), "n_best": F.lit(0).cast("long")})
     for name, local_only, (south, west, north, east) in tiers:
-        mine = pairs.filter((F.col("tier") == name) & (F.col("is_local") | F.lit(not local_only)))
-        top = mine.groupBy("target").agg(F.max("score").alias("top"))
-        first = F.min(F.struct("candidate", "lat", "lon")).alias("x")
-        offer = mine.join(top, "target").filter("score = top").groupBy("target", "top").agg(first, F.count("*").alias("n_top"))
+        offer = best.filter(F.col("tier") == name).select("target", "top", "x", "n_top")
         met = held.join(offer, "target", "left")
-        tried = (F.col("best") < STRONG) & F.col("top").isNotNull()
+        tried = (F.col("best") < STRONG) & F.col("top").isNotNull() & (F.col("is_local") | F.lit(not local_only))
         better = F.coalesce(tried & (F.col("top") > F.col("best")), F.lit(False))
         level = F.coalesce(tried & (F.col("top") == F.col("best")), F.lit(False))
         outside = better & ~F.coalesce(F.col("x.lat").between(south, north) & F.col("x.lon").between(west, east), F.lit(False))
         held = met.select(
-            "target", F.when(outside, F.lit(None)).when(better, F.col("x.candidate")).otherwise(F.col("candidate")).alias("candidate"), F.when(outside, F.lit(None)).when(better, F.lit(name)).otherwise(F.col("best_tier")).alias("best_tier"),
+            "target", "is_local", F.when(outside, F.lit(None)).when(better, F.col("x.candidate")).otherwise(F.col("candidate")).alias("candidate"), F.when(outside, F.lit(None)).when(better, F.lit(name)).otherwise(F.col("best_tier")).alias("best_tier"),
             F.when(outside, 0.0).when(better, F.col("top")).otherwise(F.col("best")).alias("best"), F.when(outside, 0).when(better, F.col("n_top")).when(level, F.col("n_best") + F.col("n_top")).otherwise(F.col("n_best")).cast("long").alias("n_best"),
         )
     return held.filter("candidate IS NOT NULL").select("target", "candidate", F.col("best_tier").alias("tier"), F.col("best").alias("score"), (F.col("n_best") > 1).alias("tied"))

@@ -21,3 +21,12 @@ def test_best_matches_equal_brute_force(spark):
             tier, c = min((tier, c) for s, tier, c in scored if s == top)
             want[t] = (c, tier, round(top, 9), sum(s == top for s, _, _ in scored) > 1)
     assert got == want
+
+
+def test_tiers_are_tried_on_a_row_for_each_target(spark, monkeypatch):
+    parts = spark.createDataFrame([(i, f"w{i % 5} hall", "open", 45.0, -92.0, False) for i in range(200)], "candidate long, name string, tier string, lat double, lon double, closed boolean")
+    targets = spark.createDataFrame([("a", "w1 hall", True), ("b", "w2", True)], "target string, name string, is_local boolean")
+    kept, sizes = matching.kept, []
+    monkeypatch.setattr(matching, "kept", lambda df, kind: sizes.append(df.count()) or kept(df, kind))
+    found = {r.target: (r.candidate, r.score, r.tied) for r in matching.tiered_matches(targets, parts, [("open", True, (40.0, -95.0, 50.0, -90.0))]).collect()}
+    assert found == {"a": (1, 1.0, True), "b": (2, 0.5, True)} and sizes == [2]
