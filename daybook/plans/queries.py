@@ -736,7 +736,7 @@ def fuzzy_key_tokens(spark, sf_dir):
 
 @query(f"SELECT a.doc_id, round({_JAC('ta', 'tb')}, 6) AS similarity FROM (SELECT doc_id, {_TOK('text')} AS ta FROM documents) a JOIN (SELECT doc_id, {_TOK('text')} AS tb FROM documents) b ON a.doc_id + 1 = b.doc_id")
 def title_jaccard(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", T.title_tokens(F.col("text")).alias("t"))
+    d = shared.kept(table(spark, sf_dir, "documents").select("doc_id", T.title_tokens(F.col("text")).alias("t")), "titles")
     a, b = d.select("doc_id", F.col("t").alias("ta")), d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("t").alias("tb"))
     return a.join(b, "doc_id").select("doc_id", F.round(T.jaccard(F.col("ta"), F.col("tb")), 6).alias("similarity"))
 
