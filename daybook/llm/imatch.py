@@ -119,17 +119,17 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def with_range(rows: DataFrame, key: Column, bounds: list[int], name: str) -> DataFrame:
-    """``rows`` with the number of the sorted bounds that are at most ``key``, by binary search.
+    """``rows`` with the number of the sorted bounds that are at most ``key``: the key's place among them.
 
-    A step is a column, not a lambda's result: plans with lambdas are never taken
-    as equal, and the shuffle of the texts could not be used twice.
+    It is one expression that names no other column than the key's: a chain of steps, each of which names the one before
+    more than once, is written out by the optimiser, and grows with the bounds. Nor has it lambdas: plans with lambdas are
+    never taken as equal, and the shuffle of the texts could not be used twice.
     """
-    found, n = rows.withColumn(name, F.lit(0)), len(bounds)
-    listed = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
-    for step in reversed(range(n.bit_length())):
-        at = F.col(name) + (1 << step)
-        found = found.withColumn(name, F.when((at <= n) & (F.get(listed, F.least(at, F.lit(n)) - 1) <= key), at).otherwise(F.col(name)))
-    return found
+    always = sum(b <= NO_ID for b in bounds)
+    # a bound is at most the key if the number before it is below it
+    below = F.split(F.lit(",".join(str(b - 1) for b in bounds[always:])), ",").cast("array<bigint>") if len(bounds) > always else F.array().cast("array<bigint>")
+    place = F.array_position(F.sort_array(F.concat(below, F.array(key))), key)
+    return rows.withColumn(name, (F.coalesce(place, F.lit(1)) + (always - 1)).cast("int"))
 
 
 def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:

@@ -1,6 +1,7 @@
 """Small fixtures against brute force, round trips and held-out rows."""
 
 import base64
+import bisect
 import hashlib
 import random
 import time
@@ -181,6 +182,19 @@ def test_warc_round_trip(spark):
 # fingerprints
 
 
+def test_ranges_are_places_and_plans_do_not_grow(spark):
+    rng = random.Random(9)
+    ends = [imatch.NO_ID, imatch.NO_ID + 1, 2**63 - 1]
+    for n in (0, 1, 750):
+        bounds = sorted({*rng.sample(range(-500, 5000), n), *(ends if n == 750 else [])})
+        keys = [*ends, *range(-600, 5100, 7), *bounds]
+        df = imatch.with_range(spark.createDataFrame([(k,) for k in keys], "k long"), F.col("k"), bounds, "part")
+        assert all(r.part == bisect.bisect_right(bounds, r.k) for r in df.collect())
+        # the optimiser writes a chain of columns out into one expression
+        assert df._jdf.queryExecution().analyzed().toString().count("Project") == 1
+    assert imatch.with_range(spark.range(1), F.col("id"), [imatch.NO_ID], "part").first().part == 1
+
+
 def test_imatch_contract_and_likeness(spark):
     texts = [*invented(40, seed=6, words=80), *ODD]
     texts[5] = texts[4]
