@@ -52,7 +52,7 @@ def _with_plus(text: Column) -> Column:
 def band(text: Column) -> Column:
     """struct ``min_age, max_age``: a range, else an upper, else a lower bound, else a bare ``21+``."""
     text = F.coalesce(text, F.lit(""))
-    after = F.regexp_extract_all(text, F.lit(rf"(?is)(?<![a-z0-9_])(?=ages?\s+(\d.{{0,{REACH}}}))"), F.lit(1))
+    after = F.regexp_extract_all(text, F.lit(rf"(?is)(?=ages?\s+(\d.{{0,{REACH}}}))(?<![a-z0-9_])"), F.lit(1))
     read = F.struct(F.transform(after, _statement).alias("said"), _with_plus(text).alias("bare"))
 
     def of(x: Column) -> Column:

@@ -40,15 +40,30 @@ def located(events: DataFrame, registry: DataFrame) -> DataFrame:
     return named.withColumn("place_name", F.coalesce("registered_name", F.when(F.col("outcome") == "provisional", F.col("venue_name")))).drop("lead", "venue_clean", "registered_name")
 
 
+def heard(events: DataFrame) -> DataFrame:
+    """The whole text and the phrases said in it, in title and categories, and in the title: each text is cleaned and searched once.
+
+    Without a description title and categories are the whole text; without categories too the title is, if cleaning
+    changes no more than white space that phrases take for a space.
+    """
+    title, categories = F.col("title"), F.col("categories")
+    read = events.withColumn("hay_", T.haystack(title, F.col("description"), categories)).withColumn("said_", R.said_in(F.col("hay_")))
+    short = F.col("description").isNull()
+    as_it_stands = short & (F.size(categories) == 0) & ~title.rlike(T.CHANGED_BY_CLEANING)
+    return read.withColumns({
+        "type_said_": F.when(short, F.col("said_")).otherwise(R.said_in(T.clean_text(F.concat_ws(" ", title, F.array_join(categories, " "))))),
+        "title_said_": F.when(as_it_stands, F.col("said_")).otherwise(R.said_in(title)),
+    })
+
+
 def facets(events: DataFrame) -> DataFrame:
-    """Every facet, from what the event says and where and when it is; needs ``located`` and an event type."""
+    """Every facet, from what the event says and where and when it is; needs ``located``, ``heard`` and an event type."""
     hay, cats, venue, title = (F.col(c) for c in ("hay_", "cats_", "venue_", "title"))
     read = events.withColumns({
-        "hay_": T.haystack(F.col("title"), F.col("description"), F.col("categories")), "cats_": T.normal_categories(F.col("categories")),
+        "cats_": T.normal_categories(F.col("categories")),
         "venue_": T.clean_text(F.concat_ws(", ", *[F.nullif(F.col(c), F.lit("")) for c in ("place_name", "venue_raw", "city")])),
     })
-    # each text is searched for phrases once, in a step of its own
-    read = read.withColumns({"said_": R.said_in(hay), "venue_said_": R.said_in(venue), "title_said_": R.said_in(title), "band_": R.age_band(hay)})
+    read = read.withColumns({"venue_said_": R.said_in(venue), "band_": R.age_band(hay)})
     said, there, titled = (F.col(c) for c in ("said_", "venue_said_", "title_said_"))
     read = read.withColumn("setting", R.setting(hay, venue, said, there))
     zone = X.safe_timezone(F.col("zone"))
@@ -75,9 +90,8 @@ def finalize(events: DataFrame, registry: DataFrame) -> DataFrame:
     """
     plain = with_optional(events, OPTIONAL).withColumns({"title": F.coalesce("title", F.lit("")), "categories": F.coalesce("categories", F.array().cast("array<string>"))})
     placed = located(plain, registry)
-    heard = placed.withColumn("type_said_", R.said_in(T.clean_text(F.concat_ws(" ", F.col("title"), F.array_join("categories", " ")))))
     by_rule = R.event_type(F.col("title"), F.col("categories"), F.coalesce("place_name", "venue_raw", F.lit("")), said=F.col("type_said_"))
-    typed = heard.withColumn("event_type", F.when(F.col("event_type") != "other", F.col("event_type")).otherwise(by_rule))
+    typed = heard(placed).withColumn("event_type", F.when(F.col("event_type") != "other", F.col("event_type")).otherwise(by_rule))
     day = lambda c: F.date_format(X.local(F.col(c), X.safe_timezone(F.col("zone"))), "yyyy-MM-dd")
     tagged = facets(typed.withColumn("multi_day", X.is_multi_day(day("start_ts"), day("end_ts"))))
     said = tagged.withColumns({

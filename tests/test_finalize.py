@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 import __spark_entry__
+from daybook.functions import rules as R
+from daybook.functions import text as T
 from daybook.functions import timex as X
 from daybook.operators import emit, finalize, matching, reports
 from daybook.plans import queries
@@ -46,6 +48,26 @@ def test_finalize_places_types_and_backfills(spark):
     assert (empty.place_id, empty.weekend, empty.multi_day, empty.age) == (None, None, False, None)
 
 
+def test_texts_are_searched_once(spark, monkeypatch):
+    titles = ["Postponed: band vs Tech", " city\tcouncil\n at  noon ", "new\u00a0date", "new&nbsp;date", "open\u2003house", "\ufeffvs ", "no & fee", ""]
+    rows = [(i, t, d, c) for i, (t, d, c) in enumerate((t, d, c) for t in titles for d in (None, "", "all ages, no\u00a0class") for c in ([], ["final exam"]))]
+    df = spark.createDataFrame(rows, "i int, title string, description string, categories array<string>")
+    t, c = F.col("title"), F.col("categories")
+    whole, head = T.haystack(t, F.col("description"), c), T.clean_text(F.concat_ws(" ", t, F.array_join(c, " ")))
+    plain = df.select("i", whole.alias("hay_"), *[R.said_in(x).alias(n) for n, x in (("said_", whole), ("type_said_", head), ("title_said_", t))])
+    assert sorted(finalize.heard(df).select(plain.columns).collect()) == sorted(plain.collect())
+    search, before = R.said_in, []
+
+    # the venue's text and the whole one are searched, of which no other search may find the title
+    def once(text):
+        before.append(text)
+        again = F.raise_error(F.lit("searched again")).cast("array<string>")
+        return F.when(F.contains(text, F.lit("Postponed")), again).otherwise(search(text)) if len(before) > 2 else search(text)
+
+    monkeypatch.setattr(R, "said_in", once)
+    assert finals(spark, event(title="Postponed: band"))[0].status == "tentative"
+
+
 def test_finalize_of_no_events(spark):
     assert finalize.finalize(mappers.canonical(spark.createDataFrame([], EVENT)), spark.createDataFrame([], REGISTRY)).count() == 0
 
