@@ -57,10 +57,11 @@ WIDE_WORDS = 16
 WIDE_BLOCK_BITS = 20
 #: Standard deviations above the mean distance that candidates may have; all of them are verified.
 DEVIATIONS = 8
-#: Words of a wide fingerprint that are compared before a pair becomes a row.
-SKETCH_WORDS = 2
+#: Words of a wide fingerprint that are compared before a pair becomes a row. Random pairs differ in half of their bits, the
+#: limit for four words is some five deviations below that; for two it was two, and the rows grew with the square of the documents.
+SKETCH_WORDS = 4
 #: Turns in which blocks of wide fingerprints are filed; what a turn files is deleted at its end.
-ROUNDS = 3
+ROUNDS = 4
 #: Buckets of more distinct fingerprints than this are split, not paired off.
 PAIRED_BUCKET = 32
 #: Members of a salted part of a large bucket of wide fingerprints.

@@ -182,6 +182,12 @@ def test_warc_round_trip(spark):
 # fingerprints
 
 
+def test_random_fingerprints_are_no_rows():
+    # a random pair differs in half of the bits, with a deviation of half the root of their number
+    n = 64 * simhash.SKETCH_WORDS
+    assert n / 2 - simhash.sketch_limit(simhash.wide_limit(0.8)) >= 5 * n**0.5 / 2
+
+
 def test_ranges_are_places_and_plans_do_not_grow(spark):
     rng = random.Random(9)
     ends = [imatch.NO_ID, imatch.NO_ID + 1, 2**63 - 1]
