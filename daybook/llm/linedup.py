@@ -26,8 +26,8 @@ Groups of near-equal sets, whose pairs grow with the square, are counted without
 row for each pair: where two sets of a group differ from its middle in so few words
 that they must match, their links are counted by that number of words. Only
 the other pairs are joined and verified, so every link counts and none counts twice.
-What is left is a row for each pair of one group that does not match for certain but
-passes all filters.
+What is left of one group is a row for each link that is not certain: the words by which
+sets differ from the middle ride along, and other pairs do not leave the join.
 
 Sets are told apart by 64-bit hashes: among n different sets some n^2 / 2^65 pairs
 are taken for equal. The rarity counters fill up in a corpus of more than 2^16 words;
@@ -56,6 +56,8 @@ HASH_MASK = (1 << 56) - 1
 JOIN_SHIFT = 23
 #: Near-equal sets from which on a group counts its certain links together.
 CROWD = 16
+#: A set joins a group if it is apart from its middle by so many times the words by which two matching sets may be.
+REACH = 1.5
 #: Words from which on a set has a finer parity map: a map of 64 bits says little of more.
 LONG_SET = 80
 OTHER_SPACE = "\t\x0b\x0c\r"
@@ -127,18 +129,18 @@ def postings(sets: DataFrame) -> DataFrame:
     told = sets.withColumn("words", F.transform(counted, lambda k: F.shiftright(k, JOIN_SHIFT)))
     # words that are not counted come first in a prefix
     skipped = F.size("prefix") - F.size("words")
-    at_words = told.select("h", "size", "parity", "c", "v", "finer", "words", skipped.alias("skipped"), F.posexplode("words").alias("i", "word"))
+    at_words = told.select("h", "size", "parity", "c", "v", "finer", "apart", "words", skipped.alias("skipped"), F.posexplode("words").alias("i", "word"))
     before = F.when(F.col("c") != 0, F.slice("words", F.lit(1), F.col("i")))
-    return at_words.select("h", "size", "parity", "c", "v", "finer", (F.col("skipped") + F.col("i")).alias("at"), "word", before.alias("before"))
+    return at_words.select("h", "size", "parity", "c", "v", "finer", "apart", (F.col("skipped") + F.col("i")).alias("at"), "word", before.alias("before"))
 
 
 def candidates(held: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs ``a < b`` of sets that pass all filters and whose match is not certain by their group.
+    """Distinct pairs ``a < b`` of sets that pass all filters and whose match is not certain by their group; those of one group match.
 
     The words of a prefix ascend, so a pair that shares an earlier word has met there, with the earlier place that the
     positional filter asks for; words told alike by mistake only make that filter milder.
     """
-    x, y = (held.select("word", *[F.col(k).alias(f"{k}_{side}") for k in ("h", "size", "parity", "at", "c", "v", "finer", "before")]) for side in "ab")
+    x, y = (held.select("word", *[F.col(k).alias(f"{k}_{side}") for k in ("h", "size", "parity", "at", "c", "v", "finer", "before", "apart")]) for side in "ab")
     both = F.col("size_a") + F.col("size_b")
     length = (F.col("size_a") * den >= F.col("size_b") * num) & (F.col("size_b") * den >= F.col("size_a") * num)
     rest = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
@@ -146,7 +148,8 @@ def candidates(held: DataFrame, num: int, den: int) -> DataFrame:
     few = lambda bits: bits * (num + den) <= both * (den - num)
     parity = few(F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))))
     finer = few(reduce(lambda p, q: p + q, [F.bit_count(F.get("finer_a", i).bitwiseXOR(F.get("finer_b", i))) for i in range(4)]))
-    open_ = (F.col("c_a") == 0) | (F.col("c_a") != F.col("c_b")) | (F.col("v_a") + F.col("v_b") > 0)
+    v, alike = F.col("v_a") + F.col("v_b"), F.size(F.array_intersect("apart_a", "apart_b"))
+    open_ = (F.col("c_a") == 0) | (F.col("c_a") != F.col("c_b")) | ((v > 0) & (v <= 2 * (num + den) * alike))
     first = ~F.coalesce(F.arrays_overlap("before_a", "before_b"), F.lit(False))
     return x.join(y, "word").filter((F.col("h_a") < F.col("h_b")) & length & parity & positional & open_ & F.coalesce(finer, F.lit(True)) & first).select(F.col("h_a").alias("a"), F.col("h_b").alias("b")).distinct()
 
@@ -218,19 +221,24 @@ def anchors(prefix: Column) -> Column:
 
 
 def groups(prepared: Prepared) -> DataFrame:
-    """``h, first, c, finer, v``: sets in groups of ``CROWD`` or more near-equal ones; c stands for the words that most sets of the group hold.
+    """``h, first, c, finer, v, apart``: sets in groups of ``CROWD`` or more near-equal ones; c stands for the words that most sets of the group hold.
 
-    v is ``(num + den) * d - (den - num) * size``, d the number of words that only one of the set and those words has:
-    as two sets of a group differ in the sum of their d at most, they match for certain if their v add up to 0 or less.
+    apart are the words that only one of the set and those words has, and v is ``(num + den) * d - (den - num) * size``, d
+    their number: as two sets of a group differ in the sum of their d at most, they match for certain if their v add up
+    to 0 or less, and otherwise if the sum is at most ``2 * (num + den)`` for each word that both are apart by.
 
     How sets come to their group is by estimates on parity maps and changes no result: sets with an
     anchor in common vote on each bit; the one nearest to the majority is the anchor's middle, and a set takes that of
-    its middles which most sets are near to. Groups with the same common words are one.
+    its middles which most sets are near to. Then all sets that share a word of their prefix with the middle of a large group
+    and may be within ``REACH`` of it join the group. Groups with the same common words are one.
     """
     sets, num, den = prepared.sets, prepared.num, prepared.den
-    tagged = sets.select("h", "size", "parity", F.explode(anchors(F.col("prefix"))).alias("anchor")).filter("anchor IS NOT NULL")
+    # kept, as it is read for the counts and for the rows
+    marked = stored(sets.select("h", "size", "parity", anchors(F.col("prefix")).alias("anchors")))
+    tagged = marked.select("h", "size", "parity", F.explode("anchors").alias("anchor")).filter("anchor IS NOT NULL")
     crowded = tagged.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") >= CROWD).select("anchor")
     tagged = stored(tagged.join(crowded, "anchor"))
+    drop_stored(marked)
     bit = lambda i: F.lit(1 << i if i < 63 else -(1 << 63))
     votes = tagged.groupBy("anchor").agg(*[F.sum(F.when(F.col("parity").bitwiseAND(bit(i)) != 0, 1).otherwise(-1)).alias(f"b{i}") for i in range(64)])
     majority = votes.select("anchor", reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.col(f"b{i}") > 0, bit(i)).otherwise(F.lit(0)) for i in range(64)]).alias("majority"))
@@ -243,15 +251,24 @@ def groups(prepared: Prepared) -> DataFrame:
     # a middle may itself be nearer to a larger group: its sets follow it
     follow = chosen.select(F.col("h").alias("c"), F.col("c").alias("to"))
     led = chosen.join(follow, "c", "left").select("h", F.coalesce("to", "c").alias("c"))
-    large = led.groupBy("c").agg(F.count("*").alias("n")).filter(F.col("n") >= CROWD)
-    members = stored(led.join(large, "c").select("h", "c", "n"))
+    large = led.groupBy("c").agg(F.count("*").alias("weight")).filter(F.col("weight") >= CROWD)
+    centres = stored(sets.withColumnRenamed("h", "c").join(large, "c").select("c", "weight", *[F.col(k).alias(f"c_{k}") for k in ("size", "parity", "finer")], F.explode("prefix").alias("word")))
+    shared = among(sets.select("h", "size", "parity", "finer", F.explode("prefix").alias("word")), centres, centres.count(), "word").join(centres, "word")
+    both = F.col("size") + F.col("c_size")
+    reached = lambda apart: apart * (num + den) <= REACH * (den - num) * both
+    finely = reached(reduce(lambda p, q: p + q, [F.bit_count(F.get("finer", i).bitwiseXOR(F.get("c_finer", i))) for i in range(4)]))
+    may = reached(F.abs(F.col("size") - F.col("c_size"))) & reached(F.bit_count(F.col("parity").bitwiseXOR(F.col("c_parity")))) & F.coalesce(finely, F.lit(True))
+    joined = stored(shared.filter(may).groupBy("h").agg(F.max(F.struct(likely.alias("likely"), "weight", "c")).alias("x")).select("h", "x.c"))
+    members = joined.join(joined.groupBy("c").agg(F.count("*").alias("n")).filter(F.col("n") >= CROWD), "c")
     whole = prepared.whole(members)
     met = stored(members.join(whole, "h"))
     common = met.select("c", "n", F.explode("keys").alias("word")).groupBy("c", "n", "word").count().filter(2 * F.col("count") > F.col("n"))
     middle = common.groupBy("c").agg(F.array_sort(F.collect_list("word")).alias("words"))
-    d = F.size("keys") + F.size("words") - 2 * F.size(F.array_intersect("keys", "words"))
-    out = stored(met.join(middle, "c").select("h", "first", F.xxhash64("words").alias("c"), finer_parity_map(F.col("keys")).alias("finer"), ((num + den) * d - (den - num) * F.size("keys")).alias("v")))
-    drop_stored(tagged, near, chosen, members, whole, met)
+    apart = F.concat(F.array_except("keys", "words"), F.array_except("words", "keys"))
+    placed = met.join(middle, "c").select("h", "first", "words", "keys", apart.alias("apart")).filter(F.size("apart") * (num + den) <= REACH * (den - num) * (F.size("keys") + F.size("words")))
+    v = (num + den) * F.size("apart") - (den - num) * F.size("keys")
+    out = stored(placed.select("h", "first", F.xxhash64("words").alias("c"), finer_parity_map(F.col("keys")).alias("finer"), v.alias("v"), "apart"))
+    drop_stored(tagged, near, chosen, centres, joined, whole, met)
     return out
 
 
@@ -271,8 +288,8 @@ def certain(grouped: DataFrame) -> DataFrame:
 def fates(prepared: Prepared) -> DataFrame:
     """``h, n_links, later`` of every set that matches another: with how many, and whether one of them is earlier."""
     grouped = groups(prepared)
-    in_group = grouped.select("h", "c", "v", F.col("finer").alias("of_member"))
-    placed = prepared.sets.join(in_group, "h", "left").select("h", "size", "parity", "prefix", F.coalesce("of_member", "finer").alias("finer"), F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("v", F.lit(0)).alias("v"))
+    in_group = grouped.select("h", "c", "v", F.col("finer").alias("of_member"), "apart")
+    placed = prepared.sets.join(in_group, "h", "left").select("h", "size", "parity", "prefix", F.coalesce("of_member", "finer").alias("finer"), F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("v", F.lit(0)).alias("v"), "apart")
     pairs = stored(candidates(postings(placed), prepared.num, prepared.den))
     found = prepared.verified(pairs)
     drop_stored(pairs)

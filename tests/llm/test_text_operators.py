@@ -452,3 +452,19 @@ def test_far_fingerprints_of_one_block_make_no_pairs(spark, monkeypatch):
     assert [(r.src, r.dst) for r in simhash.wide_edges(nodes, simhash.wide_limit(0.8)).collect()] == [(29, 30)]
     # all 465 pairs share a block; few of them are as near in the first words
     assert seen[0] <= 40
+
+
+def test_pairs_of_one_group_leave_the_join_only_if_they_match(spark):
+    rng = random.Random(9)
+    base = [f"word{i}" for i in range(60)]
+    texts = []
+    for i in range(120):
+        words = list(base)
+        for j in rng.sample(range(60), rng.choice([1, 2, 4, 5, 6])):
+            words[j] = f"odd{i}x{j}" if rng.random() < 0.5 else f"shared{rng.randrange(5)}"
+        texts.append(" ".join(words))
+    prepared = linedup.prepare(docs(spark, texts))
+    grouped = linedup.groups(prepared)
+    placed = prepared.sets.drop("finer").join(grouped.drop("first"), "h", "left").fillna(0, ["c", "v"])
+    pairs = linedup.candidates(linedup.postings(placed), 4, 5).join(grouped.select(F.col("h").alias("a")), "a").join(grouped.select(F.col("h").alias("b")), "b")
+    assert grouped.count() == prepared.sets.count() and 0 < pairs.count() == prepared.verified(pairs).count()
