@@ -45,7 +45,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -192,8 +192,8 @@ def wide_edges(nodes: DataFrame, limit: int, verify: Callable[[DataFrame], DataF
         at = 0 if start else WIDE_WORDS - SKETCH_WORDS
         filed = nodes.select("doc", *[F.get("fp", at + i).alias(s) for i, s in enumerate(sketch)], blocks).withColumn("part", F.col("part") + start)
         drawn = F.min(F.struct(F.xxhash64("doc", "part").alias("order"), "doc"))
-        sizes = filed.groupBy("part", "key").agg(F.count("*").alias("size"), F.min("doc").alias("first"), drawn.alias("drawn")).filter("size > 1")
-        held = stored(filed.join(sizes, ["part", "key"]).select("part", "key", "doc", *sketch, "size", "first", F.col("drawn.doc").alias("drawn")))
+        bucket = Window.partitionBy("part", "key")
+        held = stored(filed.select("part", "key", "doc", *sketch, F.count("*").over(bucket).alias("size"), F.min("doc").over(bucket).alias("first"), drawn.over(bucket)["doc"].alias("drawn")).filter("size > 1"))
         few, many = held.filter(F.col("size") <= PAIRED_BUCKET), held.filter(F.col("size") > PAIRED_BUCKET)
         x, y = (few.select("part", "key", F.col("doc").alias(end), *[F.col(s).alias(f"{s}_{end}") for s in sketch]) for end in ("src", "dst"))
         bits = reduce(lambda p, q: p + q, [distance(F.col(f"{s}_src"), F.col(f"{s}_dst")) for s in sketch])

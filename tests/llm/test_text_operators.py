@@ -468,3 +468,11 @@ def test_pairs_of_one_group_leave_the_join_only_if_they_match(spark):
     placed = prepared.sets.drop("finer").join(grouped.drop("first"), "h", "left").fillna(0, ["c", "v"])
     pairs = linedup.candidates(linedup.postings(placed), 4, 5).join(grouped.select(F.col("h").alias("a")), "a").join(grouped.select(F.col("h").alias("b")), "b")
     assert grouped.count() == prepared.sets.count() and 0 < pairs.count() == prepared.verified(pairs).count()
+
+
+def test_blocks_of_wide_fingerprints_are_not_joined_with_their_sizes(spark, monkeypatch):
+    plans, stored = [], simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df: (plans.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString())), stored(df))[1])
+    assert simhash.copies(docs(spark, [" ".join(f"w{i}" for i in range(80)) + f" end{k}" for k in range(3)])).count() == 2
+    filed = [plan for columns, plan in plans if "drawn" in columns]
+    assert len(filed) == simhash.ROUNDS and not any("Join" in plan for plan in filed)
